@@ -6,18 +6,53 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from heliograph.llm import decontam, mixing, outliers, tokens, url_rules
 from heliograph.llm.common import read
-from heliograph.llm.tokens import count_tokens
+
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def labelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """url and bad of pages whose document has labels. The number that ends a page's path is the doc_id of its text; low quality and toxic are bad."""
+    labels = read(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("bad"))
+    number = F.try_to_number(F.nullif(F.regexp_extract("url", r"://[^/?#]*/[^?#]*?(\d{1,18})(?:\.html)?/?(?:[?#]|$)", 1), F.lit("")), F.lit("9" * 18)).cast("bigint")
+    return read(spark, sf_dir, "pages").select("url", number.alias("doc_id")).join(labels, "doc_id").select("url", "bad")
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_urls(read(spark, sf_dir, "pages"), labelled_urls(spark, sf_dir), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(decontam.find_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(read(spark, sf_dir, "documents")).drop("distance")
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
     import public_tokenizers
 
-    return count_tokens(read(spark, sf_dir, "documents"), Path(public_tokenizers.path(tokenizer)).read_text(encoding="utf-8"))
+    return tokens.count_tokens(read(spark, sf_dir, "documents"), Path(public_tokenizers.path(tokenizer)).read_text(encoding="utf-8"))
+
+
+def document_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled good weighs 2, labelled bad a half; all others 1 by default."""
+    return read(spark, sf_dir, "labels").filter("quality is not null").select("doc_id", F.when(F.col("quality") == 1, 2.0).otherwise(0.5).alias("weight"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"), document_weights(spark, sf_dir)).drop("source")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_url_filters": op5_url_filters,
+    "op6_decontamination": op6_decontamination,
+    "op7_quality_rules": op7_quality_rules,
     "op8_token_counts": op8_token_counts,
+    "op9_mixing": op9_mixing,
 }
 ORACLES: dict[str, str] = {}
