@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliograph.llm import decontam, mixing, outliers, tokens, url_rules
+from heliograph.llm import decontam, langid, mixing, outliers, quality, tokens, url_rules
 from heliograph.llm.common import read
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -21,6 +21,14 @@ def labelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").select("url", number.alias("doc_id")).join(labels, "doc_id").select("url", "bad")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(read(spark, sf_dir, "pages"), labelled_urls(spark, sf_dir), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -49,6 +57,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_language_id": op2_language_id,
     "op5_url_filters": op5_url_filters,
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
