@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliograph.llm import decontam, langid, mixing, outliers, quality, tokens, url_rules
+from heliograph.llm import decontam, langid, mixing, neardup, outliers, quality, tokens, url_rules
 from heliograph.llm.common import read
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -56,6 +56,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), document_weights(spark, sf_dir)).drop("source")
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.find_duplicates(read(spark, sf_dir, "documents"), size=3, similarity=0.85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_language_id": op2_language_id,
@@ -64,5 +68,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
