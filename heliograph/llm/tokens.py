@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
@@ -17,8 +18,12 @@ from heliograph.llm.common import settle
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Texts of these characters are split by the pattern; all others by the library, whose Unicode version decides.
 PLAIN_TEXT = r"[\t\n\r\x20-\x7E¡-¬®-ɏΑ-ΡΣ-ώА-я‐-‧ぁ-ゖ一-龥]*"
+#: Texts of Latin letters and common signs only are split by what the pattern means for them, with explicit classes.
+LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+LATIN_TEXT = rf"[\t\n\r\x20-\x7E{LATIN}–—‘’“”…«»¡¿€]*"
+LATIN_PATTERN = rf" ?[{LATIN}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\t\n\r {LATIN}0-9]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+"
 #: At most so many frequent pre-tokens are broadcast, none longer than this.
-HEAD_PIECES, HEAD_LENGTH = 1 << 18, 48
+HEAD_PIECES, HEAD_LENGTH = 1 << 20, 48
 
 _made: dict[int, tuple] = {}
 
@@ -45,8 +50,11 @@ def _tools(spec: str) -> tuple:
         specials = [x["content"] for x in said["added_tokens"]]
         cut = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True)))) if specials else None
         plain, pieces = regex.compile(PLAIN_TEXT), regex.compile(BYTE_LEVEL_PATTERN)
+        latin, latin_pieces = re.compile(LATIN_TEXT), re.compile(LATIN_PATTERN)
 
         def split(text: str) -> list[str]:
+            if latin.fullmatch(text):
+                return latin_pieces.findall(text)
             if plain.fullmatch(text):
                 return pieces.findall(text)
             return [text[a:b] for _, (a, b) in tok.pre_tokenizer.pre_tokenize_str(text)]
@@ -128,8 +136,8 @@ def count_tokens(docs: DataFrame, tokenizer_json: str, limit: int = 512, head_pi
     total = counts.agg(F.sum("n")).first()[0] or 0
     in_head = (F.col("n") * F.lit(head_pieces) >= F.lit(total)) & (F.length("piece") <= HEAD_LENGTH)
     head = spark.sparkContext.broadcast({r.piece: r.pieces for r in counts.filter(in_head).select("piece", "pieces").toLocalIterator()})
-    rows = docs.withColumn("text_key", F.xxhash64("text")).mapInPandas(
-        partial(_per_document, spec=tokenizer_json, head=head), "doc_id long, text_key long, piece string, n long, n_bytes long, known long, first int"
+    rows = docs.withColumn("text_key", F.hash("text")).mapInPandas(
+        partial(_per_document, spec=tokenizer_json, head=head), "doc_id long, text_key int, piece string, n long, n_bytes long, known long, first int"
     )
     tail = counts.filter(~in_head).select("piece", "pieces")
     summed = (
