@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliograph.llm import decontam, langid, mixing, neardup, outliers, quality, tokens, url_rules
+from heliograph.llm import decontam, langid, merkle, mixing, neardup, outliers, quality, tokens, toxicity, url_rules
 from heliograph.llm.common import read
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -29,6 +29,19 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as records at offset page_id, against a replica with known damage: altered where page_id % 97 = 13, lost where page_id % 89 = 21."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    primary = pages.select(F.col("page_id").alias("offset"), merkle.record_text(F.col("url"), F.col("html")).alias("record"))
+    html = F.when(F.col("page_id") % 97 == 13, F.concat(F.lit("#"), F.substring("html", 2, 1 << 30))).otherwise(F.col("html"))
+    replica = pages.filter("page_id % 89 <> 21").select(F.col("page_id").alias("offset"), merkle.record_text(F.col("url"), html).alias("record"))
+    return merkle.audit(primary, replica).withColumnRenamed("offset", "page_id")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(read(spark, sf_dir, "pages"), labelled_urls(spark, sf_dir), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -63,6 +76,8 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_language_id": op2_language_id,
+    "op3_warc_fixity": op3_warc_fixity,
+    "op4_toxicity": op4_toxicity,
     "op5_url_filters": op5_url_filters,
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
