@@ -8,3 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a function by its name, with its SQL if there is one."""
+
+    def register(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _load() -> None:
+    from heliograph.plans import archive_queries, text_queries, time_queries, vector_queries  # noqa: F401
+
+
+_load()
