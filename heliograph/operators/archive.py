@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -31,16 +32,23 @@ def upsert_new(old: DataFrame, new: DataFrame, key: str, *order: str) -> DataFra
 
 
 def append_new(archive_path: str, new: DataFrame, key: str, *order: str) -> DataFrame:
-    """Append to a Parquet archive what it lacks, and return the rows added. What is read is never overwritten."""
+    """Append to a Parquet archive what it lacks, and return the rows added.
+
+    What is read is never overwritten. Each increment is also kept under
+    ``_fresh`` in the archive, where readers of the archive don't look; the
+    rows returned are read from there.
+    """
     spark = new.sparkSession
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(archive_path)
     there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
     fresh = keep_first(new, key, *order)
     if there:
-        fresh = fresh.join(spark.read.parquet(archive_path).select(key).distinct(), key, "left_anti")
-    fresh = fresh.persist()
-    fresh.write.mode("append").parquet(archive_path)
-    return fresh
+        fresh = fresh.join(spark.read.parquet(archive_path).select(key).distinct(), key, "left_anti").select(*new.columns)
+    increment = f"{archive_path}/_fresh/{uuid.uuid4().hex}"
+    fresh.write.parquet(increment)
+    added = spark.read.schema(fresh.schema).parquet(increment)
+    added.write.mode("append").parquet(archive_path)
+    return added
 
 
 def numbered(rows: DataFrame, *order: str, name: str = "ord") -> DataFrame:

@@ -22,7 +22,6 @@ def keep_archive(stream: DataFrame, archive_path: str, checkpoint: str, key: str
         fresh = append_new(archive_path, batch, key, *order)
         if then:
             then(fresh)
-        fresh.unpersist()
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
