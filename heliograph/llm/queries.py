@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliograph.llm import decontam, langid, merkle, mixing, neardup, outliers, quality, tokens, toxicity, url_rules
+from heliograph.llm import decontam, langid, merkle, mixing, neardup, oracles, outliers, quality, tokens, toxicity, url_rules
 from heliograph.llm.common import read
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -85,4 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_warc_fixity": oracles.WARC_FIXITY,
+    "op6_decontamination": oracles.DECONTAMINATION,
+    "op9_mixing": oracles.MIXING,
+    "op10_minhash_near_dedup": oracles.NEAR_DEDUP,
+}
