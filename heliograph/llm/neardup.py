@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from heliograph.llm.common import settle
 
 HASHES, BATCH = 256, 32
+#: So many more for the texts of buckets that hold several components, where many pairs come close to the similarity.
+MORE_HASHES = 768
 MISS = 1e-6
 #: Pairs of exactly the asked similarity that no band may propose, at most.
 BAND_MISS = 1e-4
@@ -96,9 +98,9 @@ def least_matches(similarity: float, hashes: int = HASHES, batch: int = BATCH, m
     return out
 
 
-def _permutations(seed: int) -> tuple[np.ndarray, np.ndarray]:
+def _permutations(seed: int, hashes: int = HASHES) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
-    return rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) * 2 + 1, rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
+    return rng.integers(0, 1 << 31, hashes, dtype=np.uint32) * 2 + 1, rng.integers(0, 1 << 32, hashes, dtype=np.uint32)
 
 
 def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -153,8 +155,8 @@ def _survivors(x: np.ndarray, y: np.ndarray, least: list[int]) -> np.ndarray:
     return at
 
 
-def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, HASHES)
+def _matrix(column, hashes: int = HASHES) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, hashes)
 
 
 def _prune(batches: Iterator[pd.DataFrame], least: list[int]) -> Iterator[pd.DataFrame]:
@@ -185,16 +187,18 @@ def _confirm(batches: Iterator[pd.DataFrame], size: int, similarity: int) -> Ite
         yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
 
-def _confirmed(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
-    asked = settle(pairs.distinct(), "pairs")
-    involved = asked.select(F.col("a").alias("node")).union(asked.select(F.col("b"))).distinct()
-    rows = involved.join(sigs.select("node", "doc_id", "text_key"), "node")
-    # Two rows of equal id and text are the same to this; one is enough.
+def _texts(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """node and text of some classes."""
+    rows = nodes.join(reps.select("node", "doc_id", "text_key"), "node")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
     same = rows["doc_id"].eqNullSafe(texts["doc_id"]) & (rows["text_key"] == texts["text_key"])
-    # Joined by text_key first, as ids may be null; of repeated rows the least text stands for all.
-    found = settle(rows.join(texts, same).groupBy("node").agg(F.min("text").alias("text")), "texts")
-    both = asked.join(found.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(found.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    # Of repeated rows the least text stands for all.
+    return settle(rows.join(texts, same).groupBy("node").agg(F.min("text").alias("text")), "texts")
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Of pairs (a, b), those whose full sets reach the similarity; ``texts`` has both sides' texts."""
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     return settle(both.mapInPandas(partial(_confirm, size=size, similarity=round(1000 * similarity)), "a long, b long"), "links")
 
 
@@ -216,23 +220,39 @@ def components(edges: DataFrame) -> DataFrame:
         e = settle(small.select("x.u", "x.v").filter("u <> v").distinct(), "edges")
 
 
-def _across(batches: Iterator[pd.DataFrame], least: list[int]) -> Iterator[pd.DataFrame]:
+def _sign_more(batches: Iterator[pd.DataFrame], size: int, seed: int) -> Iterator[pd.DataFrame]:
+    a, b = _permutations(seed, MORE_HASHES)
+    for batch in batches:
+        sets = [shingle_set(t, size) for t in batch["text"]]
+        yield pd.DataFrame({"node": batch["node"], "n": [len(s) for s in sets], "more": [signature(s, a, b).astype(np.uint8).tobytes() for s in sets]})
+
+
+def _across(batches: Iterator[pd.DataFrame], least: list[int], similarity: float) -> Iterator[pd.DataFrame]:
     """Surviving pairs of different components within blocks; the rows come sorted by block."""
     held: list[pd.DataFrame] = []
+    none = pd.DataFrame({"a": [], "b": []}, dtype="int64")
 
     def compared(f: pd.DataFrame) -> pd.DataFrame:
         left, right = f[f["side"] <= 1], f[f["side"] != 1]  # 0: both sides
-        x, y = _matrix(left["sig"]), _matrix(right["sig"])
-        a, b, ca, cb = left["node"].to_numpy(), right["node"].to_numpy(), left["root"].to_numpy(), right["root"].to_numpy()
-        out = []
+        own = bool((f["side"] == 0).all())
+        x, y = (_matrix(t["sig"], HASHES + MORE_HASHES) for t in (left, right))
+        (a, ca, na), (b, cb, nb) = ((t["node"].to_numpy(), t["root"].to_numpy(), t["n"].to_numpy()) for t in (left, right))
+        bands_a, bands_b, bucket = np.array(left["bands"].tolist()), np.array(right["bands"].tolist()), f["bucket"].iat[0]
+        out = [none]
         for i in range(0, len(a), 64):
-            p, q = np.nonzero(ca[i : i + 64, None] != cb[None])
+            part = slice(i, i + 64)
+            short, long = np.minimum(na[part, None], nb[None]), np.maximum(na[part, None], nb[None])
+            p, q = np.nonzero((ca[part, None] != cb[None]) & (short >= similarity * long))
             p += i
-            if left is not right and (f["side"] == 0).all():
+            if own:
                 p, q = p[a[p] < b[q]], q[a[p] < b[q]]
-            at = _survivors(x[p], y[q], least) if len(p) else []
-            out.append(pd.DataFrame({"a": a[p[at]], "b": b[q[at]]}) if len(p) else pd.DataFrame({"a": [], "b": []}, dtype="int64"))
-        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+            at = _survivors(x[p], y[q], least)
+            p, q = p[at], q[at]
+            # A pair that shares several buckets is proposed by the first of them.
+            first = (bands_a[p] == bands_b[q]).argmax(axis=1) if len(p) else p
+            once = bands_a[p, first] == bucket
+            out.append(pd.DataFrame({"a": a[p[once]], "b": b[q[once]]}))
+        return pd.concat(out)
 
     for batch in batches:
         if not len(batch):
@@ -248,11 +268,15 @@ def _across(batches: Iterator[pd.DataFrame], least: list[int]) -> Iterator[pd.Da
         yield compared(pd.concat(held))
 
 
-def _left_over(members: DataFrame, roots: DataFrame, sigs: DataFrame, least: list[int], block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) across components within buckets, pivots apart, that comparison of signatures leaves."""
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """bucket, node, root of members, pivots apart, of buckets that hold several components."""
     m = members.filter("node <> pivot").select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = m.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
-    m = settle(m.join(mixed, "bucket"), "mixed")
+    several = m.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
+    return settle(m.join(several, "bucket"), "mixed")
+
+
+def _left_over(m: DataFrame, signs: DataFrame, least: list[int], similarity: float, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) across components within buckets that comparison of signatures leaves. ``signs`` has node, n, bands and sig."""
     # Components that fill blocks of their own, and the rest of each bucket.
     per_root = m.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     per_root = per_root.withColumn("own", F.when(F.col("n") > block, F.col("root")))
@@ -261,13 +285,14 @@ def _left_over(members: DataFrame, roots: DataFrame, sigs: DataFrame, least: lis
     placed = m.join(sizes, ["bucket", "root"]).withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
     each = chunks.select("bucket", "own", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk")).withColumn("name", F.xxhash64("own", "chunk"))
     x, y = each.alias("x"), each.alias("y")
-    # Both chunks of a pair are chunks, not rows: a bucket of n members has n / block of them.
+    # Both sides of a pair are chunks, not rows: a bucket of n members has n / block of them.
     pair = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.name") <= F.col("y.name"))).filter(~(F.col("x.own").isNotNull() & F.coalesce(F.col("x.own") == F.col("y.own"), F.lit(False))))
     pair = pair.select(F.col("x.bucket").alias("bucket"), F.col("x.name").alias("p"), F.col("y.name").alias("q"), F.xxhash64("x.bucket", "x.name", "y.name").alias("block"))
     one = F.when(F.col("p") == F.col("q"), F.array(F.struct(F.col("p").alias("name"), F.lit(0).alias("side")))).otherwise(F.array(F.struct(F.col("p").alias("name"), F.lit(1).alias("side")), F.struct(F.col("q").alias("name"), F.lit(2).alias("side"))))
     sides = pair.select("bucket", "block", F.explode(one).alias("s")).select("bucket", "block", "s.name", "s.side")
-    rows = placed.withColumn("name", F.xxhash64("own", "chunk")).join(sides, ["bucket", "name"]).select("block", "side", "node", "root").join(sigs.select("node", "sig"), "node")
-    return rows.repartition("block").sortWithinPartitions("block").mapInPandas(partial(_across, least=least), "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rows = placed.withColumn("name", F.xxhash64("own", "chunk")).join(sides, ["bucket", "name"]).select("bucket", "block", "side", "node", "root").join(signs, "node")
+    found = rows.repartition("block").sortWithinPartitions("block").mapInPandas(partial(_across, least=least, similarity=similarity), "a long, b long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def linked(docs: DataFrame, size: int = 5, similarity: float = 0.8, seed: int = 1, block: int = BLOCK) -> DataFrame:
@@ -290,13 +315,18 @@ def linked(docs: DataFrame, size: int = 5, similarity: float = 0.8, seed: int =
     pivots = bands.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
     members = settle(bands.join(pivots, "bucket"), "members")
     pairs = members.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = _confirmed(_pruned(pairs, reps, least), reps, docs, size, similarity)
+    pairs = settle(_pruned(pairs, reps, least), "pairs")
+    ends = lambda t: t.select(F.col("a").alias("node")).union(t.select(F.col("b"))).distinct()
+    links = _confirmed(pairs, _texts(ends(pairs), reps, docs), size, similarity)
     roots = settle(components(links), "roots")
-    more = settle(_left_over(members.filter("n > 2"), roots, reps, least, block), "across")
-    if not more.isEmpty():
-        more = _confirmed(more, reps, docs, size, similarity)
+    mixed = _mixed(members.filter("n > 2"), roots)
+    if not mixed.isEmpty():
+        texts = _texts(mixed.select("node").distinct(), reps, docs)
+        more = texts.mapInPandas(partial(_sign_more, size=size, seed=seed + 1000), "node long, n long, more binary")
+        signs = settle(more.join(reps.select("node", "bands", "sig"), "node").select("node", "n", "bands", F.concat("sig", "more").alias("sig")), "signs")
+        pairs = settle(_left_over(mixed, signs, least_matches(similarity, HASHES + MORE_HASHES), similarity, block), "across")
         stars = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = settle(components(stars.union(more)), "roots")
+        roots = settle(components(stars.union(_confirmed(pairs, texts, size, similarity))), "roots")
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = settle(named.select("node", "root").join(first, "root").select("node", "component_id"), "named")
