@@ -79,7 +79,7 @@ class Neighbours:
             sim = v @ self.vectors.T
             near = np.argpartition(-sim, k - 1, axis=1)[:, :k]
             # Sharpened: a similarity counts by how much nearer it is than the farthest possible neighbour of interest.
-            s = np.exp(20 * (np.take_along_axis(sim, near, 1) - 1)) * per_label[near]
+            s = np.exp(20 * (np.take_along_axis(sim, near, 1).astype(float) - 1)) * per_label[near]
             vote = (s * self.labels[near]).sum(1) / s.sum(1)
             out[i : i + block] = np.where(np.abs(v).sum(1) > 0, vote, self.prior)
         return np.clip(out, 0.0, 1.0)
