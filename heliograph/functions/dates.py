@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from datetime import datetime
+from zoneinfo import ZoneInfo
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STAMP = "yyyy-MM-dd_HH.mm.ss"
@@ -21,3 +24,30 @@ def local_label(c: Column, zone: str = "Europe/Amsterdam") -> Column:
 def week_start(c: Column) -> Column:
     """The Monday on or before a date given as text, date or timestamp; null if it is none."""
     return F.trunc(F.substring(c.cast("string"), 1, 10).try_cast("date"), "week")
+
+
+def long_date(c: Column) -> Column:
+    """As 5 Jan 2024."""
+    return F.date_format(c, "d MMM yyyy")
+
+
+def short_date(c: Column) -> Column:
+    """As 5 Jan."""
+    return F.date_format(c, "d MMM")
+
+
+def span_label(low: Column, high: Column) -> Column:
+    """One day in full, or a range whose first day goes without its year."""
+    return F.when(low == high, long_date(low)).otherwise(F.concat(short_date(low), F.lit(" – "), long_date(high)))
+
+
+def run_stamps(now: datetime, zone: str = "Europe/Amsterdam", name: str = "Amsterdam") -> tuple[str, str]:
+    """A short and a full stamp of one instant. The caller gives the instant, so a run can be repeated."""
+    at = now.astimezone(ZoneInfo(zone))
+    offset = at.strftime("%z")
+    return at.strftime(f"%Y-%m-%d %H:%M {name}"), f"{at:%Y-%m-%d %H:%M:%S} {at:%Z} (UTC{offset[:3]}:{offset[3:]}) · {zone}"
+
+
+def scrape_columns(rows: DataFrame, at: datetime) -> DataFrame:
+    """rows with scrape_date and scrape_datetime of a run, as text in UTC."""
+    return rows.withColumns({"scrape_date": F.lit(f"{at:%Y-%m-%d}"), "scrape_datetime": F.lit(f"{at:%Y-%m-%d_%H.%M.%S}")})

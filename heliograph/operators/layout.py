@@ -163,3 +163,89 @@ def density_clusters(vectors: DataFrame, least: int | None = None, few: int = 12
         yield pd.DataFrame({"id": b["id"], "cluster": np.zeros(n, int) if n < few else leaf_clusters(x, least or max(6, n // 30))})
 
     return vectors.select("id", "v").coalesce(1).mapInPandas(cluster, f"id {dict(vectors.dtypes)['id']}, cluster int")
+
+
+def tsne(x: np.ndarray, perplexity: float | None = None, steps: int = 500, rate: float | None = None) -> np.ndarray:
+    """Exact t-SNE to two dimensions, started from the leading principal components; for a report's few thousand rows."""
+    n = len(x)
+    if n < 3:
+        return np.zeros((n, 2))
+    perplexity = min(perplexity or max(5, min(30, n // 3)), (n - 1) / 3)
+    d2 = np.square(x[:, None] - x[None]).sum(-1)
+    p = np.zeros((n, n))
+    for i in range(n):  # the width of each row's kernel by bisection on its entropy
+        low, high, beta, own = 0.0, np.inf, 1.0, np.delete(d2[i], i)
+        own = own - own.min()
+        for _ in range(60):
+            w = np.exp(-own * beta)
+            entropy = np.log(w.sum()) + beta * (own * w).sum() / w.sum()
+            if entropy > np.log(perplexity):
+                low, beta = beta, beta * 2 if high == np.inf else (beta + high) / 2
+            else:
+                high, beta = beta, (beta + low) / 2
+        p[i, np.arange(n) != i] = w / w.sum()
+    p = np.maximum((p + p.T) / (2 * n), 1e-12)
+    c = x - x.mean(0)
+    u, s, _ = np.linalg.svd(c, full_matrices=False)
+    y = np.zeros((n, 2))
+    k = min(2, len(s))
+    y[:, :k] = u[:, :k] * s[:k]
+    y *= 1e-4 / (y[:, 0].std() or 1.0)
+    move, gain = np.zeros_like(y), np.ones_like(y)
+    rate = rate or max(n / 48, 50)
+    for t in range(steps):
+        q = 1 / (1 + np.square(y[:, None] - y[None]).sum(-1))
+        np.fill_diagonal(q, 0)
+        force = ((12 if t < steps // 4 else 1) * p - q / q.sum()) * q
+        grad = 4 * (force.sum(1)[:, None] * y - force @ y)
+        gain = np.maximum(np.where(np.sign(grad) == np.sign(move), gain * 0.8, gain + 0.2), 0.01)
+        move = (0.5 if t < steps // 4 else 0.8) * move - rate * gain * grad
+        y = y + move
+    return y - y.mean(0)
+
+
+def tsne_plane(projected: DataFrame, key: str = "ord", most: int = 2000) -> DataFrame:
+    """key, x, y by t-SNE over z while there are ``most`` rows at the most; beyond, the first two parts."""
+    if projected.limit(most + 1).count() > most:
+        return plane(projected, key)
+    rows = projected.orderBy(key).toPandas()
+    xy = tsne(np.stack(rows["z"].to_numpy()) if len(rows) else np.zeros((0, 2)))
+    found = pd.DataFrame({key: rows[key], "x": xy[:, 0], "y": xy[:, 1]})
+    return projected.sparkSession.createDataFrame(found, f"{key} {dict(projected.dtypes)[key]}, x double, y double")
+
+
+def components_of(vectors: DataFrame, k: int = 2) -> DataFrame:
+    """id and z of ``vectors(id, v)``: the k leading principal components, each with its largest loading positive.
+
+    Sums and products of columns are aggregated in Spark; only a matrix of
+    the vectors' length is decomposed in the driver.
+    """
+
+    def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, s, g = 0, None, None
+        for b in batches:
+            if len(b):
+                x = np.stack(b["v"].to_numpy()).astype(float)
+                n, s, g = n + len(x), x.sum(0) + (0 if s is None else s), x.T @ x + (0 if g is None else g)
+        if n:
+            yield pd.DataFrame({"n": [n], "s": [s], "g": [g.ravel()]})
+
+    parts = vectors.filter("v is not null").select("id", "v").mapInPandas(moments, "n long, s array<double>, g array<double>")
+    flat = parts.select("n", F.posexplode(F.concat("s", "g")).alias("i", "x")).groupBy("i").agg(F.sum("n").alias("n"), F.sum("x").alias("x")).orderBy("i").toPandas()
+    schema = f"id {dict(vectors.dtypes)['id']}, z array<double>"
+    if flat.empty:
+        return vectors.sparkSession.createDataFrame([], schema)
+    d, n = int((np.sqrt(1 + 4 * len(flat)) - 1) / 2 + 0.5), flat["n"].iat[0]
+    mean = flat["x"].to_numpy()[:d] / n
+    _, v = np.linalg.eigh(flat["x"].to_numpy()[d:].reshape(d, d) / n - np.outer(mean, mean))
+    v = v[:, ::-1][:, :k]
+    v = v * np.sign(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])])
+    shared = vectors.sparkSession.sparkContext.broadcast((mean, v))
+
+    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m, w = shared.value
+        for b in batches:
+            if len(b):
+                yield pd.DataFrame({"id": b["id"], "z": list((np.stack(b["v"].to_numpy()).astype(float) - m) @ w)})
+
+    return vectors.filter("v is not null").select("id", "v").mapInPandas(project, schema)

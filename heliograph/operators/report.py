@@ -68,3 +68,39 @@ def payload(generated: str, **tables: DataFrame) -> DataFrame:
 def page(json_text: str, template: str, token: str = "__PAYLOAD__") -> str:
     """A template with the payload in place of the token."""
     return template.replace(token, json_text.replace("</", "<\\/"))
+
+
+def in_pixels(points: DataFrame, extents: DataFrame, width: float, height: float) -> DataFrame:
+    """points with px and py: x from the left, y from the bottom, scaled to the extents."""
+    one = points.crossJoin(F.broadcast(extents))
+    px = (F.col("x") - F.col("lo_x")) / (F.col("hi_x") - F.col("lo_x")) * width
+    py = height - (F.col("y") - F.col("lo_y")) / (F.col("hi_y") - F.col("lo_y")) * height
+    return one.withColumns({"px": px, "py": py}).select(*points.columns, "px", "py")
+
+
+def cluster_table(renumbered: DataFrame, labels: dict[int, list[str]], colours: tuple[list[str], list[str]], noise: int = -1, grey: tuple[str, str] = ("#8f8677", "#847b6c")) -> DataFrame:
+    """id, label, keywords, size, color, colorDark of what renumber() gives; clusters without words are called by their number."""
+    spark = renumbered.sparkSession
+    words = spark.createDataFrame([(c, w) for c, w in labels.items()], "cluster int, keywords array<string>")
+    light, dark = (F.array(*[F.lit(x) for x in c]) for c in colours)
+    is_noise = F.col("cluster") == noise
+    named = F.coalesce(F.nullif(F.array_join(F.slice("keywords", 1, 2), " · "), F.lit("")), F.concat(F.lit("topic "), (F.col("id") + 1).cast("string")))
+    return renumbered.join(F.broadcast(words), "cluster", "left").select(
+        "id",
+        F.when(is_noise, F.lit("Unclustered")).otherwise(named).alias("label"),
+        F.when(is_noise, F.array().cast("array<string>")).otherwise(F.coalesce("keywords", F.array().cast("array<string>"))).alias("keywords"),
+        "size",
+        F.when(is_noise, F.lit(grey[0])).otherwise(F.get(light, "id")).alias("color"),
+        F.when(is_noise, F.lit(grey[1])).otherwise(F.get(dark, "id")).alias("colorDark"),
+    )
+
+
+TEMPLATE = """<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>Report</title></head>
+<body><script id="data" type="application/json">__PAYLOAD__</script></body></html>"""
+
+
+def write_report(payload_row: DataFrame, folder: str, template: str = TEMPLATE) -> None:
+    """payload.json and page.html in a folder, each one text file in Spark's layout, by way of Spark's writers."""
+    text = payload_row.first()[0]
+    for name, value in (("payload.json", text), ("page.html", page(text, template))):
+        payload_row.sparkSession.createDataFrame([(value,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/{name}")
