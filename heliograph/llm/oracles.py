@@ -51,3 +51,32 @@ e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b),
 c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN c ON c.a = d.doc_id"""
+
+
+def url_filters(rules: list[tuple[str, str, str]], support: float, confidence: float, lift: float, rows: int, mined: int) -> str:
+    """Rules of up to three tokens by enumeration, where the operator mines them by FP-growth."""
+    fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+    listed = sorted(rules, key=lambda r: -len(r[0] + r[1]))
+    rule = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for h, p, _ in listed) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for h, p, v in listed) + " END"
+    return rf"""WITH u AS (SELECT page_id, url, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{_UPPER}', '{_LOWER}') AS host, coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+t0 AS (SELECT DISTINCT url, host, path FROM u WHERE contains(url, '://')),
+tok AS (SELECT url, 'scheme=' || lower(split_part(url, '://', 1)) AS token FROM t0
+  UNION SELECT url, 'host=' || x FROM (SELECT url, unnest(string_split(host, '.')) AS x FROM t0) WHERE x <> ''
+  UNION SELECT url, 'end=' || coalesce(list_extract(string_split(host, '.'), -1), '') || CASE WHEN contains(host, '.') THEN '.' || list_extract(string_split(host, '.'), -2) ELSE '' END FROM t0
+  UNION SELECT url, 'path=' || x FROM (SELECT url, unnest(regexp_split_to_array(lower(path), '[^a-z0-9]+')) AS x FROM t0) WHERE x <> '' AND NOT regexp_matches(x, '[0-9]')
+  UNION SELECT url, 'query=' || x FROM (SELECT url, unnest(string_split(regexp_extract(url, '\?([^#]*)', 1), '&')) AS x FROM t0) WHERE x <> ''
+  UNION SELECT url, CASE WHEN contains(url, '#') THEN 'fragment' ELSE 'no fragment' END FROM t0),
+lab AS (SELECT doc_id, max(CASE WHEN coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
+tr AS (SELECT page_id AS id, url, bad FROM pages JOIN lab ON doc_id = TRY_CAST(regexp_extract(url, '://[^/?#]*/[^?#]*?(\d{{1,18}})(?:\.html)?/?(?:[?#]|$)', 1) AS BIGINT)),
+n AS (SELECT count(*) AS n, greatest({support}, least(1.0, CAST({rows} AS DOUBLE) / count(*))) AS s, avg(bad) AS share FROM tr),
+often AS (SELECT token, count(*) AS c FROM tr JOIN tok USING (url) GROUP BY token HAVING count(*) >= (SELECT s * n FROM n)),
+kept AS (SELECT id, bad, token FROM (SELECT id, bad, token, row_number() OVER (PARTITION BY id ORDER BY c, token) AS k FROM tr JOIN tok USING (url) JOIN often USING (token)) WHERE k <= {mined}),
+sets AS (SELECT [token] AS a, bad FROM kept UNION ALL SELECT [x.token, y.token], x.bad FROM kept x JOIN kept y ON x.id = y.id AND x.token < y.token
+  UNION ALL SELECT [x.token, y.token, z.token], x.bad FROM kept x JOIN kept y ON x.id = y.id AND x.token < y.token JOIN kept z ON z.id = x.id AND y.token < z.token),
+counted AS (SELECT a, sum(bad) AS b, sum(bad) / CAST(count(*) AS DOUBLE) AS conf FROM sets GROUP BY a),
+found AS (SELECT row_number() OVER () AS rule, a, conf FROM counted, n WHERE b >= ceil(n.s * n.n) AND conf >= {confidence} AND conf / n.share >= {lift}),
+stands AS (SELECT rule, a FROM found f WHERE NOT EXISTS (SELECT 1 FROM found g WHERE len(g.a) < len(f.a) AND list_has_all(f.a, g.a) AND g.conf >= f.conf)),
+need AS (SELECT rule, len(a) AS parts, unnest(a) AS token FROM stands),
+hit AS (SELECT DISTINCT url FROM (SELECT url, rule FROM need JOIN tok USING (token) GROUP BY url, rule, parts HAVING count(*) = parts))
+SELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, CASE WHEN url IN (SELECT url FROM hit) THEN 'block' ELSE 'allow' END) AS verdict FROM u"""
