@@ -85,7 +85,7 @@ def cluster_table(renumbered: DataFrame, labels: dict[int, list[str]], colours:
     light, dark = (F.array(*[F.lit(x) for x in c]) for c in colours)
     is_noise = F.col("cluster") == noise
     named = F.coalesce(F.nullif(F.array_join(F.slice("keywords", 1, 2), " · "), F.lit("")), F.concat(F.lit("topic "), (F.col("id") + 1).cast("string")))
-    return renumbered.join(F.broadcast(words), "cluster", "left").select(
+    return renumbered.join(words, "cluster", "left").select(
         "id",
         F.when(is_noise, F.lit("Unclustered")).otherwise(named).alias("label"),
         F.when(is_noise, F.array().cast("array<string>")).otherwise(F.coalesce("keywords", F.array().cast("array<string>"))).alias("keywords"),

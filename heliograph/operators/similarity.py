@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from heliograph.functions.dates import week_start
 from heliograph.functions.numbers import clip, thirds
+from heliograph.functions.quantiles import quantile
 from heliograph.functions.vectors import doubles, dot, unit
 
 #: Rows of a block of vectors, and the queries that are compared with a block at once.
@@ -95,9 +96,9 @@ def tone(vectors: DataFrame, up: list[float], down: list[float]) -> DataFrame:
     """id and tone of ``vectors(id, v)``: how much nearer to ``up`` than to ``down``, less the median, over the 95th percentile of its size, within [-1, 1]."""
     literal = lambda v: F.array(*[F.lit(float(x)) for x in v])
     raw = vectors.select("id", (dot(F.col("v"), literal(up)) - dot(F.col("v"), literal(down))).alias("raw"))
-    centred = raw.crossJoin(F.broadcast(raw.agg(F.median("raw").alias("mid")))).select("id", (F.col("raw") - F.col("mid")).alias("raw"))
-    scale = centred.agg(F.percentile(F.abs("raw"), 0.95).alias("p")).select(F.when(F.coalesce("p", F.lit(0.0)) == 0, 1.0).otherwise(F.col("p")).alias("scale"))
-    return centred.crossJoin(F.broadcast(scale)).select("id", clip(F.col("raw") / F.col("scale"), -1.0, 1.0).alias("tone"))
+    centred = raw.select("id", (F.col("raw") - F.lit(quantile(raw, "raw", 0.5))).alias("raw"))
+    scale = quantile(centred.select(F.abs("raw").alias("size")), "size", 0.95) or 1.0
+    return centred.select("id", clip(F.col("raw") / scale, -1.0, 1.0).alias("tone"))
 
 
 def tone_heatmap(points: DataFrame, noise: Column | None = None) -> DataFrame:

@@ -54,7 +54,7 @@ def semantic_view(articles: DataFrame, vectors: DataFrame, up: list[float], down
     numbered = similarity.renumber(raw)
     clusters = report.cluster_table(numbered, terms.cluster_labels(ranked), similarity.palette(numbered.filter("cluster <> -1").count()))
     tone = similarity.tone(vectors, up, down)
-    points = rows.join(F.broadcast(numbered.withColumnRenamed("id", "c")), "cluster").join(plane, "id").join(iso, "id", "left").join(tone, "id")
+    points = rows.join(numbered.withColumnRenamed("id", "c"), "cluster").join(plane, "id").join(iso, "id", "left").join(tone, "id")
     points = points.select(
         F.bround("x", 3).alias("x"), F.bround("y", 3).alias("y"), F.col("headline").alias("h"), F.col("source").alias("s"), "d", F.col("url").alias("u"),
         F.col("id").alias("ord"), "cluster", "c", F.bround("iso", 3).alias("iso"), F.bround("tone", 3).alias("tone"),

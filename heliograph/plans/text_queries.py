@@ -57,11 +57,10 @@ def keyword_postings(spark, sf_dir):
     return terms.keyword_postings(articles(spark, sf_dir), PROSE)
 
 
-@query(f"WITH {_POSTINGS}, top AS (SELECT term, count(*) AS n FROM post GROUP BY term ORDER BY n DESC, term LIMIT 16) SELECT term, n, string_agg(CAST(ord AS VARCHAR), ',' ORDER BY ord) AS arts FROM post JOIN top USING (term) GROUP BY term, n")
+@query(f"WITH {_POSTINGS}, top AS (SELECT term, count(*) AS n FROM post GROUP BY term ORDER BY n DESC, term LIMIT 16) SELECT term, n, ord FROM post JOIN top USING (term)")
 def keyword_articles(spark, sf_dir):
     posts = terms.keyword_postings(articles(spark, sf_dir), PROSE)
-    found = terms.keyword_articles(posts, terms.keyword_frequency(posts))
-    return found.select("term", "n", F.array_join(F.col("arts").cast("array<string>"), ",").alias("arts"))
+    return terms.keyword_article_rows(posts, terms.keyword_frequency(posts))
 
 
 @query(f"WITH {_POSTINGS}, f AS (SELECT term, count(*) AS n FROM post GROUP BY term ORDER BY n DESC, term LIMIT 16) SELECT term, n, n / (SELECT max(n) FROM f) * 100.0::DOUBLE AS width FROM f".replace("100.0::DOUBLE", "CAST(100 AS DOUBLE)"))
@@ -182,7 +181,7 @@ def _lang_classes(spark, sf_dir):
     """Languages as clusters, numbered by name."""
     rows = articles(spark, sf_dir)
     langs = rows.select("lang").distinct().withColumn("cluster", F.dense_rank().over(_by_lang()))
-    return rows.join(F.broadcast(langs), "lang").select("cluster", "ord", F.col("body").alias("text"), "lang")
+    return rows.join(langs, "lang").select("cluster", "ord", F.col("body").alias("text"), "lang")
 
 
 _CLASS = f"""{ARTICLES}, w0 AS (SELECT lang, ord, unnest({_WORDS.format('body')}) AS t, generate_subscripts({_WORDS.format('body')}, 1) AS i FROM art),
@@ -202,7 +201,7 @@ def ctfidf_terms(spark, sf_dir):
     order = Window.partitionBy("cluster").orderBy(F.desc("score"), "term")
     top = found.withColumn("rank", F.row_number().over(order).cast("bigint")).filter("rank <= 20")
     names = rows.select("cluster", "lang").distinct()
-    return top.join(F.broadcast(names), "cluster").select("lang", "rank", "term", "score")
+    return top.join(names, "cluster").select("lang", "rank", "term", "score")
 
 
 @query()

@@ -93,3 +93,16 @@ def test_vectors(spark):
     assert one(spark, [3.0, 4.0], unit, "array<float>") == [0.6, 0.8]
     assert one(spark, [0.0, 0.0], unit, "array<float>") == [0.0, 0.0]
     assert math.isclose(one(spark, [1.0, 2.0], lambda c: dot(c, c), "array<double>"), 5.0)
+
+
+def test_quantiles_are_exact(spark):
+    import numpy as np
+
+    from heliograph.functions.quantiles import quantile
+
+    rng = np.random.default_rng(0)
+    for values in ([1.0, 2.0, 3.0, 4.0], [5.0], rng.normal(size=3000).tolist(), [0.0] * 900 + [1.0] * 100, rng.integers(0, 7, 2000).astype(float).tolist()):
+        rows = spark.createDataFrame([(v,) for v in [*values, None]], "v double").repartition(4)
+        for p in (0.0, 0.5, 0.95, 1.0):
+            assert quantile(rows, "v", p, few=50) == pytest.approx(float(np.quantile(values, p)))
+    assert quantile(rows.limit(0), "v", 0.5) is None
