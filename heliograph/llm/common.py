@@ -56,6 +56,15 @@ def settle(df: DataFrame, tag: str = "t") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """df, after lowering the session's rows per Arrow batch to ``rows`` if they are more: whole texts can be long, and each Python worker holds a batch or two."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
+        df.sparkSession.conf.set(key, str(rows))
+    return df
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 4. A null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heliograph.llm.common import settle
+from heliograph.llm.common import settle, small_batches
 
 #: At most about this many bytes of item text are indexed and broadcast at a time; a larger benchmark is worked off in blocks.
 BLOCK_BYTES = 16 << 20
@@ -120,6 +120,7 @@ def _search_udf(index) -> Column:
 
 def _blocks(docs: DataFrame, benchmark: DataFrame, window: int, shingle: int, block_bytes: int) -> Iterator:
     """Search functions over the benchmark, block by block."""
+    small_batches(docs)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("item_id is not null and text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + total // block_bytes

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heliograph.llm.common import fold
+from heliograph.llm.common import fold, small_batches
 
 WINDOW, WIDTHS, FILTERS, EMBEDDING = 256, (2, 3, 4), 16, 8
 #: Per language at most so many labelled texts are trained on, with so many windows of each.
@@ -182,7 +182,7 @@ def train(docs: DataFrame, texts: int = TEXTS, seed: int = 5) -> ByteNet | None:
 
 
 def language_udf(docs: DataFrame, net: ByteNet) -> Column:
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(net)
 
     @F.pandas_udf(T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
     def language(texts: pd.Series, letters: pd.Series) -> pd.DataFrame:

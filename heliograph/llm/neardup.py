@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heliograph.llm.common import settle
+from heliograph.llm.common import settle, small_batches
 
 HASHES, BATCH = 256, 32
 #: So many more for the texts of buckets that hold several components, where many pairs come close to the similarity.
@@ -52,7 +52,7 @@ class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -134,7 +134,7 @@ def _sign(batches: Iterator[pd.DataFrame], size: int, rows: int, seed: int) -> I
 
 def signed(docs: DataFrame, size: int, similarity: float, seed: int = 1) -> DataFrame:
     """doc_id, text_key, n_shingles, node, bands and sig per row; node, the class of equal sets, is null without words."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
     for k in range(4):
         made = partial(_sign, size=size, rows=band_rows(similarity), seed=seed + k)
         found = settle(rows.mapInPandas(made, "doc_id long, text_key long, n_shingles long, node long, check long, bands array<long>, sig binary"), "signed")
@@ -144,12 +144,12 @@ def signed(docs: DataFrame, size: int, similarity: float, seed: int = 1) -> Data
     raise RuntimeError("digests of different sets agree")
 
 
-def _survivors(x: np.ndarray, y: np.ndarray, least: list[int]) -> np.ndarray:
-    """Places of the row pairs of two byte matrices that no batch rules out."""
-    at, m = np.arange(len(x)), np.zeros(len(x), np.int32)
+def _survivors(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray, least: list[int]) -> np.ndarray:
+    """Which of the pairs (x[p], y[q]) of rows of two byte matrices no batch rules out."""
+    at, m = np.arange(len(p)), np.zeros(len(p), np.int32)
     for k, bound in enumerate(least):
         part = slice(k * BATCH, (k + 1) * BATCH)
-        m += (x[at, part] == y[at, part]).sum(axis=1, dtype=np.int32)
+        m += (x[p[at], part] == y[q[at], part]).sum(axis=1, dtype=np.int32)
         alive = m >= bound
         at, m = at[alive], m[alive]
     return at
@@ -162,7 +162,8 @@ def _matrix(column, hashes: int = HASHES) -> np.ndarray:
 def _prune(batches: Iterator[pd.DataFrame], least: list[int]) -> Iterator[pd.DataFrame]:
     for b in batches:
         if len(b):
-            yield b[["a", "b"]].iloc[_survivors(_matrix(b["sig_a"]), _matrix(b["sig_b"]), least)]
+            row = np.arange(len(b))
+            yield b[["a", "b"]].iloc[_survivors(_matrix(b["sig_a"]), _matrix(b["sig_b"]), row, row, least)]
 
 
 def _pruned(pairs: DataFrame, sigs: DataFrame, least: list[int]) -> DataFrame:
@@ -246,7 +247,7 @@ def _across(batches: Iterator[pd.DataFrame], least: list[int], similarity: float
             p += i
             if own:
                 p, q = p[a[p] < b[q]], q[a[p] < b[q]]
-            at = _survivors(x[p], y[q], least)
+            at = _survivors(x, y, p, q, least)
             p, q = p[at], q[at]
             # A pair that shares several buckets is proposed by the first of them.
             first = (bands_a[p] == bands_b[q]).argmax(axis=1) if len(p) else p

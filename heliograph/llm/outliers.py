@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heliograph.llm.common import settle
+from heliograph.llm.common import settle, small_batches
 
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _ALL = (*_BASE, "n_lines", "n_upper", "n_marks")
@@ -161,7 +161,7 @@ def _keys(sizes: DataFrame, least: int) -> DataFrame:
 def _tagged(docs: DataFrame) -> DataFrame:
     """docs with __s (counts), __lang, __source and __failed (the fixed rules)."""
     failed = (F.col("__s.n_words") < 50) | (100 * F.col("__s.n_repeat_words") > 50 * F.col("__s.n_words"))
-    return docs.withColumns({"__lang": F.col("lang").cast("string"), "__source": F.col("source").cast("string"), "__s": _statistics_udf()(F.col("text").cast("string"))}).withColumn("__failed", failed)
+    return small_batches(docs).withColumns({"__lang": F.col("lang").cast("string"), "__source": F.col("source").cast("string"), "__s": _statistics_udf()(F.col("text").cast("string"))}).withColumn("__failed", failed)
 
 
 def _fitted(tagged: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heliograph.llm.common import fold
+from heliograph.llm.common import fold, small_batches
 
 #: At most so many labelled texts of each label are learned from; so the broadcast is SAMPLE * 2 vectors of DIMENSIONS numbers and a projection of TERMS by DIMENSIONS.
 SAMPLE, DIMENSIONS, NEIGHBOURS = 1500, 48, 25
@@ -136,7 +136,7 @@ def score_udf(docs: DataFrame, model: Neighbours | None) -> Column:
     """A column from ``text``: the score, 0.5 for every text if there is no model."""
     if model is None:
         return F.lit(0.5)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(T.DoubleType())
     def score(texts: pd.Series) -> pd.Series:

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heliograph.llm.common import settle
+from heliograph.llm.common import settle, small_batches
 
 #: Fixed value: the published splitting pattern of byte-level BPE vocabularies.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -130,7 +130,7 @@ def count_tokens(docs: DataFrame, tokenizer_json: str, limit: int = 512, head_pi
     empty table gives no rows.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     counts = docs.select("text").mapInPandas(partial(_batch_counts, spec=tokenizer_json), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     counts = settle(counts.mapInPandas(partial(_encode, spec=tokenizer_json), "piece string, n long, pieces int"), "pieces")
     total = counts.agg(F.sum("n")).first()[0] or 0

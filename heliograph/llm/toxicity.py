@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heliograph.llm.common import fold
+from heliograph.llm.common import fold, small_batches
 from heliograph.llm.decontam import words_of
 
 #: The words that mark a labelled text as belonging to a category, in the order of the chain.
@@ -135,7 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
 
 def chain_udf(docs: DataFrame, chain: Chain) -> Column:
     """A column from ``text``: a struct of each category's probability."""
-    shared = docs.sparkSession.sparkContext.broadcast(chain)
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(chain)
 
     @F.pandas_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in chain.names]))
     def categories(texts: pd.Series) -> pd.DataFrame:
