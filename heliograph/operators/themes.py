@@ -33,16 +33,19 @@ def assign(rows: DataFrame, vocabulary: Vocabulary, headline: str = "headline",
     hits, then rank, then the lower id.
     """
     n = len(vocabulary.themes)
-    ranks = F.array(*[F.lit(t.rank) for t in vocabulary.themes])
-    every = F.sequence(F.lit(0), F.lit(n - 1))
-    score = lambda i: F.struct(F.col("__h")[i].alias("h"), F.col("__b")[i].alias("b"), ranks[i].alias("r"), (-i).alias("o"), i.alias("i"))
-    best = lambda of: F.array_max(F.transform(of, score))["i"]
-    found = rows.withColumns({"__h": theme_hits(F.col(headline), vocabulary), "__b": theme_hits(F.col(body), vocabulary)})
-    found = found.withColumns({"__m": F.filter(every, lambda i: F.col("__h")[i] > 0), "__f": F.filter(every, lambda i: F.col("__b")[i] > 0)})
-    themes = F.when(F.size("__m") > 0, F.col("__m")).when(F.size("__f") > 0, F.array(best(F.col("__f")))).otherwise(F.array(F.lit(n)))
-    found = found.withColumn("themes", themes)
-    theme = F.when(F.col("themes")[0] == n, F.lit(n)).otherwise(best(F.col("themes")))
-    return found.withColumn("theme", theme).drop("__h", "__b", "__m", "__f")
+    # One column per count: each is read several times, so the plan computes it once. Lambdas would repeat the matching.
+    hits = {}
+    for t in vocabulary.themes:
+        hits[f"__h{t.id}"] = F.regexp_count(F.coalesce(F.col(headline), F.lit("")), F.lit(unicode_case(t.pattern)))
+        hits[f"__b{t.id}"] = F.regexp_count(F.coalesce(F.col(body), F.lit("")), F.lit(unicode_case(t.pattern)))
+    h, b = [F.col(f"__h{t.id}") for t in vocabulary.themes], [F.col(f"__b{t.id}") for t in vocabulary.themes]
+    score = [F.struct(h[i].alias("h"), b[i].alias("b"), F.lit(t.rank).alias("r"), F.lit(-i).alias("o")) for i, t in enumerate(vocabulary.themes)]
+    members = F.array_compact(F.array(*[F.when(h[i] > 0, F.lit(i)) for i in range(n)]))
+    primary = -F.array_max(F.array(*[F.when(h[i] > 0, score[i]) for i in range(n)]))["o"]
+    fallback = -F.array_max(F.array(*[F.when(b[i] > 0, score[i]) for i in range(n)]))["o"]
+    found = rows.withColumns(hits).withColumn("theme", F.coalesce(primary, fallback, F.lit(n)))
+    # All that the headline hits; else the theme alone.
+    return found.withColumn("themes", F.when(F.size(members) > 0, members).otherwise(F.array("theme"))).drop(*hits)
 
 
 def theme_counts(assigned: DataFrame, vocabulary: Vocabulary) -> DataFrame:
