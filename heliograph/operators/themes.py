@@ -48,25 +48,29 @@ def assign(rows: DataFrame, vocabulary: Vocabulary, headline: str = "headline",
     return found.withColumn("themes", F.when(F.size(members) > 0, members).otherwise(F.array("theme"))).drop(*hits)
 
 
+# Before an inner explode, Spark filters for arrays that have elements, and so computes them twice; explode_outer doesn't, and themes are never empty.
+
+
 def theme_counts(assigned: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """id, label and count of members, most first; themes without members are left out."""
     labels = F.array(*[F.lit(x) for x in vocabulary.labels])
-    counted = assigned.select(F.explode("themes").alias("id")).groupBy("id").agg(F.count("*").alias("count"))
+    counted = assigned.select(F.explode_outer("themes").alias("id")).groupBy("id").agg(F.count("*").alias("count"))
     return counted.select("id", F.element_at(labels, F.col("id") + 1).alias("label"), "count").orderBy(F.desc("count"), "id")
 
 
-def theme_terms(assigned: DataFrame, weights: DataFrame, key: str = "ord", k: int = 5) -> DataFrame:
-    """id, rank, term and mean weight of each theme's top terms. ``weights(key, term, w)`` is sparse: an absent weight counts as 0."""
-    member = assigned.select(key, F.explode("themes").alias("id"))
+def theme_terms(assigned: DataFrame, weights: DataFrame, key: str = "ord", k: int | None = 5) -> DataFrame:
+    """id, rank, term and mean weight of each theme's top terms (all with None). ``weights(key, term, w)`` is sparse: an absent weight counts as 0."""
+    member = assigned.select(key, F.explode_outer("themes").alias("id"))
     sizes = member.groupBy("id").agg(F.count("*").alias("n"))
     summed = member.join(weights, key).groupBy("id", "term").agg(F.sum("w").alias("s")).join(sizes, "id")
     order = Window.partitionBy("id").orderBy(F.desc("mean_w"), "term")
-    return summed.withColumn("mean_w", F.col("s") / F.col("n")).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("id", "rank", "term", "mean_w")
+    ranked = summed.withColumn("mean_w", F.col("s") / F.col("n")).withColumn("rank", F.row_number().over(order)).select("id", "rank", "term", "mean_w")
+    return ranked if k is None else ranked.filter(F.col("rank") <= k)
 
 
 def theme_centroids(points: DataFrame) -> DataFrame:
     """id, cx, cy: means to three decimals over ``points(themes, x, y)``."""
-    return points.select(F.explode("themes").alias("id"), "x", "y").groupBy("id").agg(F.bround(F.avg("x"), 3).alias("cx"), F.bround(F.avg("y"), 3).alias("cy"))
+    return points.select(F.explode_outer("themes").alias("id"), "x", "y").groupBy("id").agg(F.bround(F.avg("x"), 3).alias("cx"), F.bround(F.avg("y"), 3).alias("cy"))
 
 
 def theme_names(themes: Column, vocabulary: Vocabulary) -> Column:

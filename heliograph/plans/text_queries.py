@@ -34,7 +34,7 @@ post AS (SELECT DISTINCT ord, term FROM base WHERE length(term) >= 3 AND term NO
 
 @query(f"WITH {ARTICLES}, raw AS (SELECT ord, unnest(regexp_extract_all(lower(headline), '[a-z]{{2,}}')) AS t FROM art) SELECT ord, t AS token, {_canon('t')} AS base, count(*) AS n FROM raw GROUP BY ord, t")
 def canonical_tokens(spark, sf_dir):
-    rows = articles(spark, sf_dir).select("ord", F.explode(letter_runs(F.col("headline"))).alias("token"))
+    rows = articles(spark, sf_dir).select("ord", F.explode_outer(letter_runs(F.col("headline"))).alias("token")).filter("token is not null")
     return rows.groupBy("ord", "token").agg(F.count("*").alias("n")).select("ord", "token", canonical(F.col("token"), PROSE.variants).alias("base"), "n")
 
 
@@ -43,7 +43,7 @@ _WORDS = "regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}_]+')"
 
 @query(f"WITH {ARTICLES}, raw AS (SELECT ord, unnest({_WORDS.format('body')}) AS t FROM art) SELECT ord, count(*) AS n, count(DISTINCT t) AS kinds FROM raw WHERE regexp_full_match(t, '[a-z]{{2,}}') GROUP BY ord")
 def word_token_counts(spark, sf_dir):
-    rows = articles(spark, sf_dir).select("ord", F.explode(word_tokens(F.col("body"))).alias("t"))
+    rows = articles(spark, sf_dir).select("ord", F.explode_outer(word_tokens(F.col("body"))).alias("t")).filter("t is not null")
     return rows.groupBy("ord").agg(F.count("*").alias("n"), F.count_distinct("t").alias("kinds"))
 
 
@@ -166,7 +166,7 @@ def theme_top_terms(spark, sf_dir):
     w = terms.tfidf(counts, terms.vocabulary_of(counts, n), n)
     from pyspark.sql import Window
 
-    every = themes.theme_terms(themes.assign(rows, PROSE), w, k=1 << 30).withColumn("mean_w", sixths(F.col("mean_w")))
+    every = themes.theme_terms(themes.assign(rows, PROSE), w, k=None).withColumn("mean_w", sixths(F.col("mean_w")))
     order = Window.partitionBy("id").orderBy(F.desc("mean_w"), "term")
     return every.withColumn("rank", F.row_number().over(order).cast("bigint")).filter("rank <= 5").select("id", "rank", "term", "mean_w")
 
@@ -197,7 +197,7 @@ def ctfidf_terms(spark, sf_dir):
     from pyspark.sql import Window
 
     rows = _lang_classes(spark, sf_dir)
-    found = terms.class_terms(rows, PROSE.stop, k=1 << 30).withColumn("score", F.floor(F.col("score") * 100000000 + 0.5))
+    found = terms.class_terms(rows, PROSE.stop, k=None).withColumn("score", F.floor(F.col("score") * 100000000 + 0.5))
     order = Window.partitionBy("cluster").orderBy(F.desc("score"), "term")
     top = found.withColumn("rank", F.row_number().over(order).cast("bigint")).filter("rank <= 20")
     names = rows.select("cluster", "lang").distinct()
