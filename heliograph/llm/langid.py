@@ -18,7 +18,7 @@ from heliograph.llm.common import fold, small_batches
 
 WINDOW, WIDTHS, FILTERS, EMBEDDING = 256, (2, 3, 4), 16, 8
 #: Per language at most so many labelled texts are trained on, with so many windows of each.
-TEXTS, WINDOWS_PER_TEXT, EPOCHS, BATCH = 400, 4, 12, 64
+TEXTS, WINDOWS_PER_TEXT, EPOCHS, BATCH = 400, 4, 6, 64
 #: The network tells so many languages apart at most: the most frequent.
 LANGUAGES = 1000
 UNDETERMINED = "und"

@@ -31,7 +31,7 @@ LAST = "toxic"
 SAMPLE, LONGEST, FEATURES, FOLDS = 3000, 20_000, 800, 5
 #: Lengths in bytes of the beginnings of words.
 STEMS = (4, 5, 6)
-LEAST_TEXTS, RIDGE, STEPS = 4, 3e-4, 300
+LEAST_TEXTS, RIDGE, STEPS, FOLD_STEPS = 4, 3e-4, 300, 120
 
 
 def features_of(text: str | None) -> set[bytes]:
@@ -108,7 +108,7 @@ def learn(texts: list[str], toxic: np.ndarray, seeds: dict[str, list[str]] = SEE
         for k in range(folds):
             inside = fold_of != k
             if inside.any() and (~inside).any():
-                w = fit_linear(x[inside], target[inside])
+                w = fit_linear(x[inside], target[inside], FOLD_STEPS)
                 outside[~inside] = 1 / (1 + np.exp(-np.clip(x[~inside] @ w[:-1] + w[-1], -30, 30)))
         chain.weights.append(fit_linear(x, target))
         x = np.concatenate([x, outside[:, None]], 1)
