@@ -89,3 +89,24 @@ def test_pixels(spark):
     p = spark.createDataFrame([(1, 0.0, 0.0), (2, 1.0, 1.0)], "ord int, x double, y double")
     got = {r.ord: (round(r.px), round(r.py)) for r in report.in_pixels(p, similarity.extents(p, 0.0), 100, 50).collect()}
     assert got == {1: (0, 50), 2: (100, 0)}
+
+
+def test_vector_cache(spark, tmp_path):
+    import pytest
+
+    from heliograph.sources.vectors import cached_vectors, first_that_works, read_cache
+
+    path = str(tmp_path / "cache")
+    rows = spark.createDataFrame([("a", "xx"), ("b", "y")], "url string, text string")
+    one = cached_vectors(rows.limit(1), path, "content", "Some/Model v1", lambda t: np.array([[len(x), 0.0] for x in t]))
+    assert [(r.url, list(r.vec)) for r in one.collect()] == [("a", [1.0, 0.0])]
+    both = cached_vectors(rows, path, "content", "Some/Model v1", lambda t: np.array([[0.0, 3.0] for _ in t]))
+    assert {r.url: list(r.vec) for r in both.collect()} == {"a": [1.0, 0.0], "b": [0.0, 1.0]}
+    assert read_cache(spark, path, "headline", "some-model-v1").count() == 0 and read_cache(spark, path, "content", "some-model-v1").count() == 2
+
+    def broken():
+        raise ImportError("no such library")
+
+    assert first_that_works(broken, lambda: len)("ab") == 2
+    with pytest.raises(ImportError):
+        first_that_works(broken)

@@ -50,3 +50,18 @@ def test_windows_start_on_monday(spark):
 def test_alerts(spark):
     rows = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "a"), ("2", "a")], "aid string, headline string")
     assert [(r.aid, r.n) for r in streams.revision_alerts(rows).collect()] == [("1", 2)]
+
+
+def test_windows_of_a_stream_close_at_the_watermark(spark, tmp_path):
+    schema, folder = "t timestamp, code string", tmp_path / "in"
+    folder.mkdir()
+    q = streams.bucket_counts(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(folder)), "t", "1 day", "code", late="1 day")
+    q = q.writeStream.format("memory").queryName("closed").outputMode("append").start()
+    try:
+        for k, day in enumerate((1, 1, 2, 5, 1, 9)):  # the fifth row is too late
+            (folder / f"{k}.json").write_text(f'{{"t": "2024-01-0{day} 10:00:00", "code": "x"}}\n')
+            q.processAllAvailable()
+        got = sorted((r.start.day, r.n) for r in spark.table("closed").collect())
+    finally:
+        q.stop()
+    assert got == [(1, 2), (2, 1), (5, 1)]
