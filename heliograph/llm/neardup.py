@@ -269,17 +269,16 @@ def _across(batches: Iterator[pd.DataFrame], least: list[int], similarity: float
         yield compared(pd.concat(held))
 
 
-def _salted(rows: DataFrame, few: DataFrame, on: list[str], ways: int = 16) -> DataFrame:
-    """rows joined to ``few``, which has a row per key, with each key's rows dealt over several tasks by node."""
-    way = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(ways - 1).cast("bigint")))
-    return rows.withColumn("__way", F.pmod(F.xxhash64("node"), F.lit(ways)).cast("bigint")).join(few.withColumn("__way", way), [*on, "__way"]).drop("__way")
+def _merged(rows: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
+    """rows joined to ``few``, which has a row per key, by a sort-merge join: adaptive execution splits a hot key's rows in that, but not in a broadcast join behind a shuffle."""
+    return rows.join(few.hint("merge"), on)
 
 
 def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     """bucket, node, root of members, pivots apart, of buckets that hold several components."""
     m = members.filter("node <> pivot").select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = m.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
-    return settle(_salted(m, several, ["bucket"]), "mixed")
+    return settle(_merged(m, several, ["bucket"]), "mixed")
 
 
 def _left_over(m: DataFrame, signs: DataFrame, least: list[int], similarity: float, block: int = BLOCK) -> DataFrame:
@@ -289,7 +288,7 @@ def _left_over(m: DataFrame, signs: DataFrame, least: list[int], similarity: flo
     per_root = per_root.withColumn("own", F.when(F.col("n") > block, F.col("root")))
     chunks = settle(per_root.groupBy("bucket", "own").agg(F.ceil(F.sum("n") / block).alias("chunks")), "chunks")
     sizes = per_root.select("bucket", "root", "own").join(chunks.withColumnRenamed("own", "o"), ["bucket"]).filter(F.col("own").eqNullSafe(F.col("o"))).select("bucket", "root", "own", "chunks")
-    placed = _salted(m, sizes, ["bucket", "root"]).withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+    placed = _merged(m, sizes, ["bucket", "root"]).withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
     each = chunks.select("bucket", "own", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk")).withColumn("name", F.xxhash64("own", "chunk"))
     x, y = each.alias("x"), each.alias("y")
     # Both sides of a pair are chunks, not rows: a bucket of n members has n / block of them.
