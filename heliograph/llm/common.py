@@ -53,7 +53,16 @@ def settle(df: DataFrame, tag: str = "t") -> DataFrame:
     """
     path = f"{_scratch_root(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._settled_at = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what settle() wrote for these frames. Only for frames that no later plan reads."""
+    for f in frames:
+        if path := getattr(f, "_settled_at", None):
+            _remove(f.sparkSession, path)
 
 
 def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:

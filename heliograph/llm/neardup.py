@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heliograph.llm.common import settle, small_batches
+from heliograph.llm.common import discard, settle, small_batches
 
 HASHES, BATCH = 256, 32
 #: So many more for the texts of buckets that hold several components, where many pairs come close to the similarity.
@@ -218,7 +218,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = settle(large, "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("x"))
-        e = settle(small.select("x.u", "x.v").filter("u <> v").distinct(), "edges")
+        old, e = e, settle(small.select("x.u", "x.v").filter("u <> v").distinct(), "edges")
+        discard(old, large)
 
 
 def _sign_more(batches: Iterator[pd.DataFrame], size: int, seed: int) -> Iterator[pd.DataFrame]:
@@ -323,8 +324,10 @@ def linked(docs: DataFrame, size: int = 5, similarity: float = 0.8, seed: int =
     pairs = members.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     pairs = settle(_pruned(pairs, reps, least), "pairs")
     ends = lambda t: t.select(F.col("a").alias("node")).union(t.select(F.col("b"))).distinct()
-    links = _confirmed(pairs, _texts(ends(pairs), reps, docs), size, similarity)
+    texts = _texts(ends(pairs), reps, docs)
+    links = _confirmed(pairs, texts, size, similarity)
     roots = settle(components(links), "roots")
+    discard(pairs, texts, links)
     mixed = _mixed(members.filter("n > 2"), roots)
     if not mixed.isEmpty():
         texts = _texts(mixed.select("node").distinct(), reps, docs)
@@ -332,10 +335,13 @@ def linked(docs: DataFrame, size: int = 5, similarity: float = 0.8, seed: int =
         signs = settle(more.join(reps.select("node", "bands", "sig"), "node").select("node", "n", "bands", F.concat("sig", "more").alias("sig")), "signs")
         pairs = settle(_left_over(mixed, signs, least_matches(similarity, HASHES + MORE_HASHES), similarity, block), "across")
         stars = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = settle(components(stars.union(_confirmed(pairs, texts, size, similarity))), "roots")
+        links = _confirmed(pairs, texts, size, similarity)
+        roots = settle(components(stars.union(links)), "roots")
+        discard(texts, signs, pairs, links)
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = settle(named.select("node", "root").join(first, "root").select("node", "component_id"), "named")
+    discard(classes, reps, members, mixed, roots)
     return s.select("doc_id", "text_key", "n_shingles", "node").join(named, "node", "left").select("doc_id", "text_key", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
