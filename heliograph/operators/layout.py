@@ -13,6 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of the matrix of terms that are summed together.
+STRIP = 64
+
 
 def dimensions(n: int, terms: int, most: int = 50) -> int:
     return max(0, min(most, n - 1, terms - 1))
@@ -21,33 +24,45 @@ def dimensions(n: int, terms: int, most: int = 50) -> int:
 def lsa(weights: DataFrame, n: int, key: str = "ord", most: int = 50) -> DataFrame:
     """key and z: rows of a sparse matrix ``(key, term, w)`` on its leading right singular vectors, each with its largest part positive.
 
-    The products of columns are summed in Spark; the matrix of terms, whose
-    side the vocabulary cap bounds, is decomposed in the driver.
+    The products of columns are summed in Spark, in strips of the upper
+    triangle; the matrix of terms, whose side the vocabulary cap bounds (200
+    MB at 5000 terms), is decomposed in the driver.
     """
     spark = weights.sparkSession
     terms = [r.term for r in weights.select("term").distinct().orderBy("term").collect()]
-    k = dimensions(n, len(terms), most)
+    m = len(terms)
+    k = dimensions(n, m, most)
     if k == 0:
         return weights.select(key).distinct().withColumn("z", F.array().cast("array<double>"))
     place = {t: i for i, t in enumerate(terms)}
     of = spark.sparkContext.broadcast(place)
 
     def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g = np.zeros((len(of.value), len(of.value)))
+        g = np.zeros((m, m))
         for b in batches:
             for t, w in zip(b["terms"], b["ws"]):
                 i, x = [of.value[s] for s in t], np.asarray(w)
                 g[np.ix_(i, i)] += np.outer(x, x)
-        at = np.flatnonzero(g.any(axis=1))
-        if len(at):
-            yield pd.DataFrame({"i": at, "row": list(g[at])})
+        for top in range(0, m, STRIP):
+            strip = np.triu(g[top : top + STRIP], top).ravel()
+            at = np.flatnonzero(strip)
+            if len(at):
+                yield pd.DataFrame({"top": [top], "at": [at.astype(np.int32)], "x": [strip[at]]})
+
+    def added(strips: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(STRIP * m)
+        for at, x in zip(strips["at"], strips["x"]):
+            total[at] += x
+        at = np.flatnonzero(total)
+        return pd.DataFrame({"top": [strips["top"].iat[0]], "at": [at.astype(np.int32)], "x": [total[at]]})
 
     rows = weights.groupBy(key).agg(F.collect_list("term").alias("terms"), F.collect_list("w").alias("ws")).persist()
-    parts = rows.mapInPandas(gram, "i int, row array<double>")
-    summed = parts.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x")).filter("x <> 0").toPandas()
-    g = np.zeros((len(terms), len(terms)))
-    g[summed["i"], summed["j"]] = summed["x"]
-    _, v = np.linalg.eigh((g + g.T) / 2)
+    schema = "top int, at array<int>, x array<double>"
+    summed = rows.mapInPandas(gram, schema).groupBy("top").applyInPandas(added, schema).toPandas()
+    g = np.zeros(m * m)
+    for top, at, x in zip(summed["top"], summed["at"], summed["x"]):
+        g[top * m + np.asarray(at)] = x
+    _, v = np.linalg.eigh(g.reshape(m, m), UPLO="U")
     v = v[:, ::-1][:, :k]
     v = v * np.sign(v[np.abs(v).argmax(axis=0), np.arange(k)])
     shared = spark.sparkContext.broadcast(v)

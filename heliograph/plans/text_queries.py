@@ -237,11 +237,11 @@ def body_extract(spark, sf_dir):
 
 @query()
 def lsa_layout(spark, sf_dir):
-    """Headlines on the first two latent dimensions."""
+    """Headlines on the first two latent dimensions; one without a term of the vocabulary lies at 0, 0."""
     rows = articles(spark, sf_dir).select("ord", F.col("headline").alias("text"))
     counts, n = terms.term_counts(rows, PROSE.stop).persist(), rows.count()
-    w = terms.tfidf(counts, terms.vocabulary_of(counts, n, most=300), n)
-    return layout.plane(layout.lsa(w, n))
+    w = terms.tfidf(counts, terms.vocabulary_of(counts, n), n)
+    return rows.select("ord").join(layout.plane(layout.lsa(w, n)), "ord", "left").fillna(0.0, ["x", "y"])
 
 
 @query()

@@ -1,12 +1,14 @@
 """The operators on hand-made rows."""
 
 import datetime as dt
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from heliograph.operators import archive, html, layout, report, revisions, shares, similarity, terms, themes, timeline
+from heliograph.plans.registry import QUERIES
 from heliograph.vocab import NEWS, PROSE, Source, Theme, Vocabulary
 
 ART = "url string, headline string, ord int"
@@ -173,6 +175,28 @@ def test_lsa_keeps_products(spark):
     assert z[0] @ z[1] == pytest.approx(0.0, abs=1e-9) and z[0] @ z[2] == pytest.approx(0.6) and np.abs(z[3]).max() == pytest.approx(0.0, abs=1e-9)
 
 
+def test_lsa_layout_matches_svd(spark, tmp_path):
+    """More than 300 terms, and headlines of rare terms only."""
+    rng = np.random.default_rng(3)
+    name = lambda i: "q" + chr(97 + i // 26) + chr(97 + i % 26) + "z"
+    heads = [" ".join(name(i) for i in np.minimum(rng.geometric(0.02, 8), 199)) for _ in range(300)]
+    heads += [f"{name(300 + i // 2)} {name(400 + i // 2)}" for i in range(60)] + ["unseen", "", None]
+    spark.createDataFrame([(i, h, "en", "s", 0) for i, h in enumerate(heads)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.ord: (r.x, r.y) for r in QUERIES["lsa_layout"](spark, str(tmp_path)).collect()}
+    tf = []
+    for h in heads:
+        w = (h or "").split()
+        tf.append(Counter(w + [f"{a} {b}" for a, b in zip(w, w[1:])]))
+    df = Counter(t for c in tf for t in c)
+    voc = sorted(t for t in df if 2 <= df[t] <= 0.6 * len(heads))
+    x = np.array([[(1 + np.log(c[t])) * (np.log((1 + len(heads)) / (1 + df[t])) + 1) if t in c else 0.0 for t in voc] for c in tf])
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    _, _, v = np.linalg.svd(x)
+    v = v[:2] * np.sign(v[[0, 1], np.abs(v[:2]).argmax(axis=1)])[:, None]
+    assert len(voc) > 300 and sorted(got) == list(range(len(heads)))
+    assert np.array([got[i] for i in range(len(heads))]) == pytest.approx(x @ v.T, abs=1e-8)
+
+
 LONG = "This paragraph is certainly longer than forty characters."
 
 
