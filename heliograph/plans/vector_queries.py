@@ -130,8 +130,9 @@ def plane_extents(spark, sf_dir):
 
 @query()
 def density_clusters(spark, sf_dir):
-    """Leaves of the single-linkage tree over the first five dimensions."""
-    return layout.density_clusters(vectors(spark, sf_dir).select("id", F.slice("v", 1, 5).alias("v")))
+    """Leaves of the single-linkage tree over the five leading principal components, as in a report."""
+    v = vectors(spark, sf_dir)
+    return layout.density_clusters(layout.components_of(v, max(1, min(5, v.count() - 2))).withColumnRenamed("z", "v"))
 
 
 @query()

@@ -164,6 +164,48 @@ def test_leaf_clusters():
     assert a and b and not a & b and set(labels[45:]) == {-1}
 
 
+def test_density_clusters_match_brute_force(spark, tmp_path):
+    """Groups that differ beyond the fifth coordinate only."""
+    rng = np.random.default_rng(5)
+    v = rng.normal(0, 0.05, (72, 12))
+    v[:25, 8] += 3
+    v[25:50, 10] -= 3
+    v[50:55] += rng.normal(0, 9, (5, 12))
+    order = rng.permutation(72)
+    spark.createDataFrame([(int(i), v[i].tolist(), 0) for i in order], "vec_id long, embedding array<double>, label int").repartition(3).write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {r.id: r.cluster for r in QUERIES["density_clusters"](spark, str(tmp_path)).collect()}
+    c = v - v.mean(0)
+    z = c @ np.linalg.svd(c)[2][:5].T
+    d = np.sqrt(np.square(z[:, None] - z[None]).sum(-1))
+
+    def parts(ids, under):
+        """Connected components of the pairs nearer than a distance."""
+        left, out = set(ids), []
+        while left:
+            todo, one = [left.pop()], set()
+            while todo:
+                i = todo.pop()
+                one.add(i)
+                near = {j for j in left if d[i, j] < under}
+                left -= near
+                todo += near
+            out.append(one)
+        return out
+
+    def leaves(ids):
+        at = ids
+        while True:
+            under = next(t for t in sorted({d[i, j] for i in at for j in at}, reverse=True) if len(parts(at, t)) > 1)
+            large = [p for p in parts(at, under) if len(p) >= 6]
+            if len(large) != 1:
+                return [x for p in large for x in leaves(p)] or [ids]
+            at = large[0]
+
+    wanted = leaves(set(range(72)))
+    assert len(wanted) > 2 and sorted(got) == list(range(72))
+    assert {frozenset(i for i in got if got[i] == k) for k in set(got.values()) - {-1}} == set(map(frozenset, wanted))
+
+
 def test_few_rows_are_one_cluster(spark):
     rows = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(11)], "id long, v array<double>")
     assert {r.cluster for r in layout.density_clusters(rows).collect()} == {0}
