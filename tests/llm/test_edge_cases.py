@@ -117,6 +117,21 @@ def test_tokens(docs):
     assert sorted(map(str, tokens.count_tokens(docs, spec, head_pieces=1).collect())) == sorted(map(str, got))
 
 
+def test_tokens_of_texts_whose_short_hashes_are_equal(spark):
+    """Under a null and a repeated id; F.hash gives the two texts of each pair the same 32 bits."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(str(path))
+    pairs = [(5, 151709, 0, 335349), (3, 157328, 0, 256662), (2, 70226, 5, 224782), (0, 85232, 3, 262426)]
+    texts = [f"{'word ' * k}n{i}" for a, b, c, d in pairs for k, i in ((a, b), (c, d))] + [f"text {i}" for i in range(200)]
+    rows = spark.createDataFrame([(i, t) for i in (None, 7) for t in texts], "doc_id long, text string").repartition(3)
+    assert rows.select(F.hash("text")).distinct().count() == len(texts) - len(pairs)
+    got = sorted((r.doc_id or 0, r.n_bytes, r.n_tokens) for r in tokens.count_tokens(rows, open(path, encoding="utf-8").read()).collect())
+    assert got == sorted((i, len(t), len(tok.encode(t, add_special_tokens=False).ids)) for i in (0, 7) for t in texts)
+
+
 def test_mixing(spark, docs):
     got = mixing.mix(docs).collect()
     assert len(got) == len(ROWS) and all(0 <= r.taken <= 2 * r.size for r in got)
