@@ -1,16 +1,16 @@
-"""URL filtering by a rule list and by association rules that FP-growth mines from labelled URLs, in DataFrame operations only."""
+"""URL filtering by a rule list and by association rules that are mined from labelled URLs level by level, in DataFrame operations only."""
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliograph.llm.common import settle
 
-BLOCKED = "label=block"
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT, MIN_ROWS = 0.002, 0.7, 1.5, 15
-#: Of a labelled URL, so many of its rarest frequent tokens are mined, and antecedents have at most so many.
+#: The first is for the SQL only, which takes so many of a URL's rarest frequent tokens; all are mined here. Antecedents have at most RULE_TOKENS.
 MINED_TOKENS, RULE_TOKENS = 12, 3
 #: The rules are broadcast while they are no more than this; each has at most RULE_TOKENS hashes.
 BROADCAST_RULES = 100_000
@@ -53,33 +53,63 @@ def tokens_of(url: Column) -> Column:
     )
 
 
+def _following(tokens: Column, token: Column) -> Column:
+    """Those of the sorted tokens that come after one."""
+    return F.slice(tokens, F.array_position(tokens, token).cast("int") + 1, F.size(tokens))
+
+
+def _growing(level: DataFrame, n: int) -> DataFrame:
+    """The sets that a longer rule may hold: not all of their rows are blocked, and not all rows have them."""
+    return level.filter((F.col("b") < F.col("n")) & (F.col("n") < n))
+
+
 def mine_rules(
-    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT, min_rows: int = MIN_ROWS, mined_tokens: int = MINED_TOKENS, rule_tokens: int = RULE_TOKENS
+    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT, min_rows: int = MIN_ROWS, rule_tokens: int = RULE_TOKENS, broadcast_rules: int = BROADCAST_RULES
 ) -> DataFrame:
     """tokens, confidence, support and lift of the rules tokens -> block, from ``labelled(url, bad)``.
 
-    Tokens rarer than the support are left out beforehand, as no frequent
-    set holds them. Rules that add a token to another rule without raising
-    its confidence are pruned. Without labelled rows there are no rules.
+    Sets of tokens are counted level by level over all tokens of each URL,
+    up to rule_tokens. A longer set is counted only if all its parts have
+    the support. Nothing is lost by leaving out, too, those that add a
+    token to a set whose rows all have it or are all blocked: they cannot
+    raise its confidence. Rules that add a token to another rule without
+    raising its confidence are pruned. Without labelled rows there are no
+    rules.
     """
     spark = labelled.sparkSession
-    rows = settle(labelled.filter("url is not null and bad is not null").select(F.expr("uuid()").alias("id"), tokens_of(F.col("url")).alias("tokens"), "bad"), "labelled")
-    n = rows.count()
-    empty = spark.createDataFrame([], "tokens array<string>, confidence double, support double, lift double")
-    if not n:
-        return empty
-    least = max(min_support, min(1.0, min_rows / n))
-    counted = rows.select("id", F.explode("tokens").alias("token"))
-    often = counted.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= least * n)
-    kept = counted.join(often, "token").groupBy("id").agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct("n", "token"))), lambda x: x["token"]), 1, mined_tokens).alias("kept"))
-    items = rows.join(kept, "id", "left").select(F.concat(F.coalesce("kept", F.array().cast("array<string>")), F.when(F.col("bad"), F.array(F.lit(BLOCKED))).otherwise(F.array().cast("array<string>"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(items)
-    found = settle(
-        model.associationRules.filter((F.element_at("consequent", 1) == BLOCKED) & (F.size("antecedent") <= rule_tokens) & (F.col("lift") >= min_lift)).select(
-            F.array_sort("antecedent").alias("tokens"), "confidence", "support", "lift"
-        ),
-        "rules",
-    )
+    rows = settle(labelled.filter("url is not null and bad is not null").select(F.array_sort(tokens_of(F.col("url"))).alias("tokens"), F.col("bad").cast("int").alias("bad")), "labelled")
+    n, bad = rows.agg(F.count("*"), F.coalesce(F.sum("bad"), F.lit(0))).first()
+    need = max(1, math.ceil(max(min_support, min(1.0, min_rows / n)) * n)) if n else 1
+    if bad < need:
+        return spark.createDataFrame([], "tokens array<string>, confidence double, support double, lift double")
+    counts = [F.count("*").alias("n"), F.sum("bad").alias("b")]
+    often = lambda sets: sets.groupBy("tokens").agg(*counts).filter(F.col("b") >= need)
+    level = settle(often(rows.select(F.explode("tokens").alias("token"), "bad").select(F.array("token").alias("tokens"), "bad")), "level")
+    found = level
+    for size in range(2, rule_tokens + 1):
+        grow = _growing(level, n).withColumn("head", F.slice("tokens", 1, size - 2)).withColumn("last", F.element_at("tokens", -1))
+        if size == 2:
+            # Pairs of single tokens are many, but few occur: they are read off the rows.
+            single = F.broadcast(grow.select("last")) if grow.count() <= broadcast_rules else grow.select("last")
+            first = rows.select("tokens", "bad", F.explode("tokens").alias("last")).join(single, "last").select(F.explode(_following(F.col("tokens"), F.col("last"))).alias("next"), "last", "bad")
+            sets = first.join(single.withColumnRenamed("last", "next"), "next").select(F.array("last", "next").alias("tokens"), "bad")
+        else:
+            other = grow.select("head", F.col("last").alias("next"))
+            wider = grow.select("tokens", "head", "last").join(other, "head").filter("next > last").select(F.concat("tokens", F.array("next")).alias("tokens"))
+            parts = wider.select("tokens", F.explode(F.transform("tokens", lambda x: F.array_remove("tokens", x))).alias("part"))
+            whole = parts.join(grow.select(F.col("tokens").alias("part")), "part").groupBy("tokens").agg(F.count("*").alias("k")).filter(F.col("k") == size).select("tokens")
+            wanted = settle(whole.groupBy(F.slice("tokens", 1, size - 1).alias("head")).agg(F.collect_list(F.element_at("tokens", -1)).alias("nexts")).withColumn("start", F.col("head")[0]), "wanted")
+            size_of = wanted.agg(F.sum(F.size("nexts"))).first()[0] or 0
+            asked = rows.select("tokens", "bad", F.explode("tokens").alias("start")).join(F.broadcast(wanted) if size_of <= broadcast_rules else wanted, "start").filter(F.size(F.array_except("head", "tokens")) == 0)
+            sets = asked.select("head", "bad", F.explode(F.array_intersect("nexts", "tokens")).alias("next")).select(F.concat("head", F.array("next")).alias("tokens"), "bad")
+        counted = often(sets)
+        parts = counted.select("tokens", "n", "b", F.explode(F.transform("tokens", lambda x: F.array_remove("tokens", x))).alias("part"))
+        known = level.select(F.col("tokens").alias("part"), F.col("n").alias("part_n"))
+        level = settle(parts.join(known, "part").groupBy("tokens", "n", "b").agg(F.min("part_n").alias("least")).filter("n < least").select("tokens", "n", "b"), "level")
+        found = found.unionByName(level)
+    confidence = F.col("b") / F.col("n")
+    found = found.select("tokens", confidence.alias("confidence"), (F.col("b") / F.lit(n)).alias("support"), (confidence / F.lit(bad / n)).alias("lift"))
+    found = settle(found.filter((F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift)), "rules")
     # A rule stands if none of its parts, which have rule_tokens at most, is as confident.
     parts = F.filter(F.flatten(F.array(F.transform("tokens", lambda x: F.array_except("tokens", F.array(x))), F.transform("tokens", lambda x: F.array(x)))), lambda p: (F.size(p) > 0) & (F.size(p) < F.size("tokens")))
     shorter = found.select(F.explode(parts).alias("part"), "tokens", "confidence")

@@ -219,6 +219,30 @@ def test_mined_rules_match_brute_force(spark):
     assert scores == pytest.approx({k: v for k, v in plain.items() if v is not None})
 
 
+def test_rules_of_urls_with_many_frequent_tokens(spark):
+    """Twenty frequent path words a URL: the commonest ones make rules, too."""
+    rng = random.Random(11)
+    words = [chr(97 + i) * 3 for i in range(22)]
+    rows = []
+    for _ in range(300):
+        own = [w for w in words if rng.random() < 0.8]
+        rows.append((f"http://h.org/{'/'.join(own)}", rng.random() < (0.6 if {*words[-3:]} <= {*own} else 0.05)))
+    rows += [(f"http://h.org/zz/{'/'.join(words[:3])}", True)] * 20
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    got = {tuple(r.tokens): r.confidence for r in url_rules.mine_rules(df, min_rows=10, min_confidence=0.3, min_lift=1.1).collect()}
+    each = [(frozenset(r.t), r.bad) for r in df.select(url_rules.tokens_of(F.col("url")).alias("t"), "bad").collect()]
+    n, share = len(each), np.mean([b for _, b in each])
+    count, bad = Counter(), Counter()
+    for t, b in each:
+        for k in (1, 2, 3):
+            for c in itertools.combinations(sorted(t), k):
+                count[c] += 1
+                bad[c] += b
+    found = {c: bad[c] / count[c] for c in count if bad[c] >= max(url_rules.MIN_SUPPORT, 10 / n) * n and bad[c] / count[c] >= 0.3 and bad[c] / count[c] / share >= 1.1}
+    found = {c: x for c, x in found.items() if not any(found.get(s, -1) >= x for k in range(1, len(c)) for s in itertools.combinations(c, k))}
+    assert got == pytest.approx(found) and {1, 2, 3} <= set(map(len, found)) and min(len(t) for t, _ in each[:300]) > 12
+
+
 def test_url_query(spark, sf):
     got = queries.op5_url_filters(spark, sf).collect()
     pages = {r.page_id: r.url for r in read(spark, sf, "pages").collect()}
