@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heliograph.llm.common import discard, settle, small_batches
+from heliograph.llm.common import discard, maybe_among, packed, settle, small_batches, text_of
 
 HASHES, BATCH = 256, 32
 #: So many more for the texts of buckets that hold several components, where many pairs come close to the similarity.
@@ -132,15 +132,29 @@ def _sign(batches: Iterator[pd.DataFrame], size: int, rows: int, seed: int) -> I
         yield f.astype({"doc_id": "Int64", "node": "Int64", "check": "Int64"})
 
 
-def signed(docs: DataFrame, size: int, similarity: float, seed: int = 1) -> DataFrame:
-    """doc_id, text_key, n_shingles, node, bands and sig per row; node, the class of equal sets, is null without words."""
-    rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
+def _rows(docs: DataFrame) -> DataFrame:
+    """doc_id, text and text_key of each row."""
+    return small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of(F.col("text")).alias("text")).withColumn("text_key", F.xxhash64("text"))
+
+
+def signed(docs: DataFrame, size: int, similarity: float, seed: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes), both settled.
+
+    Rows have doc_id, text_key, n_shingles and node; node, the class of equal
+    sets, is null without words. A class has node, first_id (its least
+    doc_id), and of one of its rows doc_id, text_key, bands and sig.
+    """
+    rows = _rows(docs)
     for k in range(4):
         made = partial(_sign, size=size, rows=band_rows(similarity), seed=seed + k)
         found = settle(rows.mapInPandas(made, "doc_id long, text_key long, n_shingles long, node long, check long, bands array<long>, sig binary"), "signed")
+        one = F.min_by(F.struct("doc_id", "text_key", "bands", "sig"), "text_key").alias("x")
+        grouped = found.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("check").alias("lo"), F.max("check").alias("hi"), one)
+        classes = settle(grouped.select("node", "first_id", (F.col("lo") != F.col("hi")).alias("mixed"), "x.*"), "classes")
         # Classes are told apart by 64 of their digest's 128 bits. That this is enough is checked; else other digests are taken.
-        if found.groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).filter("lo <> hi").isEmpty():
-            return found.drop("check")
+        if classes.filter("mixed").isEmpty():
+            return found.drop("check"), classes.drop("mixed")
+        discard(found, classes)
     raise RuntimeError("digests of different sets agree")
 
 
@@ -189,12 +203,14 @@ def _confirm(batches: Iterator[pd.DataFrame], size: int, similarity: int) -> Ite
 
 
 def _texts(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """node and text of some classes."""
-    rows = nodes.join(reps.select("node", "doc_id", "text_key"), "node")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
+    """node and text of some classes. Of the documents, only those that such a class may come from are shuffled."""
+    rows = settle(nodes.join(reps.select("node", "doc_id", "text_key"), "node"), "wanted")
+    texts = maybe_among(_rows(docs), F.col("text_key"), rows.select("text_key")).filter("_maybe").drop("_maybe")
     same = rows["doc_id"].eqNullSafe(texts["doc_id"]) & (rows["text_key"] == texts["text_key"])
     # Of repeated rows the least text stands for all.
-    return settle(rows.join(texts, same).groupBy("node").agg(F.min("text").alias("text")), "texts")
+    found = settle(rows.join(texts, same).groupBy("node").agg(F.min("text").alias("text")), "texts")
+    discard(rows)
+    return found
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -203,15 +219,16 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: float)
     return settle(both.mapInPandas(partial(_confirm, size=size, similarity=round(1000 * similarity)), "a long, b long"), "links")
 
 
+def _are_stars(e: DataFrame) -> bool:
+    """Whether every u of the edges (u, v) has one v, and no v is a u."""
+    each = e.groupBy("u").agg(F.count("*").alias("n"))
+    return each.filter("n > 1").isEmpty() and e.join(each.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """node, root of every node in edges (a, b): root is the least node reachable. By alternating large and small stars."""
+    """node, root of every node in edges (a, b): root is the least node reachable. By alternating large and small stars, until nothing but stars is left."""
     e = settle(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
-    while True:
-        now = e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("decimal(38,0)"))).first()
-        if now == before or not now[0]:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        before = now
+    while not _are_stars(e):
         ways = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = ways.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = ways.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
@@ -220,6 +237,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("x"))
         old, e = e, settle(small.select("x.u", "x.v").filter("u <> v").distinct(), "edges")
         discard(old, large)
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
 def _sign_more(batches: Iterator[pd.DataFrame], size: int, seed: int) -> Iterator[pd.DataFrame]:
@@ -314,10 +332,7 @@ def linked(docs: DataFrame, size: int = 5, similarity: float = 0.8, seed: int =
     are ignored; an empty table gives no rows.
     """
     least = least_matches(similarity)
-    s = signed(docs, size, similarity, seed)
-    some = s.filter("node is not null")
-    classes = settle(some.groupBy("node").agg(F.min("doc_id").alias("first_id")), "classes")
-    reps = settle(some.drop("n_shingles").dropDuplicates(["node"]), "reps")
+    s, reps = signed(docs, size, similarity, seed)
     bands = reps.select("node", F.explode("bands").alias("bucket"))
     pivots = bands.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
     members = settle(bands.join(pivots, "bucket"), "members")
@@ -338,10 +353,10 @@ def linked(docs: DataFrame, size: int = 5, similarity: float = 0.8, seed: int =
         links = _confirmed(pairs, texts, size, similarity)
         roots = settle(components(stars.union(links)), "roots")
         discard(texts, signs, pairs, links)
-    named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = reps.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = settle(named.select("node", "root").join(first, "root").select("node", "component_id"), "named")
-    discard(classes, reps, members, mixed, roots)
+    discard(reps, members, mixed, roots)
     return s.select("doc_id", "text_key", "n_shingles", "node").join(named, "node", "left").select("doc_id", "text_key", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
@@ -351,8 +366,17 @@ def find_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8, **o
 
 
 def keep_first(docs: DataFrame, size: int = 5, similarity: float = 0.8, **options) -> DataFrame:
-    """The rows of ``docs``, with all their columns, of one document per component; of rows of equal id and text, one."""
-    kept = linked(docs, size, similarity, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    tagged = docs.withColumns({"__d": F.col("doc_id").cast("bigint"), "__k": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    found = tagged.join(kept, tagged["__d"].eqNullSafe(kept["__id"]) & (tagged["__k"] == kept["__key"]), "left_semi")
-    return found.dropDuplicates(["__d", "__k"]).drop("__d", "__k")
+    """The rows of ``docs``, with all their columns, of one document per component; of rows of equal id and text, one.
+
+    Only rows that may go are shuffled: those whose text is that of a row that isn't kept, or of several rows.
+    """
+    found = settle(linked(docs, size, similarity, **options).select("doc_id", "text_key", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")), "found")
+    per = settle(found.groupBy("doc_id", "text_key").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("copies")).filter("copies > 1 or not kept"), "touched")
+    rows = packed(docs, F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_of(F.col("text"))).alias("text_key"))
+    rows = maybe_among(rows, F.col("text_key"), per.select("text_key"))
+    asked = rows.filter("_maybe").alias("r").join(per.alias("p"), F.col("r.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("r.text_key") == F.col("p.text_key")), "left")
+    untouched = asked.filter(F.col("p.kept").isNull()).select("r.row")
+    # Repeated rows may differ in other columns; the least of them by those that can be compared stays.
+    order = F.to_json("r.row")
+    repeated = asked.filter("p.kept").groupBy("r.doc_id", "r.text_key").agg(F.min_by("r.row", order).alias("row")).select("row")
+    return rows.filter("not _maybe").select("row").unionByName(untouched).unionByName(repeated).select("row.*")
