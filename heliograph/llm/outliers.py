@@ -1,9 +1,11 @@
 """Quality rules: robust multivariate outliers among statistics of texts.
 
 The minimum covariance determinant is found per group by concentration
-steps from a deterministic start (medians and scaled absolute deviations):
-distances, their h-quantile, and the moments of the rows within it, each an
-aggregation over all rows. No group is collected.
+steps from several starts: distances, their h-quantile, and the moments of
+the rows within it, each an aggregation over all rows. No group is
+collected. Statistics are whole multiples of 1/GRID and distances are
+ranked on a grid, so that counts and sums are exact: the result depends
+neither on how rows are partitioned nor on the order in which they are added.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heliograph.llm.common import settle, small_batches
+from heliograph.llm.common import discard, settle, small_batches
 
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _ALL = (*_BASE, "n_lines", "n_upper", "n_marks")
@@ -30,7 +32,14 @@ _UPPER = bytes(range(65, 91))
 _MARKS = b"!?.,;:|=\"'()[]{}#*$%&<>/\\_-+~^@`"
 #: Least standard deviation of each component of the vector, in its own unit; most groups have none in some.
 FLOORS = (0.12, 0.5, 0.12, 0.1, 0.12, 0.15)
-SHARE, STEPS, LEAST_ROWS, TAIL = 0.75, 4, 64, 1e-6
+SHARE, STEPS, LEAST_ROWS, TAIL = 0.75, 4, 64, 1e-4
+#: Statistics are multiples of 1 / GRID; the cut among distances is at one of LEVELS places in each doubling.
+GRID, LEVELS = 1024, 64
+#: Rows within this quantile of the steps' result give the final estimate.
+REWEIGHTED = 0.975
+#: Starts as (quantiles whose mean is the centre, quantiles whose distance over the given factor is the spread).
+QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
+STARTS = (((2, 2), (1, 3), 1.349), ((1, 3), (0, 4), 3.290))
 
 
 def statistics(text: str | None) -> tuple[int, ...]:
@@ -63,9 +72,9 @@ def _statistics_udf() -> Column:
 
 
 def _vector(s: Column) -> list[Column]:
-    """Mean word length, symbols, repeated lines, repeated words, capitals and marks, as logarithms or shares."""
+    """Mean word length, symbols, repeated lines, repeated words, capitals and marks, as logarithms or shares, in multiples of 1 / GRID."""
     per = lambda a, b: s[a].cast("double") / F.greatest(s[b], F.lit(1))
-    return [
+    exact = [
         F.log(F.greatest(per("word_chars", "n_words"), F.lit(0.5))),
         F.log1p(100 * per("n_symbols", "word_chars")),
         per("n_dup_lines", "n_lines"),
@@ -73,6 +82,7 @@ def _vector(s: Column) -> list[Column]:
         per("n_upper", "word_chars"),
         F.log1p(10 * per("n_marks", "word_chars")),
     ]
+    return [F.floor(x * GRID + 0.5).cast("bigint") for x in exact]
 
 
 def chi2_cdf(x: float, k: float) -> float:
@@ -98,114 +108,144 @@ def chi2_quantile(p: float, k: float) -> float:
 
 
 def _models(batches: Iterator[pd.DataFrame], p: int, floors: tuple[float, ...], share: float) -> Iterator[pd.DataFrame]:
-    """Location and precision matrix from the sums of a group's selected rows."""
+    """Location, precision matrix and its determinant's logarithm from the sums of a group's selected rows."""
     at = np.triu_indices(p)
     scale = share / chi2_cdf(chi2_quantile(share, p), p + 2)
     for b in batches:
         out = []
-        for key, n, s, q in zip(b["key"], b["n"], b["sums"], b["products"]):
-            loc = np.asarray(s, float) / n
+        for key, start, n, s, q in zip(b["key"], b["start"], b["n"], b["sums"], b["products"]):
+            loc = np.asarray(s, float) / n / GRID
             cov = np.zeros((p, p))
-            cov[at] = np.asarray(q, float) / n - np.outer(loc, loc)[at]
+            cov[at] = np.asarray(q, float) / n / GRID**2 - np.outer(loc, loc)[at]
             cov = (cov + np.triu(cov, 1).T) * scale
             d = np.diag(cov)
             grown = np.maximum(d, np.square(floors))
             cov = cov + np.diag(grown - d)
-            out.append((key, loc.tolist(), np.linalg.pinv(cov, hermitian=True).ravel().tolist()))
-        yield pd.DataFrame(out, columns=["key", "loc", "precision"])
+            out.append((key, start, loc.tolist(), np.linalg.pinv(cov, hermitian=True).ravel().tolist(), float(np.linalg.slogdet(cov)[1])))
+        yield pd.DataFrame(out, columns=["key", "start", "loc", "precision", "spread"])
+
+
+_MODEL = "key string, start int, loc array<double>, precision array<double>, spread double"
 
 
 def _distance(v: list[Column], loc: Column, precision: Column) -> Column:
     p = len(v)
-    d = [x - loc[i] for i, x in enumerate(v)]
+    d = [x / float(GRID) - loc[i] for i, x in enumerate(v)]
     return reduce(lambda a, b: a + b, [d[i] * d[j] * precision[i * p + j] * (1 if i == j else 2) for i in range(p) for j in range(i, p)])
 
 
 def _moments(rows: DataFrame, v: list[str]) -> DataFrame:
     p = len(v)
-    return rows.groupBy("key").agg(
+    return rows.groupBy("key", "start").agg(
         F.count("*").alias("n"),
         F.array(*[F.sum(v[i]) for i in range(p)]).alias("sums"),
         F.array(*[F.sum(F.col(v[i]) * F.col(v[j])) for i in range(p) for j in range(i, p)]).alias("products"),
     )
 
 
+def _starts(rows: DataFrame, v: list[str], floors: tuple[float, ...]) -> DataFrame:
+    """Centres and diagonal precisions from quantiles, which are exact: each statistic has as many values as the grid allows, however many rows there are."""
+    q = rows.groupBy("key").agg(*[F.percentile(x, list(QUANTILES)).alias(x) for x in v])
+    p, made = len(v), []
+    for k, ((a, b), (lo, hi), factor) in enumerate(STARTS):
+        loc = [(F.col(x)[a] + F.col(x)[b]) / (2.0 * GRID) for x in v]
+        spread = [F.greatest((F.col(x)[hi] - F.col(x)[lo]) / (factor * GRID), F.lit(f)) for x, f in zip(v, floors)]
+        precision = [1 / (spread[i] * spread[i]) if i == j else F.lit(0.0) for i in range(p) for j in range(p)]
+        made.append(F.struct(F.lit(k).alias("start"), F.array(*loc).alias("loc"), F.array(*precision).alias("precision"), F.lit(0.0).alias("spread")))
+    return q.select("key", F.explode(F.array(*made)).alias("m")).select("key", "m.*")
+
+
 def fit(rows: DataFrame, v: list[str], floors: tuple[float, ...] = FLOORS, share: float = SHARE, steps: int = STEPS) -> DataFrame:
-    """key, loc, precision of the MCD of each key's rows. ``rows`` has key and the columns ``v``, and is read several times."""
+    """key, loc, precision of the MCD of each key's rows. ``rows`` has key and the columns ``v`` in multiples of 1 / GRID, and is read several times.
+
+    Of the starts, the one whose steps end in the least determinant counts, of equal ones the first.
+    """
     p = len(v)
-    # The start: medians, and a diagonal of scaled absolute deviations from them.
-    middle = settle(rows.groupBy("key").agg(F.array(*[F.percentile_approx(x, 0.5, 1000) for x in v]).alias("loc")), "middle")
-    spread = rows.join(middle, "key").groupBy("key").agg(F.first("loc").alias("loc"), F.array(*[F.percentile_approx(F.abs(F.col(x) - F.col("loc")[i]), 0.5, 1000) for i, x in enumerate(v)]).alias("mad"))
-    diagonal = F.flatten(F.transform("mad", lambda m, i: F.transform(F.sequence(F.lit(0), F.lit(p - 1)), lambda j: F.when(i == j, 1 / F.pow(F.greatest(1.4826 * m, F.element_at(F.array(*map(F.lit, floors)), i + 1)), 2)).otherwise(0.0))))
-    model = settle(spread.select("key", "loc", diagonal.alias("precision")), "start")
-    for k in range(steps + 1):
-        near = rows.join(model, "key").select("key", *v, _distance([F.col(x) for x in v], F.col("loc"), F.col("precision")).alias("d2"))
-        if k < steps:  # a concentration step: the share of rows nearest to the centre
-            cut = settle(near.groupBy("key").agg(F.percentile_approx("d2", share, 1000).alias("cut")), "cut")
-            near, kept_share = near.join(cut, "key").filter("d2 <= cut"), share
-        else:  # the usual reweighting
-            kept_share = 0.975
-            near = near.filter(F.col("d2") <= chi2_quantile(kept_share, p))
-        model = settle(_moments(near, v).mapInPandas(partial(_models, p=p, floors=floors, share=kept_share), "key string, loc array<double>, precision array<double>"), "model")
-    return model
+    of = partial(_models, p=p, floors=floors)
+    model = settle(_starts(rows, v, floors), "start")
+    for _ in range(steps):  # a concentration step: the share of rows nearest to the centre
+        near = rows.join(model.drop("spread"), "key").select("key", "start", *v, _distance([F.col(x) for x in v], F.col("loc"), F.col("precision")).alias("d2"))
+        near = near.withColumn("level", F.ceil(F.log2(F.col("d2") + 2.0**-20) * LEVELS))
+        counts = near.groupBy("key", "start", "level").agg(F.count("*").alias("n"))
+        one = W.partitionBy("key", "start")
+        counts = counts.withColumns({"below": F.sum("n").over(one.orderBy("level")), "all": F.sum("n").over(one)})
+        cut = counts.filter(F.col("below") >= F.ceil(share * F.col("all"))).groupBy("key", "start").agg(F.min("level").alias("cut"))
+        inside = near.join(cut, ["key", "start"]).filter("level <= cut")
+        old, model = model, settle(_moments(inside, v).mapInPandas(partial(of, share=share), _MODEL), "model")
+        discard(old)
+    best = model.groupBy("key").agg(F.min_by(F.struct("loc", "precision"), F.struct("spread", "start")).alias("m")).select("key", "m.*")
+    near = rows.join(best, "key").withColumn("start", F.lit(0)).filter(_distance([F.col(x) for x in v], F.col("loc"), F.col("precision")) <= chi2_quantile(REWEIGHTED, p))
+    found = settle(_moments(near, v).mapInPandas(partial(of, share=REWEIGHTED), _MODEL).select("key", "loc", "precision"), "model")
+    discard(model)
+    return found
 
 
 def _keys(sizes: DataFrame, least: int) -> DataFrame:
-    """lang, source, key: the group's own key if it has enough rows, else one for its language, else one for all."""
-    small = F.sum(F.when(F.col("n") < least, F.col("n"))).over(W.partitionBy("lang"))
+    """lang, source, key and feeds: the model that judges the group, and those that learn from it.
+
+    A group with enough rows has a model of its own. A smaller one is judged
+    by that of all rows of its language, or if those are too few, of all rows.
+    """
+    lang = sizes.groupBy(F.col("lang").alias("of_lang")).agg(F.sum("n").alias("in_lang"), F.min("n").alias("smallest"))
+    every = lang.agg(F.coalesce(F.sum("in_lang"), F.lit(0)).alias("n"), F.min("in_lang").alias("smallest")).first()
     named = lambda level, *cols: F.to_json(F.struct(F.lit(level).alias("level"), *cols))
-    key = F.when(F.col("n") >= least, named("group", "lang", "source")).when(small >= least, named("lang", "lang")).otherwise(named("all"))
-    return sizes.select("lang", "source", key.alias("key"))
+    group, own_lang = F.col("n") >= least, F.col("in_lang") >= least
+    for_all = F.when(F.lit(every.n >= least), named("all"))
+    key = F.when(group, named("group", "lang", "source")).when(own_lang, named("lang", "lang")).otherwise(for_all)
+    feeds = [F.when(group, named("group", "lang", "source")), F.when(own_lang & (F.col("smallest") < least), named("lang", "lang")), for_all if every.n and every.smallest < least else F.lit(None).cast("string")]
+    tagged = sizes.join(lang, F.col("lang").eqNullSafe(F.col("of_lang")))
+    return tagged.select("lang", "source", key.alias("key"), F.array_compact(F.array(*feeds)).alias("feeds"))
 
 
-def _tagged(docs: DataFrame) -> DataFrame:
-    """docs with __s (counts), __lang, __source and __failed (the fixed rules)."""
-    failed = (F.col("__s.n_words") < 50) | (100 * F.col("__s.n_repeat_words") > 50 * F.col("__s.n_words"))
-    return small_batches(docs).withColumns({"__lang": F.col("lang").cast("string"), "__source": F.col("source").cast("string"), "__s": _statistics_udf()(F.col("text").cast("string"))}).withColumn("__failed", failed)
+def _with_keys(rows: DataFrame, keys: DataFrame, *wanted: str) -> DataFrame:
+    """rows with the wanted columns of their group. Only a column lang, a column source and names without clashes are asked of rows."""
+    k = keys.select(F.col("lang").alias("k_lang"), F.col("source").alias("k_source"), *wanted)
+    return rows.join(k, F.col("lang").eqNullSafe(F.col("k_lang")) & F.col("source").eqNullSafe(F.col("k_source"))).drop("k_lang", "k_source")
 
 
-def _fitted(tagged: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """(keys, models) from rows with __lang, __source, __s and __failed; read several times."""
-    v = [f"v{i}" for i in range(len(FLOORS))]
-    rows = tagged.filter(~F.col("__failed")).select(F.col("__lang").alias("lang"), F.col("__source").alias("source"), *[c.alias(n) for n, c in zip(v, _vector(F.col("__s")))])
-    keys = settle(_keys(rows.groupBy("lang", "source").agg(F.count("*").alias("n")), least), "keys")
-    keyed = settle(_with_key(rows, keys, "lang", "source"), "vectors")
-    large = keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("key")
-    return keys, fit(keyed.join(large, "key", "left_semi"), v)
+def _counted(docs: DataFrame, *carried: Column) -> DataFrame:
+    """lang, source, s (the counts), failed (the fixed rules) and what is carried along."""
+    failed = (F.col("s.n_words") < 50) | (100 * F.col("s.n_repeat_words") > 50 * F.col("s.n_words"))
+    rows = small_batches(docs).select(F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), _statistics_udf()(F.col("text").cast("string")).alias("s"), *carried)
+    return rows.withColumn("failed", failed)
 
 
-def _with_key(rows: DataFrame, keys: DataFrame, lang: str, source: str) -> DataFrame:
-    none = lambda c: F.coalesce(F.concat(F.lit("+"), c), F.lit("-"))  # noqa: E731  null gets a value of its own
-    k = keys.select(none(F.col("lang")).alias("__kl"), none(F.col("source")).alias("__ks"), "key")
-    return rows.withColumns({"__kl": none(F.col(lang)), "__ks": none(F.col(source))}).join(k, ["__kl", "__ks"], "left").drop("__kl", "__ks")
+def _fitted(counted: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """(keys, models) from rows with lang, source, s and failed; read several times."""
+    v = [f"v{i}" for i in range(len(FLOORS))]
+    passed = counted.filter(~F.col("failed"))
+    keys = settle(_keys(counted.groupBy("lang", "source").agg(F.count_if(~F.col("failed")).alias("n")), least), "keys")
+    rows = _with_keys(passed.select("lang", "source", *[c.alias(n) for n, c in zip(v, _vector(F.col("s")))]), keys, "feeds")
+    rows = settle(rows.select(F.explode("feeds").alias("key"), *v), "vectors")
+    models = fit(rows, v)
+    discard(rows)
+    return keys, models
 
 
-def _judged(tagged: DataFrame, keys: DataFrame, models: DataFrame, tail: float) -> DataFrame:
-    """tagged with __d2 (null without a model) and __kept."""
-    found = _with_key(tagged, keys, "__lang", "__source").withColumnRenamed("key", "__key")
-    m = models.select(F.col("key").alias("__key"), F.col("loc").alias("__loc"), F.col("precision").alias("__precision"))
-    found = found.join(m, "__key", "left").withColumn("__d2", _distance(_vector(F.col("__s")), F.col("__loc"), F.col("__precision")))
-    kept = ~F.col("__failed") & (F.coalesce("__d2", F.lit(0.0)) <= chi2_quantile(1 - tail, len(FLOORS)))
-    return found.withColumn("__kept", kept).drop("__key", "__loc", "__precision")
+def _judged(counted: DataFrame, keys: DataFrame, models: DataFrame, tail: float) -> DataFrame:
+    """counted with d2 (null without a model) and kept."""
+    found = _with_keys(counted, keys, "key").join(models, "key", "left").withColumn("d2", _distance(_vector(F.col("s")), F.col("loc"), F.col("precision")))
+    kept = ~F.col("failed") & (F.coalesce("d2", F.lit(0.0)) <= chi2_quantile(1 - tail, len(FLOORS)))
+    return found.withColumn("kept", kept)
 
 
 def judge(docs: DataFrame, least: int = LEAST_ROWS, tail: float = TAIL) -> DataFrame:
     """doc_id, the counts, base_failed, kept and distance of every row of ``docs(doc_id, text, lang, source)``.
 
-    A null or blank text has no words and fails. Languages and sources that
-    are null form groups like any other. A group of fewer than ``least``
-    rows that pass the fixed rules is judged with the other small groups of
-    its language, then of all; where even those are fewer, the fixed rules
-    decide alone and distance is null. Repeated rows each give a row; other
-    columns are ignored; an empty table gives no rows.
+    A null or blank text has no words and fails; a very long one is read
+    whole. Languages and sources that are null form groups like any other. A
+    group of fewer than ``least`` rows that pass the fixed rules is judged by
+    the model of all rows of its language, or where those are fewer, of all
+    rows; where even those are fewer, the fixed rules decide alone and
+    distance is null. Rows at the cut are within it. Repeated rows each give
+    a row; other columns are ignored; an empty table gives no rows.
     """
-    tagged = settle(_tagged(docs.select("doc_id", "text", "lang", "source")).drop("text", "lang", "source"), "statistics")
-    keys, models = _fitted(tagged, least)
-    return _judged(tagged, keys, models, tail).select("doc_id", *[F.col(f"__s.{c}").alias(c) for c in _BASE], F.col("__failed").alias("base_failed"), F.col("__kept").alias("kept"), F.sqrt("__d2").alias("distance"))
+    counted = settle(_counted(docs, F.col("doc_id")), "statistics")
+    keys, models = _fitted(counted, least)
+    return _judged(counted, keys, models, tail).select("doc_id", *[F.col(f"s.{c}").alias(c) for c in _BASE], F.col("failed").alias("base_failed"), "kept", F.sqrt("d2").alias("distance"))
 
 
 def keep_good(docs: DataFrame, least: int = LEAST_ROWS, tail: float = TAIL) -> DataFrame:
     """The rows of ``docs`` that judge() keeps, with all their columns."""
-    tagged = _tagged(docs)
-    keys, models = _fitted(settle(tagged.select("__lang", "__source", "__s", "__failed"), "statistics"), least)
-    return _judged(tagged, keys, models, tail).filter("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keys, models = _fitted(settle(_counted(docs), "statistics"), least)
+    return _judged(_counted(docs, F.struct("*").alias("row")), keys, models, tail).filter("kept").select("row.*")
