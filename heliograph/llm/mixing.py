@@ -6,18 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from heliograph.llm.common import settle
+from heliograph.llm.common import discard, settle, text_of
 
 WORDS = r"[^\x20\x09-\x0D]+"
 SOURCE_WEIGHTS, FACTOR, CAP = (3, 1, 2), 1.5, 2.0
-#: Bounds of a document's quality weight; weights beyond are moved to them.
-LOW, HIGH = 0.5, 2.0
 BUCKET_ROWS = 1024
+#: The range of weights that doubles leave room for: 2 to the power of minus this up to 2 to the power of this.
+POWERS = 60
 
 
-def sampling_key(doc_id: Column, weight: Column, seed: int) -> Column:
-    """An exponential key of rate ``weight``: the lower, the sooner a document is taken. The same for the same id and seed."""
-    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(f":{seed}")))
+def sampling_key(doc_id: Column, text: Column, weight: Column, seed: int) -> Column:
+    """An exponential key of rate ``weight``: the lower, the sooner a document is taken. The same for the same id, text and seed."""
+    digest = F.md5(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(text_of(text)), F.lit(str(seed))))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
     return -F.log(u) / weight
 
@@ -59,30 +59,43 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[float,
     it has none, the largest where it has several), up to the document
     whose middle lies beyond it. So what is taken is within half a document
     of the target. The order within a source comes from buckets of keys:
-    sizes are summed per bucket, so no source is sorted in one task.
+    sizes are summed per bucket, so no source is sorted in one task. Buckets
+    are cut by the distribution of keys that the source's weights give, so
+    they are even whatever the weights are.
 
-    A null text has size 0, and a size of 0 is taken 0 times. A null source
-    is a source. Rows of the same id and size are interchangeable. Other
-    columns are ignored; an empty table gives no rows.
+    A null text has size 0, and a size of 0 is taken 0 times; a very long
+    text is counted whole. A null source is a source. Rows of the same id
+    and text are interchangeable; keys that tie are ordered by id and size.
+    A weight that isn't positive counts as the least there is. Other columns
+    are ignored; an empty table gives no rows.
     """
-    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"))
+    size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORDS)), F.lit(0)).cast("long")
+    rows = docs.select(F.col("doc_id").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), F.col("text").cast("string").alias("text"))
     if quality is None:
         rows = rows.withColumn("weight", F.lit(1.0))
     else:
-        of = quality.groupBy("doc_id").agg(F.max("weight").alias("weight"))
-        rows = rows.join(of, "doc_id", "left").withColumn("weight", F.greatest(F.lit(LOW), F.least(F.lit(HIGH), F.coalesce("weight", F.lit(1.0)))))
-    rows = settle(rows.select("doc_id", "source", "size", sampling_key(F.col("doc_id"), F.col("weight"), seed).alias("k")), "sized")
-    sources = source_targets(rows.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("size").alias("source_size")), weights, factor, cap)
+        of = quality.groupBy("doc_id").agg(F.max("weight").cast("double").alias("weight"))
+        least, most = F.lit(2.0**-POWERS), F.lit(2.0**POWERS)
+        rows = rows.join(of, "doc_id", "left").withColumn("weight", F.greatest(least, F.least(most, F.coalesce(F.nanvl("weight", least), F.lit(1.0)))))
+    rows = settle(rows.select("doc_id", "source", "size", F.ceil(F.log2("weight")).cast("int").alias("power"), sampling_key(F.col("doc_id"), F.col("text"), F.col("weight"), seed).alias("k")), "sized")
+    # Of each source and power of two, how many documents weigh up to that.
+    powers = settle(rows.groupBy("source", "power").agg(F.count("*").alias("n"), F.sum("size").alias("size")), "powers")
+    sources = powers.groupBy("source").agg(F.sum("n").alias("n_docs"), F.sum("size").alias("source_size"), F.array_sort(F.collect_list(F.struct("power", "n"))).alias("powers"))
+    targets = source_targets(sources.select("source", "n_docs", "source_size"), weights, factor, cap)
+    name = lambda t: t.withColumns({"_null": F.col("source").isNull(), "_name": F.coalesce("source", F.lit(""))}).drop("source")
+    sources = name(targets).join(name(sources.select("source", "powers")), ["_null", "_name"])
     sources = sources.withColumns(
         {
             "epochs": F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-12)).otherwise(0),
             "buckets": F.ceil(F.col("n_docs") / bucket_rows),
         }
     ).withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
-    sources = settle(sources.withColumns({"_null": F.col("source").isNull(), "_name": F.coalesce("source", F.lit(""))}).drop("source"), "sources")
+    sources = settle(sources, "sources")
+    discard(powers)
     rows = rows.withColumns({"_null": F.col("source").isNull(), "_name": F.coalesce("source", F.lit(""))}).join(sources, ["_null", "_name"])
-    # A key's quantile at the lowest rate: no bucket gets more than HIGH / LOW times its share.
-    rows = rows.withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("k") * LOW)) * F.col("buckets")), F.col("buckets") - 1))
+    # The share of the source's keys below this one, as its weights let expect.
+    share = F.aggregate("powers", F.lit(0.0), lambda sum_, x: sum_ - x["n"] / F.col("n_docs") * F.expm1(-F.col("k") * F.pow(F.lit(2.0), x["power"].cast("double"))))
+    rows = rows.withColumn("bucket", F.least(F.floor(share * F.col("buckets")), F.col("buckets") - 1)).drop("powers", "power")
     place = ["_null", "_name", "bucket"]
     sums = rows.groupBy(*place).agg(F.sum("size").alias("in_bucket"))
     sums = sums.withColumn("ahead", F.sum("in_bucket").over(W.partitionBy("_null", "_name").orderBy("bucket")) - F.col("in_bucket")).drop("in_bucket")

@@ -28,9 +28,9 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN pos ON pos.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id"""
 
 MIXING = r"""WITH q AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 2.0 ELSE 0.5 END) AS weight FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
-d AS (SELECT documents.doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, CAST(coalesce(weight, 1.0) AS DOUBLE) AS weight
+d AS (SELECT documents.doc_id, source, md5(coalesce(text, '')) AS h, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, CAST(coalesce(weight, 1.0) AS DOUBLE) AS weight
   FROM documents LEFT JOIN q ON q.doc_id = documents.doc_id),
-k AS (SELECT *, -ln((CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':17'), 1, 13)) AS BIGINT) + 0.5) / CAST(4503599627370496 AS DOUBLE)) / weight AS k FROM d),
+k AS (SELECT *, -ln((CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || h || ':17'), 1, 13)) AS BIGINT) + 0.5) / CAST(4503599627370496 AS DOUBLE)) / weight AS k FROM d),
 s AS (SELECT source, sum(size) AS source_size, list_extract([3, 1, 2], CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)) AS w FROM d GROUP BY source),
 t AS (SELECT *, sum(source_size) OVER () AS total, coalesce(sum(source_size) OVER (ORDER BY source_size / CAST(w AS DOUBLE), source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
   sum(w) OVER (ORDER BY source_size / CAST(w AS DOUBLE), source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w_left FROM s),

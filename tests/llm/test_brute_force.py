@@ -67,27 +67,78 @@ def test_statistics(spark, sf):
         assert outliers.statistics(t)[:5] == _plain_statistics(t), t
 
 
+def _plain_mcd(q, floors):
+    """(loc, precision) of whole-number rows, by the steps in numpy from each start."""
+    n, p = q.shape
+    x, found = q / outliers.GRID, []
+
+    def model(rows, share):
+        m = len(rows)
+        loc = rows.sum(0) / m / outliers.GRID
+        cov = (rows.T @ rows / m / outliers.GRID**2 - np.outer(loc, loc)) * share / outliers.chi2_cdf(outliers.chi2_quantile(share, p), p + 2)
+        cov += np.diag(np.maximum(np.diag(cov), np.square(floors)) - np.diag(cov))
+        return loc, np.linalg.inv(cov), np.linalg.slogdet(cov)[1]
+
+    distances = lambda loc, prec: np.einsum("ij,jk,ik->i", x - loc, prec, x - loc)
+    at = np.percentile(q, [100 * f for f in outliers.QUANTILES], axis=0)
+    for (a, b), (lo, hi), factor in outliers.STARTS:
+        loc, prec = (at[a] + at[b]) / 2 / outliers.GRID, np.diag(1 / np.maximum((at[hi] - at[lo]) / factor / outliers.GRID, floors) ** 2)
+        for _ in range(outliers.STEPS):
+            level = np.ceil(np.log2(distances(loc, prec) + 2.0**-20) * outliers.LEVELS)
+            loc, prec, spread = model(q[level <= np.sort(level)[int(np.ceil(outliers.SHARE * n)) - 1]], outliers.SHARE)
+        found.append((spread, len(found), loc, prec))
+    _, _, loc, prec = min(found, key=lambda f: f[:2])
+    return model(q[distances(loc, prec) <= outliers.chi2_quantile(outliers.REWEIGHTED, p)], outliers.REWEIGHTED)[:2]
+
+
 def test_robust_models_match_numpy(spark):
     rng = np.random.default_rng(0)
     n, p, floors = 400, 3, (0.1, 0.1, 0.1)
     x = rng.normal(size=(n, p)) @ np.array([[1, 0.4, 0], [0, 1, 0.2], [0, 0, 0.5]])
     x[:40] += 9
-    rows = spark.createDataFrame([("k", *r.tolist()) for r in x], "key string, a double, b double, c double")
-    got = outliers.fit(rows, ["a", "b", "c"], floors).first()
-    # The same steps in numpy.
-    loc = np.median(x, 0)
-    prec = np.diag(1 / np.maximum(1.4826 * np.median(np.abs(x - loc), 0), floors) ** 2)
-    for k in range(outliers.STEPS + 1):
-        d = np.einsum("ij,jk,ik->i", x - loc, prec, x - loc)
-        share = outliers.SHARE if k < outliers.STEPS else 0.975
-        inside = x[d <= (np.sort(d)[int(np.ceil(share * n)) - 1] if k < outliers.STEPS else outliers.chi2_quantile(share, p))]
-        loc = inside.mean(0)
-        cov = np.cov(inside.T, bias=True) * share / outliers.chi2_cdf(outliers.chi2_quantile(share, p), p + 2)
-        prec = np.linalg.inv(cov + np.diag(np.maximum(np.diag(cov), np.square(floors)) - np.diag(cov)))
-    assert np.allclose(got.loc, loc, atol=0.05) and np.allclose(np.array(got.precision).reshape(p, p), prec, rtol=0.15, atol=0.05)
+    q = np.round(x * outliers.GRID).astype(np.int64)
+    rows = spark.createDataFrame([("k", *r) for r in q.tolist()], "key string, a long, b long, c long")
+    loc, prec = _plain_mcd(q, floors)
+    for parts in (1, 7):  # however the rows are dealt
+        got = outliers.fit(rows.repartition(parts), ["a", "b", "c"], floors).first()
+        assert np.allclose(got.loc, loc, atol=1e-9) and np.allclose(np.array(got.precision).reshape(p, p), prec, rtol=1e-7)
     assert np.abs(loc).max() < 0.3  # the 10 % far away didn't move it
 
 
+@pytest.mark.parametrize("least", [outliers.LEAST_ROWS, 34])
+def test_quality_rules_query_matches_brute_force(spark, least):
+    """Every column of the query; and of the operator where some groups have models of their own and others not."""
+    sf = "/root/testdata/sf0.01"
+    docs = read(spark, sf, "documents").select("doc_id", "text", "lang", "source").collect()
+    stats, vector = {}, {}
+    for r in docs:
+        t = r.text or ""
+        s = _plain_statistics(t)
+        chars, lines = max(1, s[1]), max(1, len([x for x in t.split("\n") if x.strip(" \t\n\x0b\x0c\r")]))
+        upper, marks = sum("A" <= c <= "Z" for c in t), sum(c in outliers._MARKS.decode() for c in t)
+        v = [np.log(max(s[1] / max(1, s[0]), 0.5)), np.log1p(100 * s[2] / chars), s[3] / lines, s[4] / max(1, s[0]), upper / chars, np.log1p(10 * marks / chars)]
+        stats[r.doc_id], vector[r.doc_id] = s, np.floor(np.array(v) * outliers.GRID + 0.5)
+    failed = {i: s[0] < 50 or 100 * s[4] > 50 * s[0] for i, s in stats.items()}
+    passed = [r for r in docs if not failed[r.doc_id]]
+    models = {}
+
+    def model(name, rows):
+        if name not in models:
+            models[name] = _plain_mcd(np.array([vector[r.doc_id] for r in rows]), outliers.FLOORS)
+        return models[name]
+
+    want, levels = {}, Counter()
+    for r in docs:
+        group, lang = [x for x in passed if (x.lang, x.source) == (r.lang, r.source)], [x for x in passed if x.lang == r.lang]
+        level = next((k for k, rows in enumerate((group, lang, passed)) if len(rows) >= least))
+        loc, prec = model([("g", r.lang, r.source), ("l", r.lang), "all"][level], (group, lang, passed)[level])
+        d = vector[r.doc_id] / outliers.GRID - loc
+        levels[level] += 1
+        want[r.doc_id] = (*stats[r.doc_id], failed[r.doc_id], not failed[r.doc_id] and d @ prec @ d <= outliers.chi2_quantile(1 - outliers.TAIL, len(d)))
+    got = {r.doc_id: tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")) for r in (queries.op7_quality_rules(spark, sf) if least == outliers.LEAST_ROWS else outliers.judge(read(spark, sf, "documents"), least)).collect()}
+    assert got == want and (least == outliers.LEAST_ROWS or len(levels) > 1) and any(not k and not f for *_, f, k in want.values())
+
+
 def test_chi2():
     assert outliers.chi2_quantile(0.95, 1) == pytest.approx(3.8415, abs=1e-3) and outliers.chi2_quantile(0.99, 5) == pytest.approx(15.0863, abs=1e-3)
 
@@ -180,9 +231,9 @@ def test_targets(spark):
 def test_mix_follows_order_of_keys(spark):
     rows = [(i, " ".join(["w"] * (1 + i % 37)), "ab"[i % 5 == 0]) for i in range(4000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    weights = df.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 2.0).otherwise(0.5).alias("weight"))
+    weights = df.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 40.0).otherwise(0.01).alias("weight"))
     got = {r.doc_id: r for r in mixing.mix(df, weights, bucket_rows=16).collect()}
-    keys = {r.doc_id: r.k for r in df.join(weights, "doc_id").select("doc_id", mixing.sampling_key(F.col("doc_id"), F.col("weight"), 17).alias("k")).collect()}
+    keys = {r.doc_id: r.k for r in df.join(weights, "doc_id").select("doc_id", mixing.sampling_key(F.col("doc_id"), F.col("text"), F.col("weight"), 17).alias("k")).collect()}
     for s in "ab":
         own = [r for r in got.values() if r.source == s]
         left = own[0].target - int(own[0].target / own[0].source_size) * own[0].source_size
@@ -192,7 +243,17 @@ def test_mix_follows_order_of_keys(spark):
             ahead += r.size
         assert abs(sum(r.taken for r in own) - own[0].target) <= 19
     extra = [r.doc_id % 2 == 0 for r in got.values() if r.source == "a" and r.taken > int(r.target / r.source_size) * r.size]
-    assert np.mean(extra) > 0.5  # heavier documents are taken sooner
+    assert extra and np.mean(extra) > 0.9  # heavier documents are taken sooner, as much as their weights say
+
+
+def test_buckets_of_null_and_repeated_ids_are_even(spark):
+    """A third of the rows without an id, a third under one id, and weights from 0.001 to 1000."""
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, 7).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"), F.lit("s").alias("source"))
+    weights = df.select("doc_id", F.pow(F.lit(10.0), F.col("doc_id") % 7 - 3).alias("weight"))
+    keys = df.join(weights.groupBy("doc_id").agg(F.max("weight").alias("weight")), "doc_id", "left").select(mixing.sampling_key(F.col("doc_id"), F.col("text"), F.coalesce("weight", F.lit(1.0)), 17).alias("k"))
+    assert keys.distinct().count() == 6000
+    got = mixing.mix(df, weights, bucket_rows=64).collect()
+    assert len(got) == 6000 and abs(sum(r.taken for r in got) - got[0].target) <= 2
 
 
 def test_mined_rules_match_brute_force(spark):
@@ -260,7 +321,8 @@ def test_votes_match_brute_force():
     rng = random.Random(0)
     clean = [" ".join(rng.choice(["tree", "river", "stone", "is", "of", "green"]) for _ in range(40)) + "." for _ in range(60)]
     junk = [t.upper().replace(" ", "!! ") for t in clean[:25]]
-    model = quality.learn(clean + junk, np.array([1] * 60 + [0] * 25), 0.7)
+    pack = lambda t: quality.pack(quality.term_counts(t))
+    model = quality.learn([pack(t) for t in clean + junk], np.array([1] * 60 + [0] * 25), 0.7)
     got = model.scores(clean[:5] + junk[:5] + ["", " \n"], block=3)
     k = min(quality.NEIGHBOURS, 85)
     weight = {1: 0.7 / (60 / 85), 0: 0.3 / (25 / 85)}
@@ -268,7 +330,7 @@ def test_votes_match_brute_force():
         v = model.embed(quality.term_counts(t)[None])[0]
         sim = model.vectors @ v
         near = np.argsort(-sim)[:k]
-        votes = [np.exp(20 * (sim[i] - 1)) * weight[int(model.labels[i])] for i in near]
+        votes = [max(sim[i], 0) * weight[int(model.labels[i])] for i in near]
         assert s == pytest.approx(sum(x for x, i in zip(votes, near) if model.labels[i] == 1) / sum(votes), abs=0.02)
     assert got[:5].min() > 0.9 and got[5:10].max() < 0.3 and got[10] == got[11] == 0.7
 
