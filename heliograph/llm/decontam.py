@@ -2,36 +2,30 @@
 
 A window of item words is a set of word shingles, and a document can only
 hold the window if it holds every shingle. So the necessary prefix of a
-window is one shingle, its rarest in the corpus. Document shingles are
-looked up among these prefixes only; length and positional bounds follow,
-and an exact comparison over the window decides.
+window is one shingle, its rarest in the corpus. Prefixes and windows are
+tables of any size. Documents are read twice, once to count the benchmark's
+shingles and once to find prefixes; both times a bitmap of fixed size keeps
+nearly all other shingles from being shuffled. A place where a prefix may
+occur goes on with the words around it, is joined to the windows of that
+prefix, bounded by length and position, and compared word by word.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import partial
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from heliograph.llm.common import settle, small_batches
+from heliograph.llm.common import FILTER_BITS, discard, maybe_among, settle, small_batches, text_keys, text_of
 
-#: At most about this many bytes of item text are indexed and broadcast at a time; a larger benchmark is worked off in blocks.
-BLOCK_BYTES = 16 << 20
 #: Lower-cases A-Z and turns each byte that no word holds into a space.
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-
-_FOUND = T.StructType(
-    [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())]))),
-        T.StructField("items", T.ArrayType(T.StringType())),
-    ]
-)
+_M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -39,134 +33,177 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split() if text else []
 
 
-def item_windows(items: list[tuple[str, str]], window: int) -> dict[tuple, set[str]]:
-    """Each distinct window of item words, and the items that hold it."""
-    found: dict[tuple, set[str]] = defaultdict(set)
-    for item_id, text in items:
-        w = words_of(text)
-        for i in range(max(0, len(w) - window) + 1 if w else 0):
-            found[tuple(w[i : i + window])].add(item_id)
-    return found
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) > 200_000:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+_hashes = _WordHashes()
+
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 
-def _shingles(w, size: int) -> Iterator[tuple]:
-    return zip(*(w[i:] for i in range(size)))
+def shingle_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash for each run of ``size`` words, in order, from the words' hashes."""
+    out = np.full(max(0, len(h) - size + 1), size, np.uint64)
+    for i in range(size):
+        x = out * _GOLD + h[i : i + len(out)]
+        x = (x ^ (x >> np.uint64(30))) * _M1
+        x = (x ^ (x >> np.uint64(27))) * _M2
+        out = x ^ (x >> np.uint64(31))
+    return out.view(np.int64)
 
 
-def _count_batches(batches: Iterator[pd.DataFrame], wanted) -> Iterator[pd.DataFrame]:
-    """How often the shingles of the benchmark occur in a batch of texts."""
-    number, sizes = wanted.value
+def _cut_windows(batches: Iterator[pd.DataFrame], window: int, shingle: int) -> Iterator[pd.DataFrame]:
+    """A row for each shingle of each window of the items' words."""
     for b in batches:
-        seen: Counter = Counter()
-        for text in b["text"]:
-            w = words_of(text)
-            for s in sizes:
-                seen.update(filter(None, map(number.get, _shingles(w, s))))
-        yield pd.DataFrame({"number": list(seen.keys()), "n": list(seen.values())})
-
-
-def _prefix_index(docs: DataFrame, windows: dict[tuple, set[str]], shingle: int) -> dict[int, dict[tuple, list]]:
-    """By shingle size: rarest shingle of a window -> (its place, the window, the items)."""
-    sizes = sorted({min(shingle, len(w)) for w in windows})
-    all_shingles = sorted({x for w in windows for x in _shingles(w, min(shingle, len(w)))})
-    number = {x: i + 1 for i, x in enumerate(all_shingles)}
-    wanted = docs.sparkSession.sparkContext.broadcast((number, sizes))
-    counted = docs.select("text").mapInPandas(partial(_count_batches, wanted=wanted), "number int, n long").groupBy("number").agg(F.sum("n").alias("n"))
-    often = {r.number: r.n for r in counted.collect()}  # a row per shingle of this block at most
-    index: dict[int, dict[tuple, list]] = {s: defaultdict(list) for s in sizes}
-    for w, items in windows.items():
-        s = min(shingle, len(w))
-        at, rarest = min(enumerate(_shingles(w, s)), key=lambda x: (often.get(number[x[1]], 0), x[1]))
-        index[s][rarest].append((at, w, sorted(items)))
-    return {s: dict(x) for s, x in index.items()}
-
-
-def search(w: list[bytes], index: dict[int, dict[tuple, list]]) -> tuple[list[tuple[int, int]], set[str]]:
-    """Merged word spans that windows cover, and the items they belong to."""
-    spans, items, n = [], set(), len(w)
-    for size, prefixes in index.items():
-        if n < size:
-            continue
-        for at, x in enumerate(_shingles(w, size)):
-            for off, window, ids in prefixes.get(x, ()):
-                start = at - off
-                stop = start + len(window)
-                if start >= 0 and stop <= n and tuple(w[start:stop]) == window:
-                    spans.append((start, stop))
-                    items.update(ids)
-    merged: list[tuple[int, int]] = []
-    for a, z in sorted(spans):
-        if merged and a <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(z, merged[-1][1]))
-        else:
-            merged.append((a, z))
-    return merged, items
-
-
-def _search_udf(index) -> Column:
-    @F.pandas_udf(_FOUND)
-    def overlap(texts: pd.Series) -> pd.DataFrame:
-        n, spans, items = [], [], []
-        for text in texts:
+        for item, text in zip(b["item"], b["text"]):
             w = words_of(text)
-            s, i = search(w, index.value)
-            n.append(len(w))
-            spans.append([{"start": a, "stop": z} for a, z in s])
-            items.append(sorted(i))
-        return pd.DataFrame({"n_words": n, "spans": spans, "items": items})
+            k = min(window, len(w))
+            size = min(shingle, k)
+            out = []
+            if k:
+                h = shingle_hashes(hashes_of(w), size).tolist()
+                for i in range(len(w) - k + 1):
+                    words = b" ".join(w[i : i + k])
+                    out += [(item, words, k, size, j, h[i + j]) for j in range(k - size + 1)]
+            yield pd.DataFrame(out, columns=["item", "words", "length", "size", "place", "hash"])
+
 
-    return overlap
+class _Filter:
+    """A bitmap of FILTER_BITS over hashes, by which most of those that aren't among them are told apart."""
 
+    def __init__(self, words: np.ndarray, bits: np.ndarray):
+        self.bits = np.zeros(FILTER_BITS // 64, np.uint64)
+        self.bits[words] = bits.view(np.uint64)
 
-def _blocks(docs: DataFrame, benchmark: DataFrame, window: int, shingle: int, block_bytes: int) -> Iterator:
-    """Search functions over the benchmark, block by block."""
-    small_batches(docs)
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("item_id is not null and text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = 1 + total // block_bytes
-    for k in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        windows = item_windows([(r.item_id, r.text) for r in part.toLocalIterator()], window)
-        if windows or not k:
-            yield _search_udf(docs.sparkSession.sparkContext.broadcast(_prefix_index(docs, windows, shingle) if windows else {}))
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        """Positions of the hashes that may be among them."""
+        p = hashes.view(np.uint64) & np.uint64(FILTER_BITS - 1)
+        return np.flatnonzero((self.bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1))
 
 
-def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 5, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _filter(hashes: DataFrame):
+    """The broadcast filter of the one column of ``hashes``; the driver gets at most FILTER_BITS / 64 rows, however many there are."""
+    place = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1))
+    marks = hashes.toDF("h").select(place.alias("p")).select(F.expr("p div 64").alias("word"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("bit"))
+    found = marks.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    return hashes.sparkSession.sparkContext.broadcast(_Filter(found["word"].to_numpy(np.int64), found["bits"].to_numpy(np.int64)))
+
+
+def _count(batches: Iterator[pd.DataFrame], sizes: list[int], wanted) -> Iterator[pd.DataFrame]:
+    """How often hashes that pass the filter occur in a batch of texts."""
+    among = wanted.value
+    for b in batches:
+        found = [h[among(h)] for w in map(hashes_of, map(words_of, b["text"])) for h in (shingle_hashes(w, s) for s in sizes)]
+        h, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_counts=True)
+        yield pd.DataFrame({"hash": h, "n": n.astype(np.int64)})
+
+
+def _locate(batches: Iterator[pd.DataFrame], sizes: list[int], window: int, wanted) -> Iterator[pd.DataFrame]:
+    """Per text, its number of words and the places where a prefix may be, each with the words around it."""
+    among = wanted.value
+    for b in batches:
+        n, places = [], []
+        for text in b["text"]:
+            w = words_of(text)
+            own, each = [], hashes_of(w)
+            for s in sizes:
+                h = shingle_hashes(each, s)
+                for at in among(h).tolist():
+                    first = max(0, at - window + s)
+                    own.append({"hash": int(h[at]), "at": at, "first": first, "around": [x.decode("utf-8", "surrogatepass") for x in w[first : at + window]]})
+            n.append(len(w))
+            places.append(own)
+        yield pd.DataFrame({**{c: b[c] for c in b.columns if c != "text"}, "n_words": n, "places": places})
+
+
+def _windows(benchmark: DataFrame, window: int, shingle: int) -> DataFrame:
+    """item, words, length, size, place and hash: a row for each shingle of each distinct window. Settled."""
+    items = small_batches(benchmark).select(F.col("item_id").cast("string").alias("item"), text_of(F.col("text")).alias("text"))
+    cut = items.mapInPandas(partial(_cut_windows, window=window, shingle=shingle), "item string, words binary, length int, size int, place int, hash long")
+    return settle(cut.distinct(), "windows")
+
+
+def _hits(texts: DataFrame, keys: list[str], benchmark: DataFrame, window: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, hits), settled: the keys, n_words and row of each of ``texts(keys, text)``, and row, start, length and item of each window in it."""
+    windows = _windows(benchmark, window, shingle)
+    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # from 1 to shingle
+    wanted = _filter(windows.select("hash").distinct())
+    counts = small_batches(texts).select("text").mapInPandas(partial(_count, sizes=sizes, wanted=wanted), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    # The prefix: of a window's shingles the rarest, of equally rare ones that of the least hash.
+    by_rarity = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "hash", "place")
+    prefixes = windows.select("words", "length", "size", "place", "hash").distinct().join(counts, "hash", "left").groupBy("words", "length", "size").agg(F.min(by_rarity).alias("p"))
+    # A window whose prefix never occurs needs no look.
+    prefixes = settle(prefixes.filter("p.n > 0").select("words", "length", "p.place", "p.hash"), "prefixes")
+    wanted.destroy()
+    wanted = _filter(prefixes.select("hash").distinct())
+    place = "struct<hash:bigint,at:int,first:int,around:array<string>>"
+    kinds = ", ".join(f"{c} {t}" for c, t in texts.dtypes if c in keys)
+    found = texts.select(*keys, "text").mapInPandas(partial(_locate, sizes=sizes, window=window, wanted=wanted), f"{kinds}, n_words long, places array<{place}>")
+    # Numbers of rows of a written table stay what they are.
+    rows = settle(found.withColumn("row", F.monotonically_increasing_id()), "located")
+    wanted.destroy()
+    near = rows.filter(F.size("places") > 0).select("row", "n_words", F.explode("places").alias("x")).select("row", "n_words", "x.*")
+    near = near.join(prefixes, "hash").withColumn("start", F.col("at") - F.col("place"))
+    near = near.filter((F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.col("n_words")))
+    same = F.array_join(F.slice("around", F.col("start") - F.col("first") + 1, F.col("length")), " ") == F.col("words").cast("string")
+    exact = near.filter(same).select("row", "start", "length", "words").distinct()
+    hits = settle(exact.join(windows.select("words", "item").distinct(), "words").select("row", "start", "length", "item"), "hits")
+    discard(windows, prefixes)
+    return rows.drop("places"), hits
+
+
+def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 5) -> DataFrame:
     """doc_id, n_words, spans and items of every row of ``docs(doc_id, text)``.
 
     ``spans`` are the word positions [start, stop) that windows of
     ``benchmark(item_id, text)`` cover, ``items`` the items they come from.
     A window has ``window`` words; an item of fewer, but not none, is one
-    window. Null and wordless texts have no words and no spans; items
-    without an id or words match nothing; repeated rows each give a row;
-    other columns are ignored; empty tables give no rows or no spans.
+    window. Null and wordless texts have no words and no spans, and such
+    items match nothing. A window of an item without an id counts for spans,
+    and for no item. Very long texts are searched whole. Repeated rows each
+    give a row; other columns are ignored; empty tables give no rows or no
+    spans.
     """
-    rows = docs.select("doc_id", "text")
-    for k, overlap in enumerate(_blocks(rows, benchmark, window, shingle, block_bytes)):
-        if k == 0:
-            rows = rows.withColumn("f", overlap("text")).select("doc_id", "text", "f.*")
-        else:  # only where the benchmark exceeds a block
-            rows = settle(rows, "overlaps").withColumn("f", overlap("text"))
-            rows = rows.select("doc_id", "text", "n_words", F.array_union("spans", "f.spans").alias("spans"), F.array_union("items", "f.items").alias("items"))
-    return rows.drop("text")
+    rows, hits = _hits(docs.select("doc_id", text_of(F.col("text")).alias("text")), ["doc_id"], benchmark, window, shingle)
+    # Windows that overlap or touch are merged into one span.
+    found = hits.select("row", "start", (F.col("start") + F.col("length")).cast("int").alias("stop")).distinct()
+    order = W.partitionBy("row").orderBy("start", "stop")
+    reach = F.max("stop").over(order.rowsBetween(W.unboundedPreceding, -1))
+    found = found.withColumn("new", F.when(F.col("start") <= reach, 0).otherwise(1)).withColumn("span", F.sum("new").over(order))
+    found = found.groupBy("row", "span").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    spans = found.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+    items = hits.groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    of = lambda c, kind: F.coalesce(c, F.array().cast(kind)).alias(c)
+    return rows.join(spans, "row", "left").join(items, "row", "left").select("doc_id", "n_words", of("spans", "array<struct<start:int,stop:int>>"), of("items", "array<string>"))
 
 
 def report(overlaps: DataFrame) -> DataFrame:
     """Counts and a digest per document, from what find_overlaps gives."""
-    places = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["stop"] - 1))))
     return overlaps.select(
         "doc_id",
         "n_words",
-        F.size(places).cast("long").alias("n_hit"),
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"]).alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 5, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no window of the benchmark."""
-    kept = docs
-    for k, overlap in enumerate(_blocks(docs, benchmark, window, shingle, block_bytes)):
-        kept = (settle(kept, "clean") if k else kept).filter(F.size(overlap(F.col("text"))["spans"]) == 0)
-    return kept
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no window of the benchmark. Only rows that may hold one are shuffled."""
+    text = text_of(F.col("text"))
+    rows, hits = _hits(docs.select(*text_keys(text), text.alias("text")), ["text_key", "text_key_2"], benchmark, window, shingle)
+    bad = settle(rows.join(hits.select("row").distinct(), "row", "left_semi").select("text_key", "text_key_2").distinct(), "bad")
+    tagged = docs.select(*text_keys(text), F.struct("*").alias("row"))
+    asked = maybe_among(tagged, F.col("text_key"), bad.select("text_key"))
+    clean = asked.filter("_maybe").join(bad, ["text_key", "text_key_2"], "left_anti").select("row")
+    return asked.filter("not _maybe").select("row").unionByName(clean).select("row.*")

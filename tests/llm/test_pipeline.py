@@ -51,7 +51,10 @@ def test_dedup_keeps_one_of_each_group(stages):
 
 def test_decontamination_drops_what_holds_a_window(stages, spark, sf):
     docs, found = stages[3]
-    windows = decontam.item_windows([(str(r.item_id), r.text) for r in read(spark, sf, "benchmark").collect()], 10)
+    windows = set()
+    for r in read(spark, sf, "benchmark").collect():
+        w = decontam.words_of(r.text)
+        windows |= {tuple(w[i : i + 10]) for i in range(max(0, len(w) - 10) + 1 if w else 0)}
     sizes = {len(w) for w in windows}
     clean = []
     for r in docs.collect():
