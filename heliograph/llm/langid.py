@@ -14,13 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heliograph.llm.common import fold, small_batches
+from heliograph.llm.common import fold, small_batches, text_of
 
 WINDOW, WIDTHS, FILTERS, EMBEDDING = 256, (2, 3, 4), 16, 8
 #: Per language at most so many labelled texts are trained on, with so many windows of each.
-TEXTS, WINDOWS_PER_TEXT, EPOCHS, BATCH = 400, 4, 6, 64
-#: The network tells so many languages apart at most: the most frequent.
-LANGUAGES = 1000
+TEXTS, WINDOWS_PER_TEXT, EPOCHS, BATCH = 400, 4, 12, 64
+#: Of all languages together at most so many texts, but LEAST_TEXTS of each, whatever the number of languages.
+ALL_TEXTS, LEAST_TEXTS = 20_000, 8
 UNDETERMINED = "und"
 _SPAN = max(WIDTHS)
 
@@ -147,15 +147,18 @@ class ByteNet:
 def train(docs: DataFrame, texts: int = TEXTS, seed: int = 5) -> ByteNet | None:
     """A network from rows of ``docs(doc_id, text, lang)`` whose fold isn't 2; None if none has a language and a letter.
 
-    Of each language the ``texts`` rows with the lowest hash of id and seed are used.
+    Of each language the ``texts`` rows with the lowest hash of id and seed
+    are used; where languages are many, fewer of each. Every language that
+    occurs is learned.
     """
     rows = docs.filter((fold(F.col("doc_id")) != 2) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.select(F.col("lang").cast("string").alias("lang"), "text", F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.lit(str(seed)))).alias("h"))
     # The lowest hashes of each language without ordering all of them in one task: a share that leaves enough, then a window.
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    texts = min(texts, max(LEAST_TEXTS, ALL_TEXTS // max(1, sizes.count())))
     share = F.least(F.lit(1.0), F.lit(4.0 * texts) / F.col("n"))
     u = F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / float(1 << 32)
-    few = rows.join(F.broadcast(sizes.orderBy(F.desc("n"), "lang").limit(LANGUAGES)), "lang").filter(u < share)
+    few = rows.join(sizes, "lang").filter(u < share)
     cut = WINDOWS_PER_TEXT * WINDOW
     few = few.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).filter(F.col("k") <= texts)
     found = few.select("lang", "h", F.array(*[F.substring("text", 1, cut), F.expr(f"substring(text, 1 + length(text) div 2, {cut})")]).alias("parts")).collect()
@@ -190,15 +193,16 @@ def language_udf(docs: DataFrame, net: ByteNet) -> Column:
         found = iter(shared.value.predict_many([t.encode("utf-8", "surrogatepass") for t, x in zip(texts, has) if x]))
         return pd.DataFrame([next(found) if x else (UNDETERMINED, 0.0) for x in has], columns=["lang_pred", "score"])
 
-    return language(F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    return language(text_of(F.col("text")), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
 
 
 def identify(docs: DataFrame, texts: int = TEXTS, seed: int = 5) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row of ``docs(doc_id, text, lang)``.
 
     A text that is null or has no letter is ``und`` with score 0, and so is
-    every text if there is nothing to learn from. Whole texts are read. A
-    null doc_id counts as the empty text in the fold. Repeated rows each
+    every text if there is nothing to learn from. Whole texts are read,
+    however long. Of languages that tie, the first by code point is
+    predicted. A null doc_id counts as the empty text in the fold. Repeated rows each
     give a row; other columns are ignored; an empty table gives no rows.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang")
