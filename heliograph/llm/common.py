@@ -103,9 +103,9 @@ def text_of(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
-def text_keys(text: Column) -> list[Column]:
-    """Two independent 64-bit hashes of a text, which with the id tell its row apart from all with other texts."""
-    return [F.xxhash64(text).alias("text_key"), F.xxhash64(F.lit("second"), text).alias("text_key_2")]
+def text_keys(text: Column, seed: int = 0) -> list[Column]:
+    """Two independent 64-bit hashes of a text, text_key and text_key_2."""
+    return [F.xxhash64(F.lit(f"first {seed}"), text).alias("text_key"), F.xxhash64(F.lit(f"second {seed}"), text).alias("text_key_2")]
 
 
 def fold(doc_id: Column) -> Column:

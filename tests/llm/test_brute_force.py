@@ -347,23 +347,82 @@ def test_convolution_matches_loops():
     assert net.predict(long)[0] == net.predict_many([long, b"x"])[0][0]
 
 
-def test_chain_learns_from_earlier_categories():
-    rng = random.Random(4)
+def _chain_rows(seed, n=600):
+    rng = random.Random(seed)
     words = [f"n{i}" for i in range(80)]
     texts, y = [], []
-    for _ in range(600):
+    for _ in range(n):
         t = [rng.choice(words) for _ in range(30)]
         bad = rng.random() < 0.3
         if bad:
-            t[rng.randrange(30)] = rng.choice(["idiot", "scum", "pathetic", "vileness"])
+            for w in rng.choice([["idiot", "moron"], ["scum", "trash"], ["vileness", "filth"]]):
+                t[rng.randrange(30)] = w
         texts.append(" ".join(t))
         y.append(int(bad))
-    chain = toxicity.learn(texts, np.array(y))
-    p = chain.probabilities(["n1 idiot n2", "n1 n2 n3", "", None, "n5 vilenesses n6"])
-    assert p[0, -1] > 0.5 and p[0, 0] > 0.5 and p[1:4, -1].max() < 0.45 and p[4, -1] > 0.5
+    return texts, y
+
+
+def test_chain_learns_from_earlier_categories(spark):
+    texts, y = _chain_rows(4)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(y)), "doc_id long, toxic int")
+    words, x, toxic = toxicity.sample_features(docs, labels)
+    inside = [i for i, r in enumerate(docs.select(fold(F.col("doc_id")).alias("f")).collect()) if r.f != 2]
+    assert toxic.tolist() == [y[i] for i in inside]
+    assert all({w for w, one in zip(words, row) if one} == {*words} & toxicity.features_of(texts[i]) for row, i in zip(x, inside))
+    # The words by a plain count.
+    sets = [toxicity.features_of(texts[i]) for i in inside]
+    n, n1, rank = len(sets), sum(toxic), []
+    for w in set().union(*sets):
+        c, bad = sum(w in s for s in sets), sum(w in s for s, t in zip(sets, toxic) if t)
+        a, b = bad + 0.5, c - bad + 0.5
+        if c >= toxicity.LEAST_TEXTS:
+            rank.append((-abs(np.log(a / (n1 + 1.5 - a)) - np.log(b / (n - n1 + 1.5 - b))) / np.sqrt(1 / a + 1 / b), w))
+    assert {*words} == {w for _, w in sorted(rank)[: toxicity.FEATURES]}
+    chain = toxicity.learn(words, x, toxic)
+    p = chain.probabilities(["n1 idiot moron n2", "n1 n2 n3", "", None, "n5 vilenesses filthy n6"])
+    assert p[0, -1] > 0.5 and p[1:4, -1].max() < 0.45 and p[4, -1] > 0.5 and p[0, :-1].argmax() != p[4, :-1].argmax()
     assert [len(w) for w in chain.weights] == [len(chain.words) + 1 + k for k in range(len(chain.names))]
 
 
+def test_chain_matches_plain_version():
+    """Every model of the chain, recomputed with out-of-fold predictions of the categories before it."""
+    rng = np.random.default_rng(0)
+    x = (rng.random((240, 12)) < 0.3).astype(np.uint8)
+    y = ((x[:, 0] & x[:, 1]) | x[:, 2]).astype(int)
+    chain = toxicity.learn([bytes([97 + i]) for i in range(12)], x, y, kinds=2, folds=4, seed=3)
+    kinds = toxicity.kinds_of(x.astype(np.float32), y.astype(np.float32), 2)
+    assert (kinds[y == 1] >= 0).all() and (kinds[y == 0] == -1).all() and np.bincount(kinds[kinds >= 0])[0] * 2 >= y.sum()
+    of = np.random.default_rng(3).permutation(240) % 4
+    sigmoid = lambda z: 1 / (1 + np.exp(-z))
+
+    def plain(rows, target, ridge):
+        full, w = np.c_[rows, np.ones(len(rows))], np.zeros(rows.shape[1] + 1)
+        v, reach = w.copy(), 0.25 * (rows**2).sum(1).mean() + 0.25 + ridge
+        w[-1] = v[-1] = np.log((target.mean() + 1e-3) / (1 - target.mean() + 1e-3))
+        for k in range(toxicity.STEPS):
+            g = full.T @ (sigmoid(full @ v) - target) / len(target) + ridge * np.append(v[:-1], 0)
+            after = v - g / reach
+            v, w = after + k / (k + 3) * (after - w), after
+        return w
+
+    best = None
+    for ridge in toxicity.RIDGES:
+        w = plain(x[of != 0].astype(float), y[of != 0], ridge)
+        p = sigmoid(x[of == 0] @ w[:-1] + w[-1])
+        loss = -(y[of == 0] * np.log(p) + (1 - y[of == 0]) * np.log(1 - p)).mean()
+        best = min(best, (loss, ridge)) if best else (loss, ridge)
+    rows = x.astype(float)
+    for k in range(3):
+        target = y if k == 2 else (kinds == k).astype(int)
+        assert np.allclose(chain.weights[k], plain(rows, target, best[1]), atol=2e-3)
+        outside = np.zeros(240)
+        for f in range(4):
+            w = plain(rows[of != f], target[of != f], best[1])
+            outside[of == f] = sigmoid(rows[of == f] @ w[:-1] + w[-1])
+        rows = np.c_[rows, outside]
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r.doc_id: r for r in read(spark, sf, "labels").collect()}

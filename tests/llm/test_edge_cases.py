@@ -125,6 +125,23 @@ def test_tokens_of_texts_whose_short_hashes_are_equal(spark):
     assert got == sorted((i, len(t), len(tok.encode(t, add_special_tokens=False).ids)) for i in (0, 7) for t in texts)
 
 
+def test_tokens_of_long_and_frequent_pieces(spark):
+    """Pieces of more than NAME_LENGTH characters, in the head and in the shuffle, and 200,000 rows without an id."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok, spec = Tokenizer.from_file(str(path)), open(path, encoding="utf-8").read()
+    texts = ["-" * 300 + " x", "=" * 49 + " y " + "-" * 300, "z" * 5000, "z" * 5000 + "q", "-" * 48]
+    want = sorted((len(t), len(tok.encode(t, add_special_tokens=False).ids)) for t in texts * 3)
+    for head in (1, tokens.HEAD_PIECES):
+        rows = spark.createDataFrame([(None, t) for t in texts * 3], "doc_id long, text string")
+        assert sorted((r.n_bytes, r.n_tokens) for r in tokens.count_tokens(rows, spec, head_pieces=head).collect()) == want
+    many = spark.range(200_000, numPartitions=8).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("a"), F.col("id").cast("string")).alias("text"))
+    got = tokens.count_tokens(many, spec).agg(F.count("*"), F.sum("n_bytes")).first()
+    assert tuple(got) == (200_000, 200_000 + sum(len(str(i)) for i in range(200_000)))
+
+
 def test_mixing(spark, docs):
     got = mixing.mix(docs).collect()
     assert len(got) == len(ROWS) and all(0 <= r.taken <= 2 * r.size for r in got)
