@@ -53,7 +53,7 @@ c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN c ON c.a = d.doc_id"""
 
 
-def url_filters(rules: list[tuple[str, str, str]], support: float, confidence: float, lift: float, rows: int, mined: int) -> str:
+def url_filters(rules: list[tuple[str, str, str]], support: float, confidence: float, lift: float, rows: int) -> str:
     """Rules of up to three tokens by enumeration, where the operator mines them by FP-growth."""
     fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
     listed = sorted(rules, key=lambda r: -len(r[0] + r[1]))
@@ -71,7 +71,7 @@ lab AS (SELECT doc_id, max(CASE WHEN coalesce(quality, 1) = 0 OR coalesce(toxic,
 tr AS (SELECT page_id AS id, url, bad FROM pages JOIN lab ON doc_id = TRY_CAST(regexp_extract(url, '://[^/?#]*/[^?#]*?(\d{{1,18}})(?:\.html)?/?(?:[?#]|$)', 1) AS BIGINT)),
 n AS (SELECT count(*) AS n, greatest({support}, least(1.0, CAST({rows} AS DOUBLE) / count(*))) AS s, avg(bad) AS share FROM tr),
 often AS (SELECT token, count(*) AS c FROM tr JOIN tok USING (url) GROUP BY token HAVING count(*) >= (SELECT s * n FROM n)),
-kept AS (SELECT id, bad, token FROM (SELECT id, bad, token, row_number() OVER (PARTITION BY id ORDER BY c, token) AS k FROM tr JOIN tok USING (url) JOIN often USING (token)) WHERE k <= {mined}),
+kept AS (SELECT id, bad, token FROM tr JOIN tok USING (url) JOIN often USING (token)),
 sets AS (SELECT [token] AS a, bad FROM kept UNION ALL SELECT [x.token, y.token], x.bad FROM kept x JOIN kept y ON x.id = y.id AND x.token < y.token
   UNION ALL SELECT [x.token, y.token, z.token], x.bad FROM kept x JOIN kept y ON x.id = y.id AND x.token < y.token JOIN kept z ON z.id = x.id AND y.token < z.token),
 counted AS (SELECT a, sum(bad) AS b, sum(bad) / CAST(count(*) AS DOUBLE) AS conf FROM sets GROUP BY a),

@@ -87,7 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op3_warc_fixity": oracles.WARC_FIXITY,
-    "op5_url_filters": oracles.url_filters(URL_RULES, url_rules.MIN_SUPPORT, url_rules.MIN_CONFIDENCE, url_rules.MIN_LIFT, url_rules.MIN_ROWS, url_rules.MINED_TOKENS),
+    "op5_url_filters": oracles.url_filters(URL_RULES, url_rules.MIN_SUPPORT, url_rules.MIN_CONFIDENCE, url_rules.MIN_LIFT, url_rules.MIN_ROWS),
     "op6_decontamination": oracles.DECONTAMINATION,
     "op9_mixing": oracles.MIXING,
     "op10_minhash_near_dedup": oracles.NEAR_DEDUP,

@@ -1,17 +1,18 @@
-"""URL filtering by a rule list and by association rules that are mined from labelled URLs level by level, in DataFrame operations only."""
+"""URL filtering by a rule list and by association rules that FP-growth mines from labelled URLs, in DataFrame operations only."""
 
 from __future__ import annotations
 
 import math
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heliograph.llm.common import settle
+from heliograph.llm.common import discard, settle
 
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT, MIN_ROWS = 0.002, 0.7, 1.5, 15
-#: The first is for the SQL only, which takes so many of a URL's rarest frequent tokens; all are mined here. Antecedents have at most RULE_TOKENS.
-MINED_TOKENS, RULE_TOKENS = 12, 3
+#: Antecedents have at most so many tokens. Sets of more tokens than WIDTH are mined in pieces.
+RULE_TOKENS, WIDTH = 3, 12
 #: The rules are broadcast while they are no more than this; each has at most RULE_TOKENS hashes.
 BROADCAST_RULES = 100_000
 
@@ -53,68 +54,69 @@ def tokens_of(url: Column) -> Column:
     )
 
 
-def _following(tokens: Column, token: Column) -> Column:
-    """Those of the sorted tokens that come after one."""
-    return F.slice(tokens, F.array_position(tokens, token).cast("int") + 1, F.size(tokens))
+def _transactions(rows: DataFrame, width: int, rule_tokens: int) -> DataFrame:
+    """items: the sets of tokens, those of more than ``width`` tokens split so that any rule_tokens of a set are together in one of its pieces.
 
-
-def _growing(level: DataFrame, n: int) -> DataFrame:
-    """The sets that a longer rule may hold: not all of their rows are blocked, and not all rows have them."""
-    return level.filter((F.col("b") < F.col("n")) & (F.col("n") < n))
+    FP-growth finds all subsets of what occurs together, so a set must not be
+    wide. A wide one is cut into parts, and each union of rule_tokens parts is
+    a piece of at most ``width`` tokens. What pieces count is no support;
+    mine_rules counts again.
+    """
+    part = max(1, width // rule_tokens)
+    few = rows.filter(F.size("tokens") <= width).select("tokens")
+    many = rows.filter(F.size("tokens") > width).select("tokens", F.ceil(F.size("tokens") / part).cast("int").alias("parts")).withColumn("chosen", F.array().cast("array<int>"))
+    for k in range(rule_tokens):
+        after = F.coalesce(F.try_element_at("chosen", F.lit(-1)), F.lit(-1)) + 1
+        # Room is left for the parts that are still to be chosen.
+        many = many.withColumn("next", F.explode(F.sequence(after, F.col("parts") - F.lit(rule_tokens - k)))).withColumn("chosen", F.concat("chosen", F.array("next"))).drop("next")
+    pieces = many.select(F.flatten(F.transform("chosen", lambda i: F.slice("tokens", i * part + 1, part))).alias("tokens"))
+    return few.unionByName(pieces).select(F.col("tokens").alias("items"))
 
 
 def mine_rules(
-    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT, min_rows: int = MIN_ROWS, rule_tokens: int = RULE_TOKENS, broadcast_rules: int = BROADCAST_RULES
+    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT, min_rows: int = MIN_ROWS, rule_tokens: int = RULE_TOKENS, width: int = WIDTH
 ) -> DataFrame:
     """tokens, confidence, support and lift of the rules tokens -> block, from ``labelled(url, bad)``.
 
-    Sets of tokens are counted level by level over all tokens of each URL,
-    up to rule_tokens. A longer set is counted only if all its parts have
-    the support. Nothing is lost by leaving out, too, those that add a
-    token to a set whose rows all have it or are all blocked: they cannot
-    raise its confidence. Rules that add a token to another rule without
-    raising its confidence are pruned. Without labelled rows there are no
-    rules.
+    FP-growth mines the token sets of blocked URLs over all their frequent
+    tokens. How often each set of rule_tokens tokens at most occurs, in
+    blocked and in all URLs, is then counted over the whole token sets, so
+    that support, confidence and lift are exact. A token that all labelled
+    URLs have can raise no confidence and is left out. Rules that add tokens
+    to another rule without raising its confidence are pruned. Without
+    labelled rows there are no rules.
     """
     spark = labelled.sparkSession
-    rows = settle(labelled.filter("url is not null and bad is not null").select(F.array_sort(tokens_of(F.col("url"))).alias("tokens"), F.col("bad").cast("int").alias("bad")), "labelled")
+    none = spark.createDataFrame([], "tokens array<string>, confidence double, support double, lift double")
+    rows = settle(labelled.filter("url is not null and bad is not null").select(tokens_of(F.col("url")).alias("tokens"), F.col("bad").cast("int").alias("bad")), "labelled")
     n, bad = rows.agg(F.count("*"), F.coalesce(F.sum("bad"), F.lit(0))).first()
     need = max(1, math.ceil(max(min_support, min(1.0, min_rows / n)) * n)) if n else 1
     if bad < need:
-        return spark.createDataFrame([], "tokens array<string>, confidence double, support double, lift double")
-    counts = [F.count("*").alias("n"), F.sum("bad").alias("b")]
-    often = lambda sets: sets.groupBy("tokens").agg(*counts).filter(F.col("b") >= need)
-    level = settle(often(rows.select(F.explode("tokens").alias("token"), "bad").select(F.array("token").alias("tokens"), "bad")), "level")
-    found = level
-    for size in range(2, rule_tokens + 1):
-        grow = _growing(level, n).withColumn("head", F.slice("tokens", 1, size - 2)).withColumn("last", F.element_at("tokens", -1))
-        if size == 2:
-            # Pairs of single tokens are many, but few occur: they are read off the rows.
-            single = F.broadcast(grow.select("last")) if grow.count() <= broadcast_rules else grow.select("last")
-            first = rows.select("tokens", "bad", F.explode("tokens").alias("last")).join(single, "last").select(F.explode(_following(F.col("tokens"), F.col("last"))).alias("next"), "last", "bad")
-            sets = first.join(single.withColumnRenamed("last", "next"), "next").select(F.array("last", "next").alias("tokens"), "bad")
-        else:
-            other = grow.select("head", F.col("last").alias("next"))
-            wider = grow.select("tokens", "head", "last").join(other, "head").filter("next > last").select(F.concat("tokens", F.array("next")).alias("tokens"))
-            parts = wider.select("tokens", F.explode(F.transform("tokens", lambda x: F.array_remove("tokens", x))).alias("part"))
-            whole = parts.join(grow.select(F.col("tokens").alias("part")), "part").groupBy("tokens").agg(F.count("*").alias("k")).filter(F.col("k") == size).select("tokens")
-            wanted = settle(whole.groupBy(F.slice("tokens", 1, size - 1).alias("head")).agg(F.collect_list(F.element_at("tokens", -1)).alias("nexts")).withColumn("start", F.col("head")[0]), "wanted")
-            size_of = wanted.agg(F.sum(F.size("nexts"))).first()[0] or 0
-            asked = rows.select("tokens", "bad", F.explode("tokens").alias("start")).join(F.broadcast(wanted) if size_of <= broadcast_rules else wanted, "start").filter(F.size(F.array_except("head", "tokens")) == 0)
-            sets = asked.select("head", "bad", F.explode(F.array_intersect("nexts", "tokens")).alias("next")).select(F.concat("head", F.array("next")).alias("tokens"), "bad")
-        counted = often(sets)
-        parts = counted.select("tokens", "n", "b", F.explode(F.transform("tokens", lambda x: F.array_remove("tokens", x))).alias("part"))
-        known = level.select(F.col("tokens").alias("part"), F.col("n").alias("part_n"))
-        level = settle(parts.join(known, "part").groupBy("tokens", "n", "b").agg(F.min("part_n").alias("least")).filter("n < least").select("tokens", "n", "b"), "level")
-        found = found.unionByName(level)
+        return none
+    single = rows.select(F.explode("tokens").alias("token"), "bad").groupBy("token").agg(F.count("*").alias("n"), F.sum("bad").alias("b"))
+    often = settle(single.filter((F.col("b") >= need) & (F.col("n") < n)).select("token", "n"), "often")  # at most tokens / min_support
+    # The frequent tokens of each row, the rarest first. Equal rows are one, with how many they are.
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    kept = numbered.select("row", "bad", F.explode("tokens").alias("token")).join(often, "token").groupBy("row", "bad").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "token"))), lambda x: x["token"]).alias("tokens"))
+    sets = settle(kept.groupBy("tokens").agg(F.count("*").alias("n"), F.sum("bad").alias("b")), "sets")
+    baskets = settle(_transactions(sets.filter("b > 0").select("tokens", F.explode(F.sequence(F.lit(1), F.col("b")))), width, rule_tokens), "baskets")
+    pieces = baskets.count()
+    if not pieces:
+        return none
+    mined = FPGrowth(itemsCol="items", minSupport=max(0.0, (need - 0.5) / pieces), minConfidence=1.0).fit(baskets).freqItemsets
+    found = settle(mined.filter(F.size("items") <= rule_tokens).select(F.array_sort("items").alias("tokens")), "mined")
+    # Counted again, over whole sets, each by its first token.
+    asked = sets.withColumn("first", F.explode("tokens")).join(found.select(F.col("tokens").alias("rule"), F.col("tokens")[0].alias("first")), "first").filter(F.size(F.array_except("rule", "tokens")) == 0)
+    counted = asked.groupBy("rule").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).filter(F.col("b") >= need)
     confidence = F.col("b") / F.col("n")
-    found = found.select("tokens", confidence.alias("confidence"), (F.col("b") / F.lit(n)).alias("support"), (confidence / F.lit(bad / n)).alias("lift"))
-    found = settle(found.filter((F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift)), "rules")
+    rules = counted.select(F.col("rule").alias("tokens"), confidence.alias("confidence"), (F.col("b") / F.lit(n)).alias("support"), (confidence / F.lit(bad / n)).alias("lift"))
+    rules = settle(rules.filter((F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift)), "rules")
+    discard(rows, often, sets, baskets, found)
     # A rule stands if none of its parts, which have rule_tokens at most, is as confident.
     parts = F.filter(F.flatten(F.array(F.transform("tokens", lambda x: F.array_except("tokens", F.array(x))), F.transform("tokens", lambda x: F.array(x)))), lambda p: (F.size(p) > 0) & (F.size(p) < F.size("tokens")))
-    shorter = found.select(F.explode(parts).alias("part"), "tokens", "confidence")
-    beaten = shorter.join(found.select(F.col("tokens").alias("part"), F.col("confidence").alias("c")), "part").filter("c >= confidence").select("tokens").distinct()
-    return found.join(beaten, "tokens", "left_anti")
+    shorter = rules.select(F.explode(parts).alias("part"), "tokens", "confidence")
+    beaten = shorter.join(rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("c")), "part").filter("c >= confidence").select("tokens").distinct()
+    return rules.join(beaten, "tokens", "left_anti")
 
 
 def score_urls(pages: DataFrame, rules: DataFrame, broadcast_rules: int = BROADCAST_RULES) -> DataFrame:
