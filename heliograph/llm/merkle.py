@@ -8,13 +8,18 @@ differing ranges. All of it is DataFrame operations, and no level is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliograph.llm.common import settle
+from heliograph.llm.common import discard, settle
 
 #: Record offsets of a leaf, and children of an inner node.
 RANGE, FANOUT = 64, 16
+#: Digits of a digest by which the records of one offset are put into ranges, should an offset have many.
+DIGITS = 3
 
 
 def record_text(url: Column, payload: Column) -> Column:
@@ -32,13 +37,39 @@ def record_text(url: Column, payload: Column) -> Column:
 
 
 def write_warc(records: DataFrame, path: str) -> None:
-    """Files of the records of ``records(offset, record)`` in ascending order of offset."""
-    records.repartitionByRange("offset").sortWithinPartitions("offset").select("record").write.option("lineSep", "\r\n\r\n").text(path)
+    """Files of the records of ``records(offset, record)`` in ascending order of offset. Null records are empty ones."""
+    rows = records.repartitionByRange("offset").sortWithinPartitions("offset").select(F.coalesce("record", F.lit("")).alias("record"))
+    rows.write.option("lineSep", "\r\n\r\n").text(path)
+
+
+def _records(content: bytes) -> Iterator[tuple[int, bytes]]:
+    """(byte offset, record) of each record; where one isn't well formed, the rest of the file is one record."""
+    at = 0
+    while at < len(content):
+        head = content.find(b"\r\n\r\n", at)
+        length = [x[15:].strip() for x in content[at : max(head, at)].split(b"\r\n") if x.lower().startswith(b"content-length:")]
+        if not content.startswith(b"WARC/", at) or head < 0 or len(length) != 1 or not length[0].isdigit():
+            yield at, content[at:]
+            return
+        end = head + 4 + int(length[0])
+        yield at, content[at:end]
+        at = end + 4 if content.startswith(b"\r\n\r\n", end) else end
+
+
+def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        for path, content in zip(b["path"], b["content"]):
+            yield pd.DataFrame([(path, at, r) for at, r in _records(content)], columns=["file", "offset", "record"])
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """file, offset (in bytes) and record (bytes, without its closing line ends) of uncompressed WARC files. A file is read by one task, as a whole."""
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(_parse, "file string, offset long, record binary")
 
 
 def digests(records: DataFrame) -> DataFrame:
     """offset, digest (sha256 of the record) and copies of ``records(offset, record)``; rows that agree in both are one."""
-    return records.select(F.col("offset").cast("bigint").alias("offset"), F.sha2(F.coalesce("record", F.lit("")), 256).alias("digest")).groupBy("offset", "digest").agg(F.count("*").alias("copies"))
+    return records.select(F.col("offset").cast("bigint").alias("offset"), F.sha2(F.coalesce(F.col("record").cast("binary"), F.lit("").cast("binary")), 256).alias("digest")).groupBy("offset", "digest").agg(F.count("*").alias("copies"))
 
 
 def _branch(offset: Column) -> Column:
@@ -46,18 +77,24 @@ def _branch(offset: Column) -> Column:
     return F.coalesce(F.floor(offset / F.lit(RANGE)), F.lit(-1)).cast("bigint")
 
 
+def _ordered(rows: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
+    """keys and hash: that of each group's values in ascending order of ``order``."""
+    entry = F.struct(F.col(order).alias("o"), F.col(value).alias("v"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda x: F.concat_ws(":", F.coalesce(x["o"].cast("string"), F.lit("none")), x["v"].cast("string"))), ",")
+    return rows.groupBy(*keys).agg(F.sha2(text, 256).alias("hash"))
+
+
 def leaves(held: DataFrame) -> DataFrame:
     """node and hash for each range of offsets.
 
-    A leaf hashes the sums of its records' hashes, word by word, where a
-    record's hash covers its offset, digest and number of copies. Sums need
-    no order and no list, so a range of any number of records is summed
-    before the shuffle.
+    A leaf hashes its offsets' hashes in ascending order, at most RANGE and
+    one for records without an offset. An offset's hash covers its records
+    in the order of their digests, by way of ranges of digests: an offset
+    that many different records share, such as null, is in no list as a whole.
     """
-    h = F.sha2(F.concat_ws(":", F.coalesce(F.col("offset").cast("string"), F.lit("none")), F.col("digest"), F.col("copies").cast("string")), 256)
-    words = [F.sum(F.conv(F.substring("h", 8 * i + 1, 8), 16, 10).cast("bigint")).cast("string").alias(f"s{i}") for i in range(8)]
-    summed = held.select(_branch(F.col("offset")).alias("node"), h.alias("h")).groupBy("node").agg(F.count("*").cast("string").alias("n"), *words)
-    return summed.select("node", F.sha2(F.concat_ws(":", "n", *[f"s{i}" for i in range(8)]), 256).alias("hash"))
+    ranges = _ordered(held.withColumn("range", F.substring("digest", 1, DIGITS)), ["offset", "range"], "digest", "copies")
+    offsets = _ordered(ranges, ["offset"], "range", "hash")
+    return _ordered(offsets.withColumn("node", _branch(F.col("offset"))), ["node"], "offset", "hash")
 
 
 def tree(held: DataFrame) -> list[DataFrame]:
@@ -73,13 +110,14 @@ def tree(held: DataFrame) -> list[DataFrame]:
 
 
 def _parents(level: DataFrame, parent: Column) -> DataFrame:
-    child = F.struct("node", "hash")
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(child)), lambda c: F.concat_ws(":", c["node"].cast("string"), c["hash"])), ",")
-    return level.withColumn("up", parent).groupBy("up").agg(F.sha2(joined, 256).alias("hash")).withColumnRenamed("up", "node")
+    return _ordered(level.withColumn("up", parent), ["up"], "node", "hash").withColumnRenamed("up", "node")
 
 
-def differing(a: list[DataFrame], b: list[DataFrame]) -> DataFrame:
-    """The leaves in which two trees differ, found by descending differing branches only."""
+def differing(a: list[DataFrame], b: list[DataFrame], compared: list[int] | None = None) -> DataFrame:
+    """The leaves in which two trees differ, found by descending differing branches only.
+
+    ``compared``, if given, gets the number of nodes compared on each level, from the top.
+    """
     height = max(len(a), len(b))
     found = None
     for k in range(height - 1, -1, -1):
@@ -91,7 +129,10 @@ def differing(a: list[DataFrame], b: list[DataFrame]) -> DataFrame:
             up = F.lit(0).cast("bigint") if k == height - 2 else F.floor(F.col("node") / F.lit(FANOUT)).cast("bigint")
             below = found.select(F.col("node").alias("up"))
             x, y = (t.withColumn("up", up).join(below, "up", "left_semi").drop("up") for t in (x, y))
-        found = settle(x.join(y, "node", "full").filter(~F.col("x").eqNullSafe(F.col("y"))).select("node"), "differing")
+        both = x.join(y, "node", "full")
+        if compared is not None:
+            compared.append(both.count())
+        found = settle(both.filter(~F.col("x").eqNullSafe(F.col("y"))).select("node"), "differing")
     return found
 
 
@@ -102,10 +143,14 @@ def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
     missing (not in the replica) or extra (not in the primary). sha256 is
     that of the primary's record, the least if it has several, null for
     extra ones. Null offsets are one offset of its own; a null record is an
-    empty one; other columns are ignored; two empty tables give no rows.
+    empty one; a very long one is hashed whole. Repeated rows count: an
+    offset with other numbers of copies is corrupt. Other columns are
+    ignored; two empty tables give no rows.
     """
     a, b = settle(digests(primary), "primary"), settle(digests(replica), "replica")
-    where = differing(tree(a), tree(b))
+    x, y = tree(a), tree(b)
+    where = differing(x, y)
+    discard(*x, *y)
     near = lambda t, name: t.withColumn("node", _branch(F.col("offset"))).join(where, "node", "left_semi").select("offset", "digest", F.col("copies").alias(name))
     x, y = near(a, "x"), near(b, "y").select(F.col("offset").alias("o"), F.col("digest").alias("d"), "y")
     both = x.join(y, x["offset"].eqNullSafe(y["o"]) & (x["digest"] == y["d"]), "full")
