@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +65,40 @@ def test_merkle(spark):
     assert {r.status for r in merkle.audit(f(a), f([])).collect()} == {"missing"} and {r.status for r in merkle.audit(f([]), f(b)).collect()} == {"extra"}
 
 
+def test_merkle_descends_differing_branches_only(spark):
+    n = merkle.RANGE * merkle.FANOUT**2
+    rows = spark.range(n).select(F.col("id").alias("offset"), F.concat(F.lit("r"), F.col("id").cast("string")).alias("record"))
+    worse = rows.withColumn("record", F.when(F.col("offset") == 5000, F.lit("other")).otherwise(F.col("record")))
+    held = [merkle.digests(t) for t in (rows, worse)]
+    seen = []
+    found = merkle.differing(*[merkle.tree(h) for h in held], seen)
+    assert [r.node for r in found.collect()] == [5000 // merkle.RANGE] and seen[0] == 1 and max(seen) == merkle.FANOUT and len(seen) >= 3
+    # Records that trade places leave the sums of their hashes as they were, but not the leaf.
+    swapped = rows.withColumn("record", F.when(F.col("offset") == 3, F.lit("r4")).when(F.col("offset") == 4, F.lit("r3")).otherwise(F.col("record")))
+    assert {(r.offset, r.status) for r in merkle.audit(rows, swapped).filter("status <> 'intact'").collect()} == {(3, "corrupt"), (4, "corrupt")}
+
+
+def test_merkle_of_many_records_at_one_offset(spark):
+    rows = spark.range(20_000).select(F.lit(None).cast("long").alias("offset"), F.col("id").cast("string").alias("record"))
+    got = {r.status for r in merkle.audit(rows, rows.repartition(7)).collect()}
+    assert got == {"intact"} and {r.status for r in merkle.audit(rows, rows.filter("record <> '77'")).collect()} == {"corrupt"}
+
+
+def test_warc_files_round_trip(spark, tmp_path):
+    bodies = ["plain", "with\r\n\r\nWARC/1.1\r\nblank lines", "", "\u00e9\u4e2d" * 5]
+    rows = spark.createDataFrame([(i, f"http://h/{i}", b) for i, b in enumerate(bodies)], "offset long, url string, html string")
+    records = rows.select("offset", merkle.record_text(F.col("url"), F.col("html")).alias("record"))
+    merkle.write_warc(records.coalesce(1), str(tmp_path / "w"))
+    back = sorted((r.file, r.offset, bytes(r.record)) for r in merkle.read_warc(spark, str(tmp_path / "w")).collect())
+    assert [r for *_, r in back] == [r.record.encode() for r in records.orderBy("offset").collect()]
+    for name, at, record in back:
+        content = open(name.removeprefix("file:"), "rb").read()
+        assert content[at : at + len(record) + 4] == record + b"\r\n\r\n"
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.warc").write_bytes(b"WARC/1.1\r\nContent-Length: 2\r\n\r\nab\r\n\r\nno record")
+    assert sorted((r.offset, bytes(r.record)) for r in merkle.read_warc(spark, str(tmp_path / "bad")).collect())[1] == (37, b"no record")
+
+
 def test_urls(spark):
     rules = [("com", "/", "allow"), ("a.com", "/en/", "block")]
     urls = [(1, "http://B.a.COM/en/x"), (1, "http://B.a.COM/en/x"), (2, None), (3, ""), (4, "no scheme"), (5, "http://xa.com/en/"), (6, "https://a.com"), (7, "x://y?://z"), (8, "http://h/" + "p/" * 20_000), (9, "://")]
@@ -142,6 +178,34 @@ def test_tokens_of_long_and_frequent_pieces(spark):
     assert tuple(got) == (200_000, 200_000 + sum(len(str(i)) for i in range(200_000)))
 
 
+CLASHING = ["__s", "__key", "__lang", "__d", "__k", "row", "text_key", "text_key_2", "s", "failed", "key", "feeds", "k_lang", "d2", "loc", "precision", "_maybe", "_word", "_place", "_bits", "kept", "copies", "doc_id_2", "a.b"]
+
+
+def test_filters_keep_columns_of_any_name(spark, labels):
+    """Every operator that passes rows on gives back the values of all columns."""
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice("abcdefghij") * rng.randrange(2, 6) + rng.choice("klmnop") for _ in range(90)) + (" end The" if k == 4 else "") for k in range(8)]
+    rows = [(i, texts[i % 8], "en", "s") for i in range(80)] + [(None, None, None, None), (200, None, "en", "s"), (201, "", "en", "s")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    d = d.withColumns({c: F.concat_ws(":", F.lit(c), F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("-")))) for c in CLASHING}).repartition(3).cache()
+    bench = spark.createDataFrame([("i", "end the")], "item_id string, text string")
+    given = {tuple(r) for r in d.collect()}
+    for kept in (outliers.keep_good(d, least=8), neardup.keep_first(d), decontam.drop_contaminated(d, bench), quality.keep_good(d, d, labels, threshold=0.0)):
+        assert kept.columns == d.columns and 0 < kept.count() and {tuple(r) for r in kept.collect()} <= given
+    assert {r.doc_id for r in decontam.drop_contaminated(d, bench).collect()} == {r.doc_id for r in d.collect() if "end The" not in (r.text or "")}
+
+
+def test_ties(spark):
+    """Scores at a threshold, distances at a cut, and documents of equal similarity have a defined side."""
+    d = spark.createDataFrame([(i, PLAIN * 2, "en", "s") for i in range(70)], "doc_id long, text string, lang string, source string")
+    assert quality.classify(d, spark.createDataFrame([], "doc_id long, quality int"), threshold=0.5).filter("predicted = 1").count() == 70
+    assert outliers.judge(d).filter("not base_failed").filter("not kept").count() == 0
+    same = spark.createDataFrame([(5, "a b c d e"), (3, "a b c d e"), (4, "A B C D E")], "doc_id long, text string")
+    assert [r.doc_id for r in neardup.keep_first(same).collect()] == [3]
+    four_of_five = spark.createDataFrame([(1, "a b c d e f g h"), (2, "a b c d e f g h i")], "doc_id long, text string")
+    assert neardup.find_duplicates(four_of_five, 5, 0.8).filter("component_id = 1").count() == 2
+
+
 def test_mixing(spark, docs):
     got = mixing.mix(docs).collect()
     assert len(got) == len(ROWS) and all(0 <= r.taken <= 2 * r.size for r in got)

@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from heliograph.llm import decontam, outliers, quality
@@ -82,9 +83,23 @@ def test_odd_rows_pass_every_stage(spark, sf, tmp_path):
     text = lambda: " ".join(rng.choice("abcdefghij") * rng.randrange(1, 6) for _ in range(80))
     same = text()
     rows = [(1, same, "en", "s", 1), (1, same, "en", "s", 1), (None, text(), None, None, None), (3, None, "en", "s", 0), (4, "", "en", None, 0), (5, text() * 50, "en", "s", 9), (6, same, "en", "t", 1)]
+    rows += [(7, "word " * 200_000, "en", "s", 1), (8, same, "en", "s", None), (9, " \n\t", None, "t", 3)]
+    names = ["row", "text_key", "kept", "size", "k", "__s"]
     for k, some in enumerate((rows, [])):
-        docs = spark.createDataFrame(some, "doc_id long, text string, lang string, source string, n_chars long")
+        docs = spark.createDataFrame(some, "doc_id long, text string, lang string, source string, n_chars long").withColumns({c: F.lit(c) for c in names})
+        given = {tuple(r) for r in docs.collect()}
         for i, (_, f) in enumerate(corpus_pipeline.STAGES):
+            before = docs
             f(spark, docs, sf).write.parquet(path := str(tmp_path / f"{k}-{i}"))
             docs = spark.read.parquet(path)
-        assert docs.filter("taken > 2 * size").count() == 0
+            if i < 4:
+                assert docs.columns == before.columns and {tuple(r) for r in docs.collect()} <= given
+        assert docs.count() == before.count() and docs.filter("taken > 2 * size").count() == 0
+
+
+def test_what_odd_rows_come_to(spark, sf):
+    """Null, blank and repeated rows, stage by stage, as the docstrings say."""
+    same = "one two three four five six seven"
+    docs = spark.createDataFrame([(2, same), (2, same), (1, same), (3, None), (4, " ")], "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    left = {name: sorted(r.doc_id for r in f(spark, docs, sf).collect()) for name, f in corpus_pipeline.STAGES}
+    assert left["quality rules"] == [] and left["MinHash near-dedup"] == [1, 3, 4] and left["benchmark decontamination"] == left["mixing sources to target weights"] == [1, 2, 2, 3, 4]
