@@ -15,10 +15,14 @@ BUCKET_ROWS = 1024
 POWERS = 60
 
 
-def sampling_key(doc_id: Column, text: Column, weight: Column, seed: int) -> Column:
-    """An exponential key of rate ``weight``: the lower, the sooner a document is taken. The same for the same id, text and seed."""
+def chance(doc_id: Column, text: Column, seed: int) -> Column:
+    """A number above 0 and below 1, the same for the same id, text and seed."""
     digest = F.md5(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(text_of(text)), F.lit(str(seed))))
-    u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+
+
+def sampling_key(u: Column, weight: Column) -> Column:
+    """An exponential key of rate ``weight``: the lower, the sooner a document is taken."""
     return -F.log(u) / weight
 
 
@@ -70,14 +74,15 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[float,
     are ignored; an empty table gives no rows.
     """
     size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORDS)), F.lit(0)).cast("long")
-    rows = docs.select(F.col("doc_id").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), F.col("text").cast("string").alias("text"))
+    # Texts end here: the join with the weights shuffles numbers only.
+    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"), chance(F.col("doc_id"), F.col("text"), seed).alias("u"))
     if quality is None:
         rows = rows.withColumn("weight", F.lit(1.0))
     else:
         of = quality.groupBy("doc_id").agg(F.max("weight").cast("double").alias("weight"))
         least, most = F.lit(2.0**-POWERS), F.lit(2.0**POWERS)
         rows = rows.join(of, "doc_id", "left").withColumn("weight", F.greatest(least, F.least(most, F.coalesce(F.nanvl("weight", least), F.lit(1.0)))))
-    rows = settle(rows.select("doc_id", "source", "size", F.ceil(F.log2("weight")).cast("int").alias("power"), sampling_key(F.col("doc_id"), F.col("text"), F.col("weight"), seed).alias("k")), "sized")
+    rows = settle(rows.select("doc_id", "source", "size", F.ceil(F.log2("weight")).cast("int").alias("power"), sampling_key(F.col("u"), F.col("weight")).alias("k")), "sized")
     # Of each source and power of two, how many documents weigh up to that.
     powers = settle(rows.groupBy("source", "power").agg(F.count("*").alias("n"), F.sum("size").alias("size")), "powers")
     sources = powers.groupBy("source").agg(F.sum("n").alias("n_docs"), F.sum("size").alias("source_size"), F.array_sort(F.collect_list(F.struct("power", "n"))).alias("powers"))

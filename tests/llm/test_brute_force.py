@@ -233,7 +233,7 @@ def test_mix_follows_order_of_keys(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     weights = df.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 40.0).otherwise(0.01).alias("weight"))
     got = {r.doc_id: r for r in mixing.mix(df, weights, bucket_rows=16).collect()}
-    keys = {r.doc_id: r.k for r in df.join(weights, "doc_id").select("doc_id", mixing.sampling_key(F.col("doc_id"), F.col("text"), F.col("weight"), 17).alias("k")).collect()}
+    keys = {r.doc_id: r.k for r in df.join(weights, "doc_id").select("doc_id", mixing.sampling_key(mixing.chance(F.col("doc_id"), F.col("text"), 17), F.col("weight")).alias("k")).collect()}
     for s in "ab":
         own = [r for r in got.values() if r.source == s]
         left = own[0].target - int(own[0].target / own[0].source_size) * own[0].source_size
@@ -250,7 +250,7 @@ def test_buckets_of_null_and_repeated_ids_are_even(spark):
     """A third of the rows without an id, a third under one id, and weights from 0.001 to 1000."""
     df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, 7).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"), F.lit("s").alias("source"))
     weights = df.select("doc_id", F.pow(F.lit(10.0), F.col("doc_id") % 7 - 3).alias("weight"))
-    keys = df.join(weights.groupBy("doc_id").agg(F.max("weight").alias("weight")), "doc_id", "left").select(mixing.sampling_key(F.col("doc_id"), F.col("text"), F.coalesce("weight", F.lit(1.0)), 17).alias("k"))
+    keys = df.join(weights.groupBy("doc_id").agg(F.max("weight").alias("weight")), "doc_id", "left").select(mixing.sampling_key(mixing.chance(F.col("doc_id"), F.col("text"), 17), F.coalesce("weight", F.lit(1.0))).alias("k"))
     assert keys.distinct().count() == 6000
     got = mixing.mix(df, weights, bucket_rows=64).collect()
     assert len(got) == 6000 and abs(sum(r.taken for r in got) - got[0].target) <= 2
