@@ -44,8 +44,7 @@ def span_label(low: Column, high: Column) -> Column:
 def run_stamps(now: datetime, zone: str = "Europe/Amsterdam", name: str = "Amsterdam") -> tuple[str, str]:
     """A short and a full stamp of one instant. The caller gives the instant, so a run can be repeated."""
     at = now.astimezone(ZoneInfo(zone))
-    offset = at.strftime("%z")
-    return at.strftime(f"%Y-%m-%d %H:%M {name}"), f"{at:%Y-%m-%d %H:%M:%S} {at:%Z} (UTC{offset[:3]}:{offset[3:]}) · {zone}"
+    return f"{at:%Y-%m-%d %H:%M} {name}", f"{at:%Y-%m-%d %H:%M:%S %Z (UTC%:z)} · {zone}"
 
 
 def scrape_columns(rows: DataFrame, at: datetime) -> DataFrame:

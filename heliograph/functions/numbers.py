@@ -12,8 +12,8 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def thirds(c: Column) -> Column:
-    """To three decimals, half up: the same in every engine."""
-    return F.floor(c * 1000 + 0.5) / 1000
+    """To three decimals, half to even."""
+    return F.rint(c * 1000) / 1000
 
 
 def sixths(c: Column) -> Column:

@@ -10,8 +10,8 @@ WORD_RUN = r"[\p{L}\p{N}_]+"
 BLANKS = r"(?U)^\s+|\s+$"
 
 # cp1252's characters beyond Latin-1, and the bytes that stand for them.
-_CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
-_CP1252_BYTES = "80 82 83 84 85 86 87 88 89 8A 8B 8C 8E 91 92 93 94 95 96 97 98 99 9A 9B 9C 9E 9F"
+CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+CP1252_BYTES = "80 82 83 84 85 86 87 88 89 8A 8B 8C 8E 91 92 93 94 95 96 97 98 99 9A 9B 9C 9E 9F"
 MOJIBAKE_MARKS = ("Ã", "â€", "Å", "Â")
 # End of the fixed values.
 
@@ -28,7 +28,7 @@ def repair_mojibake(c: Column) -> Column:
     cp1252 lacks and bytes that aren't UTF-8 are dropped.
     """
     text = F.coalesce(c, F.lit(""))
-    latin = F.translate(F.regexp_replace(text, f"[^\\u0000-\\u007F\\u00A0-\\u00FF{_CP1252}]", ""), _CP1252, "".join(chr(int(x, 16)) for x in _CP1252_BYTES.split()))
+    latin = F.translate(F.regexp_replace(text, f"[^\\u0000-\\u007F\\u00A0-\\u00FF{CP1252}]", ""), CP1252, "".join(chr(int(x, 16)) for x in CP1252_BYTES.split()))
     again = F.make_valid_utf8(F.encode(latin, "ISO-8859-1").cast("string"))
     return F.when(text.rlike("|".join(MOJIBAKE_MARKS)), F.replace(again, F.lit("�"), F.lit(""))).otherwise(text)
 
@@ -40,7 +40,8 @@ def clean_headline(c: Column) -> Column:
 
 def word_tokens(c: Column) -> Column:
     """Lower-cased words of two or more ASCII letters, where a word ends at no letter, digit or underscore."""
-    return F.filter(F.regexp_extract_all(F.lower(c), F.lit(WORD_RUN), F.lit(0)), lambda t: t.rlike("^[a-z]{2,}$"))
+    alone = r"(?<![\p{L}\p{N}_])[a-z]{2,}+(?![\p{L}\p{N}_])"
+    return F.regexp_extract_all(F.lower(c), F.lit(alone), F.lit(0))
 
 
 def letter_runs(c: Column) -> Column:
@@ -62,8 +63,8 @@ def canonical(t: Column, variants: dict[str, str]) -> Column:
 
 
 def without(tokens: Column, stop: tuple[str, ...] | list[str]) -> Column:
-    listed = F.array(*[F.lit(w) for w in sorted(stop)]) if stop else F.array().cast("array<string>")
-    return F.filter(tokens, lambda t: ~F.array_contains(listed, t))
+    """The tokens that aren't listed; a list of some length is looked up as a hash set."""
+    return F.filter(tokens, lambda t: ~t.isin(sorted(stop))) if stop else tokens
 
 
 def keyword_terms(c: Column, stop: tuple[str, ...], variants: dict[str, str]) -> Column:

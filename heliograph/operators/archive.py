@@ -25,30 +25,35 @@ def keep_first(rows: DataFrame, key: str, *order: str) -> DataFrame:
     return picked.select("r.*")
 
 
+def lacking(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """The rows whose key ``known`` lacks; rows without a key stay."""
+    return rows.join(known.select(key).distinct(), key, "left_anti").select(*rows.columns)
+
+
 def upsert_new(old: DataFrame, new: DataFrame, key: str, *order: str) -> DataFrame:
     """Old rows unchanged, then the first new row of each key that old lacks."""
-    fresh = keep_first(new, key, *order).join(old.select(key).distinct(), key, "left_anti")
+    fresh = lacking(keep_first(new, key, *order), old, key)
     return old.unionByName(fresh.select(*old.columns), allowMissingColumns=True)
 
 
-def append_new(archive_path: str, new: DataFrame, key: str, *order: str) -> DataFrame:
+def append_new(archive_path: str, new: DataFrame, key: str, *order: str, run: str | None = None) -> DataFrame:
     """Append to a Parquet archive what it lacks, and return the rows added.
 
-    What is read is never overwritten. Each increment is also kept under
-    ``_fresh`` in the archive, where readers of the archive don't look; the
-    rows returned are read from there.
+    Each call writes one folder, ``run=...``, once, and returns what it holds. A
+    call that is repeated under the same name, as after a crash, replaces
+    its folder by the same rows: it compares with the other folders only.
     """
     spark = new.sparkSession
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(archive_path)
     there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    run = run or uuid.uuid4().hex
     fresh = keep_first(new, key, *order)
     if there:
-        fresh = fresh.join(spark.read.parquet(archive_path).select(key).distinct(), key, "left_anti").select(*new.columns)
-    increment = f"{archive_path}/_fresh/{uuid.uuid4().hex}"
-    fresh.write.parquet(increment)
-    added = spark.read.schema(fresh.schema).parquet(increment)
-    added.write.mode("append").parquet(archive_path)
-    return added
+        schema = f"{', '.join(f'`{n}` {t}' for n, t in new.dtypes)}, run string"
+        fresh = lacking(fresh, spark.read.schema(schema).parquet(archive_path).filter(F.col("run") != run), key)
+    own = f"{archive_path}/run={run}"
+    fresh.write.mode("overwrite").parquet(own)
+    return spark.read.schema(fresh.schema).parquet(own)
 
 
 def numbered(rows: DataFrame, *order: str, name: str = "ord") -> DataFrame:

@@ -47,42 +47,47 @@ class _Node:
 
 
 class _Tree(HTMLParser):
-    """A tree of the kept elements. ``nested``: an open <p> stays open when another starts; else that closes it."""
+    """A tree of the kept elements. ``nested``: an open <p> stays open when another starts; else that closes it.
+
+    Dropped elements are opened and closed like all others, but hang from
+    nothing; so whatever is left open in one ends with it.
+    """
 
     def __init__(self, nested: bool):
         super().__init__(convert_charrefs=True)
         self.root = _Node("", {})
-        self.open, self.nested, self.skip = [self.root], nested, 0
+        self.open, self.nested = [self.root], nested
 
     def handle_starttag(self, tag, attrs):
-        if self.skip or tag in DROPPED:
-            self.skip += tag in DROPPED
-            return
         if tag == "p" and not self.nested:
             self._close("p")
-        node = _Node(tag, {k: v or "" for k, v in attrs})
-        self.open[-1].children.append(node)
+        node = self._hang(tag, attrs)
         if tag not in _VOID:
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
-        if not self.skip and tag not in DROPPED:
-            self.open[-1].children.append(_Node(tag, {k: v or "" for k, v in attrs}))
+        self._hang(tag, attrs)
 
     def handle_endtag(self, tag):
-        if self.skip:
-            self.skip -= tag in DROPPED
-        else:
-            self._close(tag)
-
-    def _close(self, tag):
-        at = next((i for i in range(len(self.open) - 1, 0, -1) if self.open[i].tag == tag), 0)
-        if at:
-            del self.open[at:]
+        self._close(tag)
 
     def handle_data(self, data):
-        if not self.skip:
-            self.open[-1].children.append(data)
+        self.open[-1].children.append(data)
+
+    def _hang(self, tag, attrs) -> _Node:
+        node = _Node(tag, {k: v or "" for k, v in attrs})
+        if tag not in DROPPED:
+            self.open[-1].children.append(node)
+        return node
+
+    def _close(self, tag):
+        """Ends the innermost open element of that name and all that is open in it. A <p> isn't ended from within a dropped element that it holds."""
+        for at in range(len(self.open) - 1, 0, -1):
+            if self.open[at].tag == tag:
+                del self.open[at:]
+                return
+            if tag == "p" and self.open[at].tag in DROPPED:
+                return
 
 
 def parse(html: str, nested: bool = False) -> _Node:

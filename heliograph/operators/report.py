@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliograph.operators.themes import also_tags, theme_names
@@ -56,13 +56,22 @@ def homes(vocabulary: Vocabulary) -> Column:
     return F.create_map(*[F.lit(x) for s in vocabulary.sources for x in (s.code, s.home)])
 
 
-def payload(generated: str, **tables: DataFrame) -> DataFrame:
-    """One JSON text: each table as a list of objects, in the table's order of columns. For tables of a report's size."""
+def home_rows(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
+    """code and home of each source."""
+    return spark.createDataFrame([(s.code, s.home) for s in vocabulary.sources], "code string, home string")
+
+
+def payload(generated: str, full: str | None = None, **tables: DataFrame) -> DataFrame:
+    """One JSON text: each table as a list of objects, in the table's order of columns. For tables of a report's size.
+
+    ``generated`` and ``full`` are the short and the full stamp of the run.
+    """
     one = None
     for name, t in tables.items():
         listed = t.agg(F.sort_array(F.collect_list(F.struct(*t.columns))).alias(name))
         one = listed if one is None else one.crossJoin(listed)
-    return one.withColumn("generated", F.lit(generated)).select(F.to_json(F.struct("generated", *tables)).alias("json"))
+    stamps = [F.lit(generated).alias("generated"), *([F.lit(full).alias("generatedFull")] if full else [])]
+    return one.select(F.to_json(F.struct(*stamps, *tables)).alias("json"))
 
 
 def page(json_text: str, template: str, token: str = "__PAYLOAD__") -> str:
@@ -78,10 +87,9 @@ def in_pixels(points: DataFrame, extents: DataFrame, width: float, height: float
     return one.withColumns({"px": px, "py": py}).select(*points.columns, "px", "py")
 
 
-def cluster_table(renumbered: DataFrame, labels: dict[int, list[str]], colours: tuple[list[str], list[str]], noise: int = -1, grey: tuple[str, str] = ("#8f8677", "#847b6c")) -> DataFrame:
-    """id, label, keywords, size, color, colorDark of what renumber() gives; clusters without words are called by their number."""
-    spark = renumbered.sparkSession
-    words = spark.createDataFrame([(c, w) for c, w in labels.items()], "cluster int, keywords array<string>")
+def cluster_table(renumbered: DataFrame, labels: DataFrame, colours: tuple[list[str], list[str]], noise: int = -1, grey: tuple[str, str] = ("#8f8677", "#847b6c")) -> DataFrame:
+    """id, label, keywords, size, color, colorDark of what renumber() and terms.cluster_labels() give; clusters without words are called by their number."""
+    words = labels.select("cluster", F.col("words").alias("keywords"))
     light, dark = (F.array(*[F.lit(x) for x in c]) for c in colours)
     is_noise = F.col("cluster") == noise
     named = F.coalesce(F.nullif(F.array_join(F.slice("keywords", 1, 2), " · "), F.lit("")), F.concat(F.lit("topic "), (F.col("id") + 1).cast("string")))

@@ -14,6 +14,7 @@ from heliograph.functions.dates import week_start
 from heliograph.functions.numbers import clip, thirds
 from heliograph.functions.quantiles import quantile
 from heliograph.functions.vectors import doubles, dot, unit
+from heliograph.operators.archive import lacking
 
 #: Rows of a block of vectors, and the queries that are compared with a block at once.
 BLOCK, AT_ONCE = 8192, 1024
@@ -141,7 +142,7 @@ def embed_new(rows: DataFrame, cache: DataFrame, encode: Callable[[list[str]], n
                 n[n == 0] = 1
                 yield pd.DataFrame({key: b[key], "vec": list(v / n)})
 
-    missing = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(text).alias(text)).join(cache.select(key), key, "left_anti")
+    missing = lacking(rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(text).alias(text)), cache, key)
     return missing.select(key, text).mapInPandas(encoded, f"{key} string, vec array<float>")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from heliograph.functions.text import clean_headline, repair_mojibake
+from heliograph.functions.text import CP1252, CP1252_BYTES, clean_headline, repair_mojibake
 from heliograph.operators import archive, revisions, shares
 from heliograph.operators.themes import on_topic
 from heliograph.plans.registry import query
@@ -29,16 +29,16 @@ _SHARES = f"""{ARTICLES}, src AS (SELECT DISTINCT source FROM documents UNION AL
 cnt AS (SELECT source, count(*) FILTER (WHERE regexp_matches(headline, '{_TOPIC}')) AS matched, count(*) AS total,
   CAST(min(date) AS VARCHAR) AS d0, CAST(max(date) AS VARCHAR) AS d1 FROM art GROUP BY source),
 shares AS (SELECT source, coalesce(matched, 0) AS matched, coalesce(total, 0) AS total, coalesce(d0, '') AS d0, coalesce(d1, '') AS d1,
-  CASE WHEN coalesce(total, 0) > 0 THEN round_even(matched * 100.0 / total, 1) ELSE 0 END AS pct FROM src LEFT JOIN cnt USING (source))"""
+  CASE WHEN coalesce(total, 0) > 0 THEN round_even(CAST(matched AS DOUBLE) / total * 100, 1) ELSE CAST(0 AS DOUBLE) END AS pct FROM src LEFT JOIN cnt USING (source))"""
 
 
-@query(f"WITH {_SHARES} SELECT source, matched, total, d0, d1, CAST(floor(CASE WHEN total > 0 THEN matched * 1000 / total ELSE 0 END) AS BIGINT) AS permille FROM shares")
+@query(f"WITH {_SHARES} SELECT source, matched, total, d0, d1, pct, CAST(floor(CASE WHEN total > 0 THEN matched * 1000 / total ELSE 0 END) AS BIGINT) AS permille FROM shares")
 def topic_share_by_source(spark, sf_dir):
-    """With the share in whole thousandths, which no rounding rule touches."""
+    """With the share in per cent to one decimal, and in whole thousandths, which no rounding rule touches."""
     rows = articles(spark, sf_dir)
     s = shares.topic_shares(_sources(spark, sf_dir), rows, on_topic(F.col("headline"), PROSE))
     permille = F.when(F.col("total") > 0, F.floor(F.col("matched") * 1000 / F.col("total"))).otherwise(0).cast("bigint")
-    return s.select("source", "matched", "total", "d0", "d1", permille.alias("permille"))
+    return s.select("source", "matched", "total", "d0", "d1", "pct", permille.alias("permille"))
 
 
 @query(
@@ -68,12 +68,12 @@ def insert_only_upsert(spark, sf_dir):
 
 @query(
     """SELECT source, text, doc_id FROM (SELECT source, text, doc_id, row_number() OVER (PARTITION BY source, text ORDER BY doc_id) AS k FROM documents) WHERE k = 1
-UNION ALL BY NAME SELECT 'pages' AS source, url AS text, page_id AS doc_id FROM pages"""
+UNION ALL BY NAME SELECT 'pages' AS source, url, page_id FROM pages"""
 )
 def union_ragged(spark, sf_dir):
-    """Exact repeats within a source once, then another source whose columns differ."""
+    """Exact repeats within a source once, then another source with other columns; what a source lacks is null."""
     d = table(spark, sf_dir, "documents").groupBy("source", "text").agg(F.min("doc_id").alias("doc_id"))
-    p = table(spark, sf_dir, "pages").select(F.lit("pages").alias("source"), F.col("url").alias("text"), F.col("page_id").alias("doc_id"))
+    p = table(spark, sf_dir, "pages").select(F.lit("pages").alias("source"), "url", "page_id")
     return archive.union_sources([d, p])
 
 
@@ -107,11 +107,7 @@ def revisions_on_topic(spark, sf_dir):
 @query(f"WITH {_HISTORY} SELECT aid, h, lag(h) OVER (PARTITION BY aid ORDER BY t) AS previous, row_number() OVER (PARTITION BY aid ORDER BY t) AS version FROM v")
 def revision_steps(spark, sf_dir):
     """Each version with the one before."""
-    from pyspark.sql import Window
-
-    v = _versions(spark, sf_dir).groupBy("aid", F.col("headline").alias("h")).agg(F.min("at").alias("t"))
-    w = Window.partitionBy("aid").orderBy("t")
-    return v.select("aid", "h", F.lag("h").over(w).alias("previous"), F.row_number().over(w).cast("bigint").alias("version"))
+    return revisions.revision_steps(_versions(spark, sf_dir).filter("headline is not null")).withColumn("version", F.col("version").cast("bigint"))
 
 
 @query(f"WITH {ARTICLES} SELECT ord, regexp_replace(regexp_replace(headline || chr(160) || chr(9), chr(65533), ' ', 'g'), '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g') AS headline FROM art")
@@ -120,18 +116,18 @@ def clean_headlines(spark, sf_dir):
     return rows.select("ord", clean_headline(F.concat(F.col("headline"), F.lit(" \t"))).alias("headline"))
 
 
-@query()
+@query(f"WITH {ARTICLES} SELECT ord, regexp_replace(headline, '[ÁÍÏÐÝ]', '', 'g') AS headline FROM art")
 def mojibake_repair(spark, sf_dir):
-    """Headlines that were misread as cp1252 and are repaired; others come back unchanged."""
+    """Headlines whose UTF-8 was misread as cp1252 are repaired to what they were, but for letters with a byte that cp1252 lacks."""
     rows = articles(spark, sf_dir)
-    broken = F.decode(F.encode("headline", "UTF-8"), "ISO-8859-1")
+    broken = F.translate(F.decode(F.encode("headline", "UTF-8"), "ISO-8859-1"), "".join(chr(int(x, 16)) for x in CP1252_BYTES.split()), CP1252)
     return rows.select("ord", repair_mojibake(broken).alias("headline"))
 
 
-@query("SELECT c.c_custkey, c.c_name FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)")
+@query("SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
 def not_in_cache(spark, sf_dir):
-    """Keys that a cache lacks: an anti join."""
-    return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey", "c_name")
+    """Documents that a cache, here the labels, lacks."""
+    return archive.lacking(table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels"), "doc_id")
 
 
 @query("SELECT l_orderkey, l_linenumber, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")

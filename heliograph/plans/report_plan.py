@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliograph.operators import layout, report, shares, similarity, terms, themes
+from heliograph.operators import layout, report, revisions, shares, similarity, terms, themes
 from heliograph.vocab import LABEL_STOP, Vocabulary, english_stop_words
 
 
 def topic_report(articles: DataFrame, bodies: DataFrame, vocabulary: Vocabulary) -> dict[str, DataFrame]:
-    """Tables of a report over ``articles(ord, source, url, headline, date)`` and ``bodies(url, body)``.
+    """Tables of a report over ``articles(ord, source, url, headline, date)``, with stamp if there is one, and ``bodies(url, body)``.
 
-    Only articles on topic go on; each table is a lazy plan over them.
+    Only articles on topic go on; each table is a lazy plan over them. edits
+    looks at all articles, as one version on topic is enough.
     """
     stop = sorted({*english_stop_words(), *vocabulary.stop})
     sources = articles.sparkSession.createDataFrame([(s.name, s.rank, s.code, s.label) for s in vocabulary.sources], "source string, rank int, code string, country string")
@@ -32,9 +33,18 @@ def topic_report(articles: DataFrame, bodies: DataFrame, vocabulary: Vocabulary)
         "points": report.points(placed),
         "keywords": terms.keyword_articles(postings, terms.keyword_frequency(postings)),
         "tagged": report.tagged_rows(matched, vocabulary),
+        "edits": revisions.edits(articles, vocabulary),
+        "homes": report.home_rows(articles.sparkSession, vocabulary),
+        "colours": _colours(articles.sparkSession, len(vocabulary.labels)),
     }
 
 
+def _colours(spark: SparkSession, k: int) -> DataFrame:
+    """id, color and colorDark of k themes."""
+    light, dark = similarity.palette(k)
+    return spark.createDataFrame(list(zip(range(k), light, dark)), "id int, color string, colorDark string")
+
+
 def _top(ranked: DataFrame) -> DataFrame:
     return ranked.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda x: x["term"]), ", ").alias("kw"))
 
@@ -48,9 +58,7 @@ def semantic_view(articles: DataFrame, vectors: DataFrame, up: list[float], down
     raw = layout.density_clusters(low).persist()
     rows = articles.join(raw, "id").persist()
     stop = sorted({*english_stop_words(), *vocabulary.stop, *vocabulary.more_stop, *LABEL_STOP})
-    ranked: dict[int, list[str]] = {}
-    for r in terms.class_terms(rows.select("cluster", F.col("id").alias("ord"), "text"), stop).orderBy("cluster", "rank").collect():
-        ranked.setdefault(r.cluster, []).append(r.term)
+    ranked = terms.class_terms(rows.select("cluster", F.col("id").alias("ord"), "text"), stop)
     numbered = similarity.renumber(raw)
     clusters = report.cluster_table(numbered, terms.cluster_labels(ranked), similarity.palette(numbered.filter("cluster <> -1").count()))
     tone = similarity.tone(vectors, up, down)

@@ -207,11 +207,8 @@ def ctfidf_terms(spark, sf_dir):
 @query()
 def cluster_labels(spark, sf_dir):
     """Theme and facet of each language."""
-    top = terms.class_terms(_lang_classes(spark, sf_dir), PROSE.stop).orderBy("cluster", "rank").collect()
-    ranked: dict[int, list[str]] = {}
-    for r in top:
-        ranked.setdefault(r.cluster, []).append(r.term)
-    return spark.createDataFrame([(c, " · ".join(x) or f"topic {c}") for c, x in terms.cluster_labels(ranked).items()], "cluster int, label string")
+    found = terms.cluster_labels(terms.class_terms(_lang_classes(spark, sf_dir), PROSE.stop))
+    return found.select("cluster", F.array_join("words", " · ").alias("label"))
 
 
 @query("SELECT page_id, trim(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM pages")
@@ -244,9 +241,15 @@ def lsa_layout(spark, sf_dir):
     return rows.select("ord").join(layout.plane(layout.lsa(w, n)), "ord", "left").fillna(0.0, ["x", "y"])
 
 
-@query()
+@query(
+    f"""WITH {_HITS}, {_POSTINGS.replace(ARTICLES + ', ', '', 1)}, t AS (SELECT id, {_LABELS} AS label, count(*) AS n FROM membership GROUP BY id),
+k AS (SELECT term, count(*) AS n FROM post GROUP BY term ORDER BY n DESC, term LIMIT 16)
+SELECT '{{"generated":"2024-02-09 10:00 Amsterdam","generatedFull":"2024-02-09 10:00:00 CET","themes":[' || (SELECT string_agg('{{"id":' || id || ',"label":' || to_json(label) || ',"count":' || n || '}}', ',' ORDER BY id) FROM t) ||
+'],"keywords":[' || (SELECT string_agg('{{"term":"' || term || '","n":' || n || '}}', ',' ORDER BY term) FROM k) ||
+'],"head":[{{"articles":' || count(*) || ',"sources":' || count(DISTINCT source) || ',"themes":' || count(DISTINCT theme) || ',"updated":"2024-02-09"}}]}}' AS json FROM assigned JOIN art USING (ord)"""
+)
 def report_payload(spark, sf_dir):
     """The nested JSON of a report: theme counts, keywords and coverage."""
     a = _assigned(spark, sf_dir)
     posts = terms.keyword_postings(articles(spark, sf_dir), PROSE)
-    return report.payload("2024-02-09 10:00 Amsterdam", themes=themes.theme_counts(a, PROSE), keywords=terms.keyword_frequency(posts), head=report.header(a, "2024-02-09 10:00"))
+    return report.payload("2024-02-09 10:00 Amsterdam", "2024-02-09 10:00:00 CET", themes=themes.theme_counts(a, PROSE), keywords=terms.keyword_frequency(posts), head=report.header(a, "2024-02-09 10:00"))

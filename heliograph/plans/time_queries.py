@@ -53,7 +53,9 @@ def week_starts(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", week_start(F.col("ts")).alias("week"))
 
 
-@query()
+@query(
+    "SELECT event_id, CASE WHEN event_id % 1000 = 0 THEN '2024-01-01' ELSE strftime(ts + CASE WHEN ts >= TIMESTAMP '2024-03-31 01:00:00' AND ts < TIMESTAMP '2024-10-27 01:00:00' THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END, '%d %b %H:%M') END AS label FROM events"
+)
 def ts_amsterdam(spark, sf_dir):
     """Stamps of events as local labels, and one malformed stamp per thousand."""
     stamp = F.date_format("ts", "yyyy-MM-dd_HH.mm.ss")

@@ -89,16 +89,16 @@ def _toned(spark, sf_dir):
     return _tone(spark, sf_dir).join(labels, "id").join(d, "id")
 
 
-_POINTS = f"""{_TONE}, pts AS (SELECT vec.id, label AS c, CAST(date_trunc('week', ts) AS DATE) AS week, floor(tone * 1000 + 0.5) / 1000 AS t FROM tone JOIN vec USING (id) JOIN events ON event_id = vec.id)"""
+_POINTS = f"""{_TONE}, pts AS (SELECT vec.id, label AS c, CAST(date_trunc('week', ts) AS DATE) AS week, round_even(tone * 1000, 0) / 1000 AS t FROM tone JOIN vec USING (id) JOIN events ON event_id = vec.id)"""
 
 
-@query(f"WITH {_POINTS} SELECT c, week, floor(avg(t) * 1000 + 0.5) / 1000 AS m, count(*) AS n FROM pts WHERE c <> 3 GROUP BY c, week")
+@query(f"WITH {_POINTS} SELECT c, week, round_even(avg(t) * 1000, 0) / 1000 AS m, count(*) AS n FROM pts WHERE c <> 3 GROUP BY c, week")
 def tone_heatmap(spark, sf_dir):
     """Cells per cluster and week; cluster 3 stands for noise."""
     return similarity.tone_heatmap(_toned(spark, sf_dir), F.col("c") == 3).filter("c is not null")
 
 
-@query(f"WITH {_POINTS} SELECT week, floor(avg(t) * 1000 + 0.5) / 1000 AS m, count(*) AS n FROM pts GROUP BY week")
+@query(f"WITH {_POINTS} SELECT week, round_even(avg(t) * 1000, 0) / 1000 AS m, count(*) AS n FROM pts GROUP BY week")
 def tone_weekly(spark, sf_dir):
     """The line over all, noise included."""
     return similarity.tone_heatmap(_toned(spark, sf_dir), F.col("c") == 3).filter("c is null").drop("c")
@@ -135,7 +135,16 @@ def density_clusters(spark, sf_dir):
     return layout.density_clusters(layout.components_of(v, max(1, min(5, v.count() - 2))).withColumnRenamed("z", "v"))
 
 
-@query()
+def _channel(n: int, s: float, l: float) -> str:  # noqa: E741
+    turn = f"fmod({n} + fmod(i * 137.508::DOUBLE, 360) / 30, 12)"
+    return f"format('{{:02x}}', CAST(round_even(({l} - {s} * {min(l, 1 - l)} * greatest(-1, least({turn} - 3, 9 - {turn}, 1))) * 255, 0) AS INTEGER))"
+
+
+def _colour(s: float, l: float) -> str:  # noqa: E741
+    return "'#' || " + " || ".join(_channel(n, s, l) for n in (0, 8, 4))
+
+
+@query(f"SELECT i AS id, {_colour(0.62, 0.46)} AS color, {_colour(0.68, 0.62)} AS color_dark FROM (SELECT CAST(unnest(generate_series(0, count(DISTINCT label) - 1)) AS INTEGER) AS i FROM embeddings)".replace("137.508::DOUBLE", "CAST(137.508 AS DOUBLE)"))
 def cluster_palette(spark, sf_dir):
     k = vectors(spark, sf_dir).select("label").distinct().count()
     light, dark = similarity.palette(k)

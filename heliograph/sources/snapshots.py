@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,14 +37,26 @@ def read_snapshots(spark: SparkSession, folder: str, source: str) -> DataFrame:
 
 def stream_snapshots(spark: SparkSession, folder: str, source: str, files_per_batch: int = 50) -> DataFrame:
     """The same as a stream of files."""
-    return _stamped(_csv(spark.readStream.option("maxFilesPerTrigger", files_per_batch), SNAPSHOT).csv(folder), source)
+    return _stamped(_csv(spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("multiLine", True), SNAPSHOT).csv(folder), source)
 
 
 def read_master(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """A master archive with its source; none there gives no rows."""
+    """A master archive with its source; none there, or none that can be read, gives no rows.
+
+    Columns are found by the names in the header, in any order; one that the
+    header lacks is null, others are ignored. Damaged files are skipped.
+    """
+    none = spark.createDataFrame([], f"{MASTER}, source string")
     if not exists(spark, path):
-        return spark.createDataFrame([], f"{MASTER}, source string")
-    return _csv(spark.read.option("multiLine", True).option("enforceSchema", False), MASTER).csv(path).withColumn("source", F.lit(source))
+        return none
+    reader = spark.read.option("multiLine", True).option("header", True).option("escape", '"').option("encoding", "UTF-8").option("ignoreCorruptFiles", True)
+    try:
+        rows = reader.csv(path)
+    except Exception as x:  # noqa: BLE001  a header that can't be read is told, and the other sources still load
+        print(f"{path} is skipped: {str(x)[:200]}", file=sys.stderr)
+        return none
+    wanted = [name.split()[0] for name in MASTER.split(", ")]
+    return rows.select(*[F.col(f"`{c}`") if c in rows.columns else F.lit(None).cast("string").alias(c) for c in wanted], F.lit(source).alias("source"))
 
 
 def load_articles(frames: list[DataFrame], *order: str) -> DataFrame:

@@ -18,8 +18,8 @@ def first_seen(rows: DataFrame, key: str, at: str, *values: str) -> DataFrame:
 def keep_archive(stream: DataFrame, archive_path: str, checkpoint: str, key: str, *order: str, then: Callable[[DataFrame], None] | None = None):
     """Starts a query that appends rows of new keys to a Parquet archive, and hands them on, e.g. to be embedded."""
 
-    def step(batch: DataFrame, _: int) -> None:
-        fresh = append_new(archive_path, batch, key, *order)
+    def step(batch: DataFrame, number: int) -> None:
+        fresh = append_new(archive_path, batch, key, *order, run=f"batch-{number:09d}")
         if then:
             then(fresh)
 
@@ -40,5 +40,10 @@ def bucket_counts(rows: DataFrame, at: str, size: str, *by: str, late: str | Non
 
 
 def revision_alerts(rows: DataFrame) -> DataFrame:
-    """aid and how many headlines it has had, for those with more than one; over a stream in update mode."""
-    return rows.filter("aid is not null and headline is not null").groupBy("aid").agg(F.size(F.collect_set("headline")).alias("n")).filter("n > 1")
+    """aid, first and last: for each article seen under two headlines at least, the least and the greatest of them by code point.
+
+    Over a stream in update mode. The state of an article is two headlines,
+    however often it changes; revision_history tells all versions in order.
+    """
+    both = rows.filter("aid is not null and headline is not null").groupBy("aid").agg(F.min("headline").alias("first"), F.max("headline").alias("last"))
+    return both.filter("first <> last")

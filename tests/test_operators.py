@@ -92,10 +92,91 @@ def test_timeline(spark):
     assert timeline.daily_peak(timeline.daily_counts(rows.limit(0), ["EE"])).first().peak == 1
 
 
-def test_labels():
-    assert terms.dedupe_terms(["russia", "russian", "air defence", "air", "tank"]) == ["russia", "air defence", "tank"]
-    got = terms.cluster_labels({0: ["defence", "systems", "plan"], 1: ["defence", "airspace"], 2: [], 3: ["solo"]})
-    assert got == {0: ["defence", "systems"], 1: ["defence", "airspace"], 2: [], 3: ["solo"]}
+def test_labels(spark):
+    one = spark.createDataFrame([(["russia", "russian", "air defence", "air", "tank"],)], "t array<string>")
+    assert one.select(terms.apart(F.col("t")).alias("t")).first().t == ["russia", "air defence", "tank"]
+
+    def labels(ranked):
+        rows = [(c, i + 1, t) for c, words in ranked.items() for i, t in enumerate(words)]
+        return {r.cluster: r.words for r in terms.cluster_labels(spark.createDataFrame(rows, "cluster int, rank int, term string")).collect()}
+
+    assert labels({0: ["defence", "systems", "plan"], 1: ["defence", "airspace"], 3: ["solo"]}) == {0: ["defence", "systems"], 1: ["defence", "airspace"], 3: ["solo"]}
+    # "tank" heads two clusters, so it is a facet only where nothing else is left; the stem of an earlier facet isn't used again.
+    assert labels({4: ["army", "tank", "plan"], 7: ["navy", "tank"], 9: ["border", "plane", "wall"]}) == {4: ["army", "plan"], 7: ["navy", "tank"], 9: ["border", "wall"]}
+    assert labels({0: ["a"] + [f"word{i}" for i in range(9)]}) == {0: ["a", "word0"]}
+
+
+def test_edits_as_a_report_tells_them(spark):
+    from heliograph.vocab import NEWS
+
+    url = "https://news.err.ee/1609/{}"
+    rows = [(0, "err_ee", url.format("a"), "Drone seen", "2024-07-01", "2024-07-01_05.00.00"), (1, "err_ee", url.format("b"), "Drone shot down", "2024-07-02", "2024-07-02_05.00.00"), (2, "lrt_lt", "https://lrt.lt/1", "War", "2024-07-02", "2024-07-02_05.00.00")]
+    df = spark.createDataFrame(rows, "ord int, source string, url string, headline string, date string, stamp string")
+    (got,) = revisions.edits(df, NEWS).collect()
+    label = next(s.label for s in NEWS.sources if s.name == "err_ee")
+    assert (got.id, got.source, got.n, got.last) == ("1609", label, 2, "2024-07-02_05.00.00")
+    assert [tuple(v) for v in got.versions] == [("Drone seen", url.format("a"), "2024-07-01", "01 Jul 07:00"), ("Drone shot down", url.format("b"), "2024-07-02", "02 Jul 07:00")]
+    assert [v.t for v in revisions.edits(df.drop("stamp"), NEWS).first().versions] == ["2024-07-01", "2024-07-02"]
+
+
+def test_elements_left_open_in_dropped_ones():
+    assert html.paragraphs("<nav><form>x</nav><article><p>kept</article>") == ["kept"]
+    assert html.paragraphs("<article><p>one<aside><p>no</aside> two</p></article>") == ["one two"]
+    assert html.paragraphs("<footer><div><p>no</footer><p>yes") == ["yes"]
+
+
+def test_thirds_round_half_to_even(spark):
+    from heliograph.functions.numbers import thirds
+
+    assert [r.x for r in spark.createDataFrame([(0.0625,), (0.1875,), (0.0005,), (-0.0625,)], "x double").select(thirds(F.col("x")).alias("x")).collect()] == [0.062, 0.188, 0.0, -0.062]
+
+
+def test_a_repeated_run_replaces_its_rows(spark, tmp_path):
+    path = str(tmp_path / "a")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "url string, ord int")
+    assert archive.append_new(path, rows, "url", "ord", run="one").count() == 2
+    # After a crash the same run comes again: what it added is told again, and stands once.
+    assert archive.append_new(path, rows, "url", "ord", run="one").count() == 2
+    assert archive.append_new(path, rows, "url", "ord", run="two").count() == 0
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_lsa_matches_plain_svd(spark, sf):
+    """The plane of the query, up to the signs of its axes."""
+    from heliograph.functions.text import word_tokens
+    from heliograph.operators import layout
+    from heliograph.plans.tables import articles
+    from heliograph.vocab import PROSE
+
+    rows = articles(spark, sf).select("ord", F.col("headline").alias("text"))
+    n = rows.count()
+    counts = terms.term_counts(rows, PROSE.stop)
+    w = terms.tfidf(counts, terms.vocabulary_of(counts, n), n).collect()
+    ords, names = sorted({r.ord for r in w}), sorted({r.term for r in w})
+    m = np.zeros((len(ords), len(names)))
+    for r in w:
+        m[ords.index(r.ord), names.index(r.term)] = r.w
+    u, s, _ = np.linalg.svd(m, full_matrices=False)
+    got = {r.ord: r.z for r in layout.lsa(terms.tfidf(counts, terms.vocabulary_of(counts, n), n), n).collect()}
+    z = np.array([got[o] for o in ords])
+    k = z.shape[1]
+    want = u[:, :k] * s[:k]
+    for i in range(2):
+        assert np.allclose(np.abs(z[:, i]), np.abs(want[:, i]), atol=1e-3)
+
+
+def test_density_clusters_of_components(spark):
+    """Three clouds that differ only beyond the fifth coordinate are told apart."""
+    from heliograph.operators import layout
+
+    rng = np.random.default_rng(0)
+    v = rng.normal(0, 0.01, (90, 12))
+    v[30:60, 8] += 5
+    v[60:, 11] += 5
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    got = {r.id: r.cluster for r in layout.density_clusters(layout.components_of(rows, 5).withColumnRenamed("z", "v")).collect()}
+    groups = [{got[i] for i in range(a, a + 30)} - {-1} for a in (0, 30, 60)]
+    assert all(groups) and not (groups[0] & groups[1] or groups[1] & groups[2] or groups[0] & groups[2])
 
 
 def test_tfidf_by_hand(spark):

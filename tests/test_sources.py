@@ -49,7 +49,7 @@ def test_windows_start_on_monday(spark):
 
 def test_alerts(spark):
     rows = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "a"), ("2", "a")], "aid string, headline string")
-    assert [(r.aid, r.n) for r in streams.revision_alerts(rows).collect()] == [("1", 2)]
+    assert [r.aid for r in streams.revision_alerts(rows).collect()] == ["1"]
 
 
 def test_windows_of_a_stream_close_at_the_watermark(spark, tmp_path):
@@ -65,3 +65,24 @@ def test_windows_of_a_stream_close_at_the_watermark(spark, tmp_path):
     finally:
         q.stop()
     assert got == [(1, 2), (2, 1), (5, 1)]
+
+
+def test_masters_of_any_header(spark, tmp_path):
+    (tmp_path / "old.csv").write_text('url,headline,scrape_date\nu1,"a ""b""\nc",2024-01-01\n', encoding="utf-8")
+    (r,) = snapshots.read_master(spark, str(tmp_path / "old.csv"), "err_ee").collect()
+    assert tuple(r) == ("u1", 'a "b"\nc', "2024-01-01", None, "err_ee")
+    (tmp_path / "new.csv").write_text("extra,scrape_datetime,headline,url\nx,2024-01-01_05.00.00,h,u2\n", encoding="utf-8")
+    (r,) = snapshots.read_master(spark, str(tmp_path / "new.csv"), "err_ee").collect()
+    assert (r.url, r.headline, r.scrape_date, r.scrape_datetime) == ("u2", "h", None, "2024-01-01_05.00.00")
+    (tmp_path / "empty.csv").write_text("")
+    assert snapshots.read_master(spark, str(tmp_path / "empty.csv"), "err_ee").count() == 0
+    assert snapshots.read_master(spark, str(tmp_path / "none.csv"), "err_ee").count() == 0
+
+
+def test_streamed_snapshots_keep_line_ends(spark, tmp_path):
+    d = tmp_path / "snapshots"
+    d.mkdir()
+    (d / "2024-01-01_05.00.00.csv").write_text('url,headline\nu1,"two\nlines"\n', encoding="utf-8")
+    q = snapshots.stream_snapshots(spark, str(d), "err_ee").writeStream.format("memory").queryName("line_ends").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert [r.headline for r in spark.table("line_ends").collect()] == ["two\nlines"] == [r.headline for r in snapshots.read_snapshots(spark, str(d), "err_ee").collect()]
