@@ -14,13 +14,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heliograph.llm.common import fold, small_batches, text_of
+from heliograph.llm.common import discard, fold, settle, small_batches, text_of
 
 WINDOW, WIDTHS, FILTERS, EMBEDDING = 256, (2, 3, 4), 16, 8
 #: Per language at most so many labelled texts are trained on, with so many windows of each.
 TEXTS, WINDOWS_PER_TEXT, EPOCHS, BATCH = 400, 4, 12, 64
 #: Of all languages together at most so many texts, but LEAST_TEXTS of each, whatever the number of languages.
 ALL_TEXTS, LEAST_TEXTS = 20_000, 8
+#: The sizes of the languages are broadcast while they are no more than this.
+BROADCAST_LANGUAGES = 50_000
 UNDETERMINED = "und"
 _SPAN = max(WIDTHS)
 
@@ -153,15 +155,19 @@ def train(docs: DataFrame, texts: int = TEXTS, seed: int = 5) -> ByteNet | None:
     """
     rows = docs.filter((fold(F.col("doc_id")) != 2) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.select(F.col("lang").cast("string").alias("lang"), "text", F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.lit(str(seed)))).alias("h"))
+    # Of a text, only what it is learned from goes on.
+    cut = WINDOWS_PER_TEXT * WINDOW
+    rows = rows.select("lang", "h", F.array(*[F.substring("text", 1, cut), F.expr(f"substring(text, 1 + length(text) div 2, {cut})")]).alias("parts"))
     # The lowest hashes of each language without ordering all of them in one task: a share that leaves enough, then a window.
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    texts = min(texts, max(LEAST_TEXTS, ALL_TEXTS // max(1, sizes.count())))
+    sizes = settle(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    many = sizes.count()
+    texts = min(texts, max(LEAST_TEXTS, ALL_TEXTS // max(1, many)))
     share = F.least(F.lit(1.0), F.lit(4.0 * texts) / F.col("n"))
     u = F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / float(1 << 32)
-    few = rows.join(sizes, "lang").filter(u < share)
-    cut = WINDOWS_PER_TEXT * WINDOW
-    few = few.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).filter(F.col("k") <= texts)
-    found = few.select("lang", "h", F.array(*[F.substring("text", 1, cut), F.expr(f"substring(text, 1 + length(text) div 2, {cut})")]).alias("parts")).collect()
+    few = rows.join(F.broadcast(sizes) if many <= BROADCAST_LANGUAGES else sizes, "lang").filter(u < share)
+    few = few.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "parts"))).filter(F.col("k") <= texts)
+    found = few.select("lang", "h", "parts").collect()
+    discard(sizes)
     if not found:
         return None
     languages = sorted({r.lang for r in found})
