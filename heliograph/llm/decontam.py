@@ -28,26 +28,61 @@ _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
+def plain(text: str | None) -> bytes:
+    """A text after lower-casing A-Z, with a space for each byte that no word holds."""
+    return text.encode("utf-8", "surrogatepass").translate(_WORD_BYTES) if text else b""
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The words of a text after lower-casing A-Z: digits, a-z and all beyond ASCII."""
-    return text.encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split() if text else []
+    return plain(text).split()
+
+
+#: Bytes that are hashed at once; a piece ends between words, so only a longer word makes a longer piece.
+PIECE = 1 << 20
+_powers: list[np.ndarray] = []
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+def _powers_to(n: int) -> list[np.ndarray]:
+    """Powers of an odd number modulo 2^64, and of its inverse, up to n at least."""
+    if not _powers or len(_powers[0]) < n:
+        base = 0x9E3779B97F4A7C15
+        _powers[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(n, PIECE + 1) - 1, x, np.uint64)])) for x in (base, pow(base, -1, 1 << 64))]
+    return _powers
 
-        if len(self) > 200_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
 
+def _hash_piece(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of the words of a piece: what each word adds to a sum over all bytes, moved to the same power."""
+    edge = np.diff(np.concatenate([[False], b != 32, [False]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    up, down = _powers_to(len(b) + 1)
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], out=sums[1:])
+    h = (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _M2
+    return starts, (h ^ (h >> np.uint64(32))) * _M1
 
-_hashes = _WordHashes()
 
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of each word of texts whose words are apart by spaces, in order.
 
-def hashes_of(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    Equal words have equal hashes. Others may have, too; whoever relies on
+    them compares words in the end.
+    """
+    joined = b" ".join(texts)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    starts, hashes, at = [], [], 0
+    while at < len(joined):
+        end = len(joined) if len(joined) - at <= PIECE else joined.rfind(b" ", at, at + PIECE)
+        if end <= at:  # a word that begins here is longer than a piece
+            end = joined.find(b" ", at + 1)
+            end = len(joined) if end < 0 else end
+        s, h = _hash_piece(np.frombuffer(joined, np.uint8, end - at, at))
+        starts.append(s + at)
+        hashes.append(h)
+        at = end
+    if not starts:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return np.searchsorted(np.cumsum(sizes), np.concatenate(starts), side="right"), np.concatenate(hashes)
 
 
 def shingle_hashes(h: np.ndarray, size: int) -> np.ndarray:
@@ -66,11 +101,12 @@ def _cut_windows(batches: Iterator[pd.DataFrame], window: int, shingle: int) ->
     for b in batches:
         for item, text in zip(b["item"], b["text"]):
             w = words_of(text)
+            _, each = word_hashes([plain(text)])
             k = min(window, len(w))
             size = min(shingle, k)
             out = []
             if k:
-                h = shingle_hashes(hashes_of(w), size).tolist()
+                h = shingle_hashes(each, size).tolist()
                 for i in range(len(w) - k + 1):
                     words = b" ".join(w[i : i + k])
                     out += [(item, words, k, size, j, h[i + j]) for j in range(k - size + 1)]
@@ -86,7 +122,7 @@ class _Filter:
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
         """Positions of the hashes that may be among them."""
-        p = hashes.view(np.uint64) & np.uint64(FILTER_BITS - 1)
+        p = hashes.view(np.uint64) & np.uint64(64 * len(self.bits) - 1)
         return np.flatnonzero((self.bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1))
 
 
@@ -98,31 +134,40 @@ def _filter(hashes: DataFrame):
     return hashes.sparkSession.sparkContext.broadcast(_Filter(found["word"].to_numpy(np.int64), found["bits"].to_numpy(np.int64)))
 
 
+def _found(texts: list[bytes], sizes: list[int], among: _Filter) -> tuple[np.ndarray, list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
+    """How many words each text has; and per size, the texts and places in them where a shingle passes the filter, and its hash. The texts are worked on as one array."""
+    text, each = word_hashes(texts)
+    n = np.bincount(text, minlength=len(texts))
+    first, out = np.cumsum(n) - n, []
+    for size in sizes:
+        h = shingle_hashes(each, size)
+        at = among(h)
+        at = at[text[at] == text[at + size - 1]]  # none from one text into the next
+        out.append((size, text[at], at - first[text[at]], h[at]))
+    return n, out
+
+
 def _count(batches: Iterator[pd.DataFrame], sizes: list[int], wanted) -> Iterator[pd.DataFrame]:
     """How often hashes that pass the filter occur in a batch of texts."""
-    among = wanted.value
     for b in batches:
-        found = [h[among(h)] for w in map(hashes_of, map(words_of, b["text"])) for h in (shingle_hashes(w, s) for s in sizes)]
+        found = [h for *_, h in _found([plain(t) for t in b["text"]], sizes, wanted.value)[1]]
         h, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_counts=True)
         yield pd.DataFrame({"hash": h, "n": n.astype(np.int64)})
 
 
 def _locate(batches: Iterator[pd.DataFrame], sizes: list[int], window: int, wanted) -> Iterator[pd.DataFrame]:
     """Per text, its number of words and the places where a prefix may be, each with the words around it."""
-    among = wanted.value
     for b in batches:
-        n, places = [], []
-        for text in b["text"]:
-            w = words_of(text)
-            own, each = [], hashes_of(w)
-            for s in sizes:
-                h = shingle_hashes(each, s)
-                for at in among(h).tolist():
-                    first = max(0, at - window + s)
-                    own.append({"hash": int(h[at]), "at": at, "first": first, "around": [x.decode("utf-8", "surrogatepass") for x in w[first : at + window]]})
-            n.append(len(w))
-            places.append(own)
-        yield pd.DataFrame({**{c: b[c] for c in b.columns if c != "text"}, "n_words": n, "places": places})
+        texts = [plain(t) for t in b["text"]]
+        n, found = _found(texts, sizes, wanted.value)
+        words: dict[int, list[bytes]] = {}
+        places: list[list[dict]] = [[] for _ in texts]
+        for size, owners, ats, hashes in found:
+            for i, at, h in zip(owners.tolist(), ats.tolist(), hashes.tolist()):
+                w = words[i] if i in words else words.setdefault(i, texts[i].split())
+                first = max(0, at - window + size)
+                places[i].append({"hash": h, "at": at, "first": first, "around": [x.decode("utf-8", "surrogatepass") for x in w[first : at + window]]})
+        yield pd.DataFrame({**{c: b[c] for c in b.columns if c != "text"}, "n_words": n.astype(np.int64), "places": places})
 
 
 def _windows(benchmark: DataFrame, window: int, shingle: int) -> DataFrame:

@@ -61,6 +61,51 @@ def _plain_statistics(t):
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), len(lines) - len(set(lines)), len(hit)
 
 
+def test_word_hashes_tell_words_apart(monkeypatch):
+    from heliograph.llm import decontam
+
+    rng = random.Random(4)
+    texts = [decontam.plain(" ".join(rng.choice(["a", "b", "ab", "ba", "é", "12", "x" * 70, "y" * 200]) + rng.choice(["", ",", " -- "]) for _ in range(rng.randrange(40)))) for _ in range(60)] + [b"", b"   ", b"z" * 500]
+    want = [(i, w) for i, t in enumerate(texts) for w in t.split()]
+    whole = decontam.word_hashes(texts)
+    for piece in (1 << 20, 64):  # in pieces that some words are longer than
+        monkeypatch.setattr(decontam, "PIECE", piece)
+        owner, h = decontam.word_hashes(texts)
+        assert owner.tolist() == [i for i, _ in want] and (h == whole[1]).all()
+        assert len({*zip([w for _, w in want], h.tolist())}) == len({w for _, w in want}) == len({*h.tolist()})
+    assert decontam.word_hashes([])[0].size == decontam.word_hashes([b""])[0].size == 0
+
+
+def test_benchmark_far_larger_than_the_filter(spark, monkeypatch):
+    """With a filter of 64 bits nearly every shingle passes; results stay the same."""
+    from heliograph.llm import common, decontam
+
+    rng = random.Random(9)
+    items = [(f"i{k}", " ".join(rng.choice("abcdefgh") + rng.choice("xyz") for _ in range(rng.choice([3, 9, 14])))) for k in range(60)]
+    docs = [(k, " ".join([rng.choice("abcdefgh") + rng.choice("xyz") for _ in range(30)] + (items[k % 60][1].split() if k % 3 == 0 else []) + ["end"])) for k in range(90)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")
+    key = lambda t: sorted(map(str, t.collect()))
+    got = decontam.find_overlaps(d, b)
+    plain = []
+    for i, t in docs:
+        w, hit, ids = t.split(), set(), set()
+        for name, text in items:
+            x = text.split()
+            k = min(10, len(x))
+            for a in range(len(x) - k + 1):
+                for at in range(len(w) - k + 1):
+                    if w[at : at + k] == x[a : a + k]:
+                        hit |= {*range(at, at + k)}
+                        ids.add(name)
+        plain.append((i, len(w), len(hit), sorted(ids)))
+    assert sorted((r.doc_id, r.n_words, sum(s.stop - s.start for s in r.spans), r["items"]) for r in got.collect()) == plain
+    first = key(got)
+    for module in (common, decontam):
+        monkeypatch.setattr(module, "FILTER_BITS", 64)
+    assert key(decontam.find_overlaps(d, b)) == first
+    assert {r.doc_id for r in decontam.drop_contaminated(d, b).collect()} == {i for i, _, n, _ in plain if not n}
+
+
 def test_statistics(spark, sf):
     odd = ["a b c a b c", "a a a a", "x\u00a0y z", "l\n l\nl\n\n", "é é é\x0bé", "", None, "# <b> |", "a b a b a b"]
     for t in odd + [r.text for r in read(spark, sf, "documents").collect()]:
