@@ -321,6 +321,8 @@ def test_mined_rules_match_brute_force(spark):
     assert got == pytest.approx(found) and found
     pages = df.select(F.col("url").alias("page_key"), url_rules.tokens_of(F.col("url")).alias("tokens")).distinct()
     scores = {r.page_key: r.confidence for r in url_rules.score_urls(pages, url_rules.mine_rules(df, min_rows=15)).collect()}
+    shuffled = url_rules.score_urls(pages, url_rules.mine_rules(df, min_rows=15), broadcast_rules=0)
+    assert {r.page_key: r.confidence for r in shuffled.collect()} == scores
     plain = {r.page_key: max((x for c, x in found.items() if set(c) <= set(r.tokens)), default=None) for r in pages.collect()}
     assert scores == pytest.approx({k: v for k, v in plain.items() if v is not None})
 
@@ -380,6 +382,72 @@ def test_votes_match_brute_force():
     assert got[:5].min() > 0.9 and got[5:10].max() < 0.3 and got[10] == got[11] == 0.7
 
 
+def test_quality_query_matches_brute_force(spark, sf):
+    """Scores of the query by a full decomposition and a sort of all similarities."""
+    texts = {r.doc_id: r.text or "" for r in read(spark, sf, "documents").collect()}
+    folds = {r.doc_id: r.f for r in read(spark, sf, "documents").select("doc_id", fold(F.col("doc_id")).alias("f")).collect()}
+    known = {r.doc_id: r.quality for r in read(spark, sf, "labels").filter("quality is not null").collect()}
+    ids = [i for i in sorted(texts) if i in known and folds[i] != 2]
+    # The prior counts all labels outside the held-out fold, of rows without a text, too.
+    prior = np.mean([y for i, y in known.items() if folds.get(i) != 2])
+    y = np.array([known[i] for i in ids])
+    count = {i: quality.term_counts(t).astype(float) for i, t in texts.items()}
+    df = (np.stack([count[i] for i in ids]) > 0).sum(0)
+    idf = np.where(df >= quality.LEAST_TEXTS, np.log((1 + len(ids)) / (1 + df)) + 1, 0)
+
+    def weigh(c, among):
+        x = np.sqrt(np.where(among, c, 0) / max(np.where(among, c, 0).sum(), 1)) * idf
+        return x / (np.linalg.norm(x) or 1)
+
+    own = np.stack([weigh(count[i], df >= quality.LEAST_TEXTS) for i in ids])
+    basis = np.linalg.svd(own, full_matrices=False)[2][: quality.DIMENSIONS].T
+    unit = lambda v: v / n if (n := np.linalg.norm(v)) > 1e-6 else v * 0
+    vectors = np.stack([unit(v @ basis) for v in own])
+    per = {1: prior / y.mean(), 0: (1 - prior) / (1 - y.mean())}
+    got = {r.doc_id: (r.held_out, r.score, r.predicted) for r in queries.op1_quality_classifier(spark, sf).collect()}
+    assert got.keys() == texts.keys()
+    off = []
+    for i, c in count.items():
+        # A text's own counts are scaled by all its terms.
+        x = np.sqrt(c / max(c.sum(), 1)) * idf
+        sim = vectors @ unit((x / (np.linalg.norm(x) or 1)) @ basis)
+        near = np.argsort(-sim, kind="stable")[: quality.NEIGHBOURS]
+        votes = [max(sim[k], 0) * per[y[k]] for k in near]
+        score = sum(v for v, k in zip(votes, near) if y[k] == 1) / sum(votes) if sum(votes) > 0 else prior
+        assert got[i][0] == (folds[i] == 2) and got[i][2] == int(got[i][1] >= 0.7)
+        off.append(abs(score - got[i][1]))
+    assert np.median(off) < 1e-3 and np.mean(np.array(off) < 0.05) > 0.97
+
+
+def test_language_query_matches_brute_force(spark, sf):
+    """Predictions of the query by loops over windows and filters, with the network that it learns."""
+    docs = read(spark, sf, "documents")
+    net = langid.train(docs)
+    e, w, span = net.p["E"].astype(float), net.p["W"].astype(float), langid._SPAN
+    got = {r.doc_id: r for r in queries.op2_language_id(spark, sf).collect()}
+    for r in docs.orderBy("doc_id").limit(40).collect():
+        if not any(c.isalpha() for c in r.text or ""):
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        data, total = r.text.encode(), np.zeros(len(net.languages))
+        for at in range(0, len(data), langid.WINDOW):
+            part = data[at : at + langid.WINDOW]
+            x = np.concatenate([e[list(part)], np.zeros((langid.WINDOW + span - 1 - len(part), langid.EMBEDDING))])
+            x[len(part) : langid.WINDOW] = e[0]
+            top = np.max([x[t : t + span].ravel() @ w for t in range(langid.WINDOW)], axis=0)
+            z = np.maximum(top + net.p["b"], 0) @ net.p["V"] + net.p["c"]
+            total += len(part) * (z - np.log(np.exp(z).sum()))
+        p = np.exp(total / len(data) - (total / len(data)).max())
+        assert got[r.doc_id].lang_pred == net.languages[int(p.argmax())] and abs(got[r.doc_id].score - p.max() / p.sum()) < 1e-3
+
+
+def test_every_language_is_learned(spark):
+    """More languages than a bound on their number would hold; each has texts in the sample."""
+    rows = [(100 * k + i, f"{chr(97 + k % 26)}{chr(97 + k // 26)} " * 30, f"l{k}") for k in range(60) for i in range(8)]
+    net = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), texts=3)
+    assert len(net.languages) == 60
+
+
 def test_convolution_matches_loops():
     net = langid.ByteNet(["a", "b", "c"], seed=1)
     x, _ = langid.windows_of(b"some bytes \xc3\xa9 to look at")
