@@ -68,7 +68,7 @@ def discard(*frames: DataFrame) -> None:
             _remove(f.sparkSession, path)
 
 
-def small_batches(df: DataFrame, rows: int = 1000, size: str = "4m") -> DataFrame:
+def small_batches(df: DataFrame, rows: int = 500, size: str = "2m") -> DataFrame:
     """df, after lowering the session's bounds of an Arrow batch to ``rows`` rows and about ``size`` bytes.
 
     Whole texts can be long, and each Python worker holds a batch or two. The

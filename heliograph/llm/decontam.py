@@ -39,7 +39,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 #: Bytes that are hashed at once; a piece ends between words, so only a longer word makes a longer piece.
-PIECE = 1 << 20
+PIECE = 1 << 17
 _powers: list[np.ndarray] = []
 
 

@@ -52,7 +52,7 @@ class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
