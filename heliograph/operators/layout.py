@@ -1,7 +1,8 @@
-"""Latent-semantic layout and density clusters.
+"""Latent-semantic layout, neighbour-graph layout and density clusters.
 
-No distributed form of t-SNE or UMAP exists; the layout is the
-deterministic projection on leading singular vectors.
+Singular vectors and principal components are found over all rows in
+Spark. t-SNE and the layout of a neighbour graph (UMAP) have no distributed
+form; they run on one worker or the driver, over what a report shows.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heliograph.operators.similarity import neighbours
+
 #: Rows of the matrix of terms that are summed together.
 STRIP = 64
 
@@ -264,3 +267,99 @@ def components_of(vectors: DataFrame, k: int = 2) -> DataFrame:
                 yield pd.DataFrame({"id": b["id"], "z": list((np.stack(b["v"].to_numpy()).astype(float) - m) @ w)})
 
     return vectors.filter("v is not null").select("id", "v").mapInPandas(project, schema)
+
+
+def memberships(d: np.ndarray, wanted: float) -> np.ndarray:
+    """Fuzzy memberships of a row's neighbours at distances d: 1 for the nearest, and ``wanted`` in all, by bisection on the kernel's width."""
+    beyond = np.maximum(d - d.min(), 0)
+    low, high = 0.0, np.inf
+    width = max(float(beyond.mean()), 1e-6)
+    for _ in range(64):
+        total = np.exp(-beyond / width).sum()
+        if abs(total - wanted) < 1e-5:
+            break
+        if total > wanted:
+            high, width = width, (low + width) / 2
+        else:
+            low, width = width, width * 2 if high == np.inf else (width + high) / 2
+        width = max(width, 1e-9)
+    return np.exp(-beyond / width)
+
+
+def curve(least: float, spread: float = 1.0) -> tuple[float, float]:
+    """a and b for which 1 / (1 + a d^(2b)) is nearest to 1 up to the distance ``least`` and an exponential decay beyond; by Gauss-Newton steps on their logarithms."""
+    x = np.linspace(spread / 100, 3 * spread, 300)
+    y = np.where(x < least, 1.0, np.exp(-(x - least) / spread))
+    la, lb = 0.0, 0.0
+    for _ in range(100):
+        power = np.exp(la) * x ** (2 * np.exp(lb))
+        f = 1 / (1 + power)
+        slope = -f * f * power
+        j = np.stack([slope, slope * 2 * np.exp(lb) * np.log(x)], axis=1)
+        step = np.linalg.lstsq(j, y - f, rcond=None)[0]
+        la, lb = la + np.clip(step[0], -0.5, 0.5), lb + np.clip(step[1], -0.5, 0.5)
+    return float(np.exp(la)), float(np.exp(lb))
+
+
+def graph_layout(start: np.ndarray, i: np.ndarray, j: np.ndarray, w: np.ndarray, least: float, epochs: int = 300, others: int = 5, seed: int = 42) -> np.ndarray:
+    """Places from ``start`` on: edges (i, j) pull by their weight w, random rows push.
+
+    Each epoch draws an edge with a probability of its weight over the
+    greatest, and moves all ends at once; steps shrink to 0.
+    """
+    a, b = curve(least)
+    rng = np.random.default_rng(seed)
+    y, n = start.astype(float).copy(), len(start)
+    chance = w / w.max()
+    for t in range(epochs):
+        rate = 1 - t / epochs
+        drawn = rng.random(len(w)) < chance
+        u, v = i[drawn], j[drawn]
+        gap = y[u] - y[v]
+        d2 = np.maximum(np.square(gap).sum(1), 1e-12)
+        pull = np.clip((-2 * a * b * d2 ** (b - 1) / (1 + a * d2**b))[:, None] * gap, -4, 4)
+        u2 = np.repeat(u, others)
+        far = rng.integers(0, n, len(u2))
+        gap = y[u2] - y[far]
+        d2 = np.square(gap).sum(1)
+        push = np.clip((2 * b / ((0.001 + d2) * (1 + a * d2**b)))[:, None] * gap, -4, 4)
+        push[far == u2] = 0
+        for c in range(y.shape[1]):
+            y[:, c] += rate * (np.bincount(u, pull[:, c], n) - np.bincount(v, pull[:, c], n) + np.bincount(u2, push[:, c], n))
+    return y
+
+
+def neighbour_layout(vectors: DataFrame, k: int = 2, least: float = 0.1, near: int | None = None, seed: int = 42) -> DataFrame:
+    """id and z of unit ``vectors(id, v)`` with distinct ids: a UMAP of k dimensions by cosine distance.
+
+    Nearest neighbours are exact and found in Spark, ``near`` of them with
+    the row itself (by default 15, fewer where there are fewer rows). The
+    fuzzy union of their memberships is laid out from the principal
+    components on; that takes place in the driver, which holds the graph:
+    near edges a row. A report's rows, not a corpus. At most n - 2
+    dimensions, 2 at least; under 3 rows the principal components stand.
+    """
+    n = vectors.filter("v is not null").count()
+    k = max(2, min(k, n - 2))
+    low = components_of(vectors, k)
+    if n < 3:
+        return low
+    near = near or max(2, min(15, n - 1))
+    rows = low.orderBy("id").toPandas()
+    edges = neighbours(vectors, vectors, near - 1).orderBy("id", "rank").toPandas()
+    ids = rows["id"].to_numpy()
+    i, j = np.searchsorted(ids, edges["id"]), np.searchsorted(ids, edges["other"])
+    d = np.maximum(1 - edges["sim"].to_numpy(), 0)
+    first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+    w = np.concatenate([memberships(x, np.log2(near)) for x in np.split(d, first[1:])])
+    pair = np.minimum(i, j).astype(np.int64) * n + np.maximum(i, j)
+    pairs, at = np.unique(pair, return_inverse=True)
+    none = np.ones(len(pairs))
+    np.multiply.at(none, at, 1 - w)  # a + b - ab of both sides' memberships
+    z = np.zeros((n, k))
+    held = np.stack(rows["z"].to_numpy())
+    z[:, : held.shape[1]] = held
+    z = z * (10 / max(np.abs(z).max(), 1e-12)) + np.random.default_rng(seed).normal(0, 1e-4, z.shape)
+    z = graph_layout(z, pairs // n, pairs % n, 1 - none, least, seed=seed)
+    found = pd.DataFrame({"id": ids, "z": z.tolist()})
+    return vectors.sparkSession.createDataFrame(found, f"id {dict(vectors.dtypes)['id']}, z array<double>")

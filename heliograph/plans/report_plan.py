@@ -51,10 +51,9 @@ def _top(ranked: DataFrame) -> DataFrame:
 
 def semantic_view(articles: DataFrame, vectors: DataFrame, up: list[float], down: list[float], vocabulary: Vocabulary) -> dict[str, DataFrame]:
     """points, clusters and heat over ``articles(id, d, text, headline, source, url)`` and unit ``vectors(id, v)`` of them."""
-    n = vectors.count()
-    plane = layout.plane(layout.components_of(vectors, 2).withColumnRenamed("id", "ord")).withColumnRenamed("ord", "id")
+    plane = layout.plane(layout.neighbour_layout(vectors, 2, 0.1).withColumnRenamed("id", "ord")).withColumnRenamed("ord", "id")
     iso = similarity.isolation(similarity.neighbours(vectors, vectors))
-    low = layout.components_of(vectors, max(1, min(5, n - 2))).withColumnRenamed("z", "v")
+    low = layout.neighbour_layout(vectors, 5, 0.0).withColumnRenamed("z", "v")
     raw = layout.density_clusters(low).persist()
     rows = articles.join(raw, "id").persist()
     stop = sorted({*english_stop_words(), *vocabulary.stop, *vocabulary.more_stop, *LABEL_STOP})

@@ -135,6 +135,13 @@ def density_clusters(spark, sf_dir):
     return layout.density_clusters(layout.components_of(v, max(1, min(5, v.count() - 2))).withColumnRenamed("z", "v"))
 
 
+@query()
+def neighbour_layout(spark, sf_dir):
+    """Vectors on the plane by their neighbour graph."""
+    v = vectors(spark, sf_dir).select("id", unit(F.col("v")).alias("v"))
+    return layout.plane(layout.neighbour_layout(v).withColumnRenamed("id", "ord"))
+
+
 def _channel(n: int, s: float, l: float) -> str:  # noqa: E741
     turn = f"fmod({n} + fmod(i * 137.508::DOUBLE, 360) / 30, 12)"
     return f"format('{{:02x}}', CAST(round_even(({l} - {s} * {min(l, 1 - l)} * greatest(-1, least({turn} - 3, 9 - {turn}, 1))) * 255, 0) AS INTEGER))"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
@@ -14,15 +14,23 @@ TIMEOUT = 12
 AGENT = "Mozilla/5.0 (compatible; heliograph)"
 
 
-def get(url: str, timeout: float = TIMEOUT) -> tuple[int, str | None]:
-    """(status, html) of an http or https address; (0, None) after any failure."""
+def headers_of(url: str, headers: Mapping[str, Mapping[str, str]]) -> Mapping[str, str]:
+    return headers[max(fits, key=len)] if (fits := [p for p in headers if url.startswith(p)]) else {}
+
+
+def get(url: str, timeout: float = TIMEOUT, headers: Mapping[str, Mapping[str, str]] | None = None) -> tuple[int, str | None]:
+    """(status, html) of an http or https address; (0, None) after any failure.
+
+    ``headers`` has what is sent to addresses that start with its keys, the
+    longest of which counts.
+    """
     from urllib.error import HTTPError
     from urllib.request import Request, urlopen
 
     if not url.lower().startswith(("http://", "https://")):
         return 0, None
     try:
-        with urlopen(Request(url, headers={"User-Agent": AGENT}), timeout=timeout) as r:  # noqa: S310
+        with urlopen(Request(url, headers={"User-Agent": AGENT, **headers_of(url, headers or {})}), timeout=timeout) as r:  # noqa: S310
             return r.status, r.read().decode(r.headers.get_content_charset() or "utf-8", "replace")
     except HTTPError as e:
         return e.code, None

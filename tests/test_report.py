@@ -110,3 +110,44 @@ def test_vector_cache(spark, tmp_path):
     assert first_that_works(broken, lambda: len)("ab") == 2
     with pytest.raises(ImportError):
         first_that_works(broken)
+
+
+def test_headers_by_longest_prefix():
+    from heliograph.sources.fetch import headers_of
+
+    sent = {"https://a.example/": {"Accept": "x"}, "https://a.example/news": {"Accept": "y"}}
+    assert headers_of("https://a.example/news/1", sent) == {"Accept": "y"} and headers_of("https://a.example/b", sent) == {"Accept": "x"}
+    assert headers_of("https://b.example/", sent) == {}
+
+
+def test_memberships_and_curve():
+    d = np.sort(np.random.default_rng(1).random(14))
+    w = layout.memberships(d, np.log2(15))
+    assert w[0] == 1 and abs(w.sum() - np.log2(15)) < 1e-3 and (np.diff(w) <= 0).all()
+    assert (layout.memberships(np.zeros(5), 2.0) == 1).all()
+    x = np.linspace(0.01, 3, 300)
+    for least in (0.0, 0.1):
+        wanted = np.where(x < least, 1, np.exp(-(x - least)))
+        miss = lambda a, b: np.square(1 / (1 + a * x ** (2 * b)) - wanted).sum()
+        a, b = layout.curve(least)
+        assert all(miss(a, b) <= miss(a * f, b * g) + 1e-9 for f in (0.97, 1, 1.03) for g in (0.97, 1, 1.03))
+
+
+def test_neighbour_layout_keeps_neighbours(spark):
+    rng = np.random.default_rng(5)
+    group = np.arange(90) % 3
+    v = np.eye(8)[group] + rng.normal(0, 0.15, (90, 8))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    rows = spark.createDataFrame([(i * 7, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    one, two = ({r.id: r.z for r in layout.neighbour_layout(rows, k).collect()} for k in (2, 2))
+    assert one == two and set(one) == {i * 7 for i in range(90)}
+    z = np.array([one[i * 7] for i in range(90)])
+    d = np.square(z[:, None] - z[None]).sum(-1)
+    np.fill_diagonal(d, np.inf)
+    assert (group[d.argsort(1)[:, :5]] == group[:, None]).mean() > 0.95
+    assert {len(r.z) for r in layout.neighbour_layout(rows, 5, 0.0).collect()} == {5}
+    for n in (0, 1, 2, 3):
+        few = layout.neighbour_layout(rows.filter(f"id < {7 * n}")).collect()
+        assert len(few) == n and np.isfinite([x for r in few for x in r.z]).all()
+    same = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(20)], "id long, v array<double>")
+    assert np.isfinite([x for r in layout.neighbour_layout(same).collect() for x in r.z]).all()
