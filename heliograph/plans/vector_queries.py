@@ -130,7 +130,7 @@ def plane_extents(spark, sf_dir):
 
 @query()
 def density_clusters(spark, sf_dir):
-    """Leaves of the single-linkage tree over the five leading principal components, as in a report."""
+    """Leaves of the single-linkage tree over the five leading principal components."""
     v = vectors(spark, sf_dir)
     return layout.density_clusters(layout.components_of(v, max(1, min(5, v.count() - 2))).withColumnRenamed("z", "v"))
 
