@@ -53,6 +53,44 @@ c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN c ON c.a = d.doc_id"""
 
 
+_HASH = lambda k: f"CAST(('0x' || substr(s, {8 * k + 1}, 8)) AS BIGINT)"
+
+FILL_IN_MIDDLE = rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s,
+  regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+r AS (SELECT *, CAST(len(u) AS BIGINT) AS n, {_HASH(0)} % (len(u) + 1) AS a, {_HASH(1)} % (len(u) + 1) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR {_HASH(2)} % 100 >= 50 THEN 'plain' WHEN {_HASH(3)} % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT doc_id, t, n, form, array_to_string(list_slice(u, 1, least(a, b)), '') AS x, array_to_string(list_slice(u, least(a, b) + 1, greatest(a, b)), '') AS y,
+  array_to_string(list_slice(u, greatest(a, b) + 1, n), '') AS z FROM r)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(x) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(y) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || z || '<P>' || x || '<M>' || y ELSE '<P>' || x || '<S>' || z || '<M>' || y END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
+
+SUBSTRING_DEDUP = r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, i, array_to_string(list_slice(w, i, i + 34), ' ') AS v FROM (SELECT r, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35)),
+again AS (SELECT v FROM s GROUP BY v HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(generate_series(i, i + 34)) AS p FROM s JOIN again USING (v)),
+word AS (SELECT r, p, w[p] AS x FROM (SELECT r, w, unnest(generate_series(1, len(w))) AS p FROM d WHERE len(w) > 0)),
+kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS k FROM word ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)"""
+
+# SQL has no crc32 here, so its table is made by the rule: eight shifts of each byte.
+_CRC = lambda s: f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({s}, ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda a, b: xor(a >> 8, list_extract(t, CAST(xor(a & 255, b) AS INTEGER) + 1))), 4294967295)"
+
+LATE_SESSIONS = rf"""WITH RECURSIVE shifted AS (SELECT CAST(i AS BIGINT) AS i, CAST(i AS BIGINT) AS x, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT i, xor(x >> 1, 3988292384 * (x & 1)), k + 1 FROM shifted WHERE k < 8),
+tab AS (SELECT list(x ORDER BY i) AS t FROM shifted WHERE k = 8),
+q AS (SELECT conv_id, turn, {_CRC("CAST(conv_id AS VARCHAR)")} AS c, {_CRC("CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)")} AS h FROM conversations, tab WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+e0 AS (SELECT CAST(2 * floor(conv_id / 8) + c % 2 AS BIGINT) AS u, CAST(floor(c / 2) AS BIGINT) % 7200 + 300 * turn + h % 600 AS s, CAST(floor(h / 600) AS BIGINT) AS g, h FROM q),
+e AS (SELECT u, s, h, CAST(floor(s / 1800) AS BIGINT) + CASE WHEN g % 3 = 0 THEN g % 4 ELSE 0 END AS b FROM e0),
+at_b AS (SELECT x.u, x.b, e.s, e.h, e.b AS own FROM (SELECT DISTINCT u, b FROM e) x JOIN e ON e.u = x.u AND e.b <= x.b),
+cut AS (SELECT *, CASE WHEN s - lag(s) OVER (PARTITION BY u, b ORDER BY s) <= 240 THEN 0 ELSE 1 END AS c FROM at_b),
+num AS (SELECT *, sum(c) OVER (PARTITION BY u, b ORDER BY s RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k FROM cut),
+v AS (SELECT u, b, min(s) AS s0, max(s) AS s1, count(*) AS n, count(*) FILTER (WHERE own = b) AS fresh, sum(h) AS hs FROM num GROUP BY u, b, k HAVING count(*) FILTER (WHERE own = b) > 0),
+r AS (SELECT x.u, x.b, x.s0, min(y.b) AS rb, arg_min(y.s0, y.b) AS rs FROM v x JOIN v y ON y.u = x.u AND y.b > x.b AND y.s0 <= x.s0 AND y.s1 >= x.s1 GROUP BY x.u, x.b, x.s0),
+m AS (SELECT u, rb, rs, count(*) AS k FROM r GROUP BY u, rb, rs)
+SELECT v.u AS "user", v.b AS batch, v.s0 AS start_s, v.s1 AS end_s, n AS n_events, fresh AS n_new, coalesce(k, 0) AS n_retracted, CAST(hs AS BIGINT) AS h_sum, r.rb AS retracted_batch, r.rs AS retracted_start_s
+FROM v LEFT JOIN r ON r.u = v.u AND r.b = v.b AND r.s0 = v.s0 LEFT JOIN m ON m.u = v.u AND m.rb = v.b AND m.rs = v.s0"""
+
+
 def url_filters(rules: list[tuple[str, str, str]], support: float, confidence: float, lift: float, rows: int) -> str:
     """Rules of up to three tokens by enumeration, where the operator mines them by FP-growth."""
     fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"

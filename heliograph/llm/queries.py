@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliograph.llm import decontam, langid, merkle, mixing, neardup, oracles, outliers, quality, tokens, toxicity, url_rules
+from heliograph.llm import decontam, fim, langid, merkle, mixing, neardup, oracles, outliers, quality, sessions, substrings, tokens, toxicity, url_rules
 from heliograph.llm.common import read
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -73,6 +73,26 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.find_duplicates(read(spark, sf_dir, "documents"), size=3, similarity=0.85)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.rearrange(read(spark, sf_dir, "documents")))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeats(read(spark, sf_dir, "documents")).select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """user, batch, second and value of the turns, drawn from checksums of conv_id and turn; two users in eight conversations."""
+    c, h = F.crc32(F.col("conv_id").cast("string")), F.crc32(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")))
+    turns = read(spark, sf_dir, "conversations").filter("conv_id is not null and turn is not null").select("conv_id", "turn", c.alias("c"), h.alias("h"))
+    turns = turns.selectExpr("2 * ((conv_id - pmod(conv_id, 8)) div 8) + c % 2 as user", "(c div 2) % 7200 + 300 * turn + h % 600 as second", "h div 600 as g", "h as value")
+    return turns.selectExpr("user", "(second - pmod(second, 1800)) div 1800 + case when g % 3 = 0 then g % 4 else 0 end as batch", "second", "value")
+
+
+def op13_late_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.versions(session_events(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_language_id": op2_language_id,
@@ -84,6 +104,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_late_sessions": op13_late_sessions,
 }
 ORACLES: dict[str, str] = {
     "op3_warc_fixity": oracles.WARC_FIXITY,
@@ -91,4 +114,7 @@ ORACLES: dict[str, str] = {
     "op6_decontamination": oracles.DECONTAMINATION,
     "op9_mixing": oracles.MIXING,
     "op10_minhash_near_dedup": oracles.NEAR_DEDUP,
+    "op11_fill_in_middle": oracles.FILL_IN_MIDDLE,
+    "op12_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op13_late_sessions": oracles.LATE_SESSIONS,
 }
