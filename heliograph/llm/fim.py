@@ -20,6 +20,7 @@ from itertools import islice
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heliograph.llm.common import small_batches, text_of
 
@@ -47,7 +48,7 @@ def end_offsets(text: str, low: int, high: int) -> tuple[int, int]:
     return ends[0], ends[1]
 
 
-@F.pandas_udf("n long, first long, second long")
+@F.pandas_udf(T.StructType([T.StructField(c, T.LongType()) for c in ("n", "first", "second")]))
 def _cuts(text: pd.Series, h1: pd.Series, h2: pd.Series, plain: pd.Series) -> pd.DataFrame:
     out = []
     for t, x, y, stays in zip(text, h1, h2, plain):

@@ -16,7 +16,7 @@ from heliograph.llm.common import fold, read
 @pytest.fixture(scope="module")
 def con(sf):
     c = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         c.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
     return c
 
