@@ -9,15 +9,15 @@ symbols in their interior wherever they stand. With each border between
 symbols goes the stretch of words that decides it, so that a symbol counts
 as interior to a window only if no word outside the window had a say in it.
 
-1. Each window is stood for by its interior symbol of the highest round, the
-   least name of those. All occurrences of a window choose the same name at
-   different places, so a window whose symbol occurs once occurs once. The
-   windows that a place of a symbol stands for are its unit. Names and units
-   are counted over all texts.
-2. Where a symbol occurs again and all its units are equal, all their windows
-   occur again. Of other symbols that occur again, windows are counted one by
-   one, by the name and an independent hash of their words, together 128 bits;
-   what is counted once is told to its text.
+1. Each window is stood for by four neighbouring interior symbols of the
+   highest round that has them, those of the least name. All occurrences of a
+   window choose the same name at different places, so a window whose symbols
+   occur once together occurs once. The windows that a place stands for are
+   its unit. Names and units are counted over all texts.
+2. The windows of a unit that occurs again occur again. Those of a lone unit
+   whose name occurs again are counted one by one, with those of one unit
+   for each other that has the name, by the name and an independent hash of
+   their words, together 128 bits; what is counted once is told to its text.
 3. The words of windows that occur again are removed.
 
 The choice depends on the words of a window alone, so texts are taken in
@@ -38,8 +38,9 @@ from heliograph.llm.common import discard, maybe_among, packed, settle, small_ba
 from heliograph.llm.decontam import word_hashes
 
 WINDOW = 35
-#: After four rounds a symbol has some three words, and most windows of 35 hold several with all that decides them.
-ROUNDS = 4
+#: After three rounds a symbol has some two words, and most windows of 35 hold several times four with all that decides them. More rounds make more
+#: places, fewer symbols together make more of them occur again by chance.
+ROUNDS, TOGETHER = 3, 4
 #: Words that are worked on at a time.
 PIECE = 1 << 16
 #: Copies of a text are left out of steps 1 and 2, one apart, if they make up at least one in so many rows. So at most so many texts are broadcast.
@@ -86,8 +87,9 @@ def _round(x: np.ndarray, at: np.ndarray, edge: np.ndarray, low: np.ndarray, hig
     return name, at[first], edge2, np.where(edge2, -_FAR, low2), np.where(edge2, _FAR, high2)
 
 
-def anchors(pieces: list[np.ndarray], window: int = WINDOW, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """For each window of each piece of hashed words, in order: the name of the symbol that stands for it, and a number of that symbol's place."""
+def anchors(pieces: list[np.ndarray], window: int = WINDOW, rounds: int = ROUNDS, together: int = TOGETHER) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of each piece of hashed words, in order: the name of the symbols that stand for it, and a number of their place."""
+    m = min(together, window)
     lengths = np.array([len(p) for p in pieces])
     starts = np.cumsum(lengths + 1) - lengths - 1  # a mark follows each piece
     total = int(lengths.sum() + len(pieces))
@@ -107,12 +109,17 @@ def anchors(pieces: list[np.ndarray], window: int = WINDOW, rounds: int = ROUNDS
     for x, at, edge, low, high in reversed(levels):
         if not open_.any():
             break
-        # Symbol j reaches from border j to border j + 1; windows that start in [a, b] hold all that decides both.
-        a = np.maximum(np.maximum(high[:-1], high[1:]), at[1:]) - window
-        b = np.minimum(np.minimum(low[:-1], low[1:]), at[:-1])
-        a, b = np.maximum(a, left[at[:-1]]), np.minimum(b, right[at[:-1]] - window)
+        if len(at) <= m:
+            continue
+        # Symbols j to j + m - 1 reach from border j to border j + m; windows that start in [a, b] hold all that decides these and those between.
+        a = np.maximum(high[m:], at[m:]) - window
+        b = np.minimum(low[:-m], at[:-m])
+        a, b = np.maximum(a, left[at[:-m]]), np.minimum(b, right[at[:-m]] - window)
+        x, single = x[: len(x) - m], x
+        for i in range(1, m):
+            x = _mix(x * _GOLD + single[i : len(x) + i])
         seen = np.concatenate([[0], np.cumsum(open_)])
-        j = np.flatnonzero((a <= b) & (at[:-1] < right[at[:-1]]))
+        j = np.flatnonzero((a <= b) & (at[m:] <= right[at[:-m]]))
         j = j[seen[b[j] + 1] > seen[a[j]]]
         j = j[np.lexsort((at[j], x[j]))]
         reach = b[j] - a[j] + 1
@@ -148,54 +155,63 @@ def _hashed(texts: list[str], window: int, piece: int) -> Iterator[list[tuple[in
 _powers: list[np.ndarray] = []
 
 
-def _units(pieces: list[np.ndarray], place: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each place, its first window and a hash of where its windows begin and of all their words."""
-    h = np.concatenate(pieces)
-    if not _powers or len(_powers[0]) <= len(h):
-        base, n = 0x9E3779B97F4A7C15, 2 * len(h)
-        _powers[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)])) for x in (base, pow(base, -1, 1 << 64))]
-    up, down = _powers
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[: len(h)])])
-    lengths = np.array([len(p) for p in pieces])
-    word = np.arange(len(h)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    start = np.flatnonzero(word + window <= np.repeat(lengths, lengths))  # of each window
-    order = np.argsort(place, kind="stable")
-    cut = np.flatnonzero(np.diff(place[order], prepend=-1))
-    first, last = order[cut], order[np.append(cut[1:], len(order)) - 1]
-    n = np.diff(np.append(cut, len(order))).astype(np.uint64)
-    i, z = start[first], start[last] + window
-    return first, _mix((sums[z] - sums[i]) * down[i] + (z - i).astype(np.uint64) * _M1 + n * _M2)
+def _runs(x: np.ndarray) -> list[tuple[int, int]]:
+    """Where runs of equal numbers begin and end."""
+    cuts = [0, *(np.flatnonzero(np.diff(x)) + 1).tolist(), len(x)] if len(x) else []
+    return list(zip(cuts, cuts[1:]))
+
+
+class _Group:
+    """Pieces of texts with all that follows from their words: of each window its start in the pieces' words, text, first word, place and name, and of each place its first window and unit."""
+
+    def __init__(self, group: list[tuple[int, int, np.ndarray]], window: int):
+        pieces, lengths = [h for *_, h in group], np.array([len(h) for *_, h in group])
+        self.h, self.window = np.concatenate(pieces), window
+        self.name, place = anchors(pieces, window)
+        inside = np.arange(len(self.h)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.start = np.flatnonzero(inside + window <= np.repeat(lengths, lengths))
+        self.row = np.repeat([r for r, *_ in group], lengths - window + 1)
+        self.at = inside[self.start] + np.repeat([at for _, at, _ in group], lengths - window + 1)
+        if not _powers or len(_powers[0]) <= len(self.h):
+            base, n = 0x9E3779B97F4A7C15, 2 * len(self.h)
+            _powers[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)])) for x in (base, pow(base, -1, 1 << 64))]
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.h * _powers[0][: len(self.h)])])
+        # A unit is told by where its windows begin and all their words.
+        order = np.argsort(place, kind="stable")
+        cut = np.flatnonzero(np.diff(place[order], prepend=-1))
+        n = np.diff(np.append(cut, len(order)))
+        self.first, last = order[cut], order[cut + n - 1]
+        self.unit = self._words(self.start[self.first], self.start[last] + window) + n.astype(np.uint64) * _M2
+        self.of = np.empty(len(order), np.int64)  # the place of each window
+        self.of[order] = np.repeat(np.arange(len(cut)), n)
+
+    def _words(self, i: np.ndarray, z: np.ndarray) -> np.ndarray:
+        """A hash of the words from i up to z."""
+        return _mix((self.sums[z] - self.sums[i]) * _powers[1][i] + (z - i).astype(np.uint64) * _M1)
+
+    def hashes(self, p: np.ndarray) -> np.ndarray:
+        """Of the windows p; independent of their names."""
+        return self._words(self.start[p], self.start[p] + self.window).view(np.int64)
+
+    def among(self, known: list[np.ndarray]) -> np.ndarray:
+        """Whether each window's unit is among those of its text."""
+        row, unit = self.row[self.first], self.unit.view(np.int64)
+        order, found = np.argsort(row, kind="stable"), np.zeros(len(row), bool)
+        for i, z in _runs(row[order]):
+            at = order[i:z]
+            if len(ids := known[row[at[0]]]):
+                found[at] = np.isin(unit[at], ids)
+        return found[self.of]
 
 
 def _named(batches: Iterator[pd.DataFrame], window: int, piece: int) -> Iterator[pd.DataFrame]:
-    """By text, the names that stand for its windows, their units and at how many places they are."""
+    """By text, the names that stand for its windows and their units."""
     for batch in batches:
         key, copies = batch["text_key"].to_numpy(), batch["copies"].to_numpy()
         for group in _hashed(batch["text"].tolist(), window, piece):
-            pieces = [h for *_, h in group]
-            name, place = anchors(pieces, window)
-            first, unit = _units(pieces, place, window)
-            row = np.repeat([r for r, *_ in group], [len(h) - window + 1 for h in pieces])[first]
-            yield pd.DataFrame({"name": name[first].view(np.int64), "unit": unit.view(np.int64), "text_key": key[row], "n": copies[row]})
-
-
-def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
-    return np.isin(x, known) if len(known) else np.zeros(len(x), bool)
-
-
-def _windows(texts: list[str], sure: list, unsure: list, window: int, piece: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text, starts of windows with a sure name, and of those with an unsure one starts, names and hashes of words) of pieces."""
-    for group in _hashed(texts, window, piece):
-        name, _ = anchors([h for *_, h in group], window)
-        name, at = name.view(np.int64), 0
-        for row, first, h in group:
-            own = name[at : at + len(h) - window + 1]
-            at += len(own)
-            p = np.flatnonzero(_among(own, unsure[row]))
-            words = np.zeros(len(p), np.uint64)
-            for i in range(window):
-                words = words * _GOLD + h[p + i]
-            yield row, np.flatnonzero(_among(own, sure[row])) + first, p + first, own[p], _mix(words).view(np.int64)
+            g = _Group(group, window)
+            row = g.row[g.first]
+            yield pd.DataFrame({"name": g.name[g.first].view(np.int64), "unit": g.unit.view(np.int64), "text_key": key[row], "n": copies[row]})
 
 
 def _arrays(column: pd.Series) -> list[np.ndarray]:
@@ -203,10 +219,14 @@ def _arrays(column: pd.Series) -> list[np.ndarray]:
 
 
 def _suspects(batches: Iterator[pd.DataFrame], window: int, piece: int) -> Iterator[pd.DataFrame]:
+    """The windows of lone units, and of those that stand for a unit that occurs again, which count twice."""
     for batch in batches:
-        key, copies, none = batch["text_key"].to_numpy(), batch["copies"].to_numpy(), [np.zeros(0, np.int64)] * len(batch)
-        for row, _, p, name, words in _windows(batch["text"].tolist(), none, _arrays(batch["unsure"]), window, piece):
-            yield pd.DataFrame({"name": name, "words": words, "text_key": np.full(len(p), key[row]), "copies": np.full(len(p), copies[row])})
+        key, lone, often = batch["text_key"].to_numpy(), _arrays(batch["lone"]), _arrays(batch["often"])
+        for group in _hashed(batch["text"].tolist(), window, piece):
+            g = _Group(group, window)
+            twice = g.among(often)
+            p = np.flatnonzero(twice | g.among(lone))
+            yield pd.DataFrame({"name": g.name[p].view(np.int64), "words": g.hashes(p), "text_key": key[g.row[p]], "n": 1 + twice[p].astype(np.int64)})
 
 
 def _left(text: str, starts: list[np.ndarray], window: int) -> tuple[int, int, str]:
@@ -256,35 +276,48 @@ def repeats(docs: DataFrame, window: int = WINDOW, piece: int = PIECE) -> DataFr
     each = rows.select("text_key", "id", "text").join(F.broadcast(hot), "text_key", "left").filter(F.col("copies").isNull() | (F.col("id") == F.col("first")))
     each = each.select("text_key", F.coalesce("copies", F.lit(1).cast("bigint")).alias("copies"), "text")
     named = settle(each.mapInPandas(partial(_named, window=window, piece=piece), "name long, unit long, text_key long, n long"), "named")
-    counted = named.groupBy("name").agg(F.sum("n").alias("n"), (F.min("unit") == F.max("unit")).alias("sure")).filter("n > 1")
-    shared = settle(counted.select("name", "sure"), "shared")
-    again = maybe_among(named.select("name", "text_key"), F.col("name"), shared.select("name")).filter("_maybe").drop("_maybe").distinct()
-    sure = [F.collect_set(F.when(F.col("sure") == k, F.col("name"))).alias(c) for k, c in ((True, "sure"), (False, "unsure"))]
-    names = settle(again.join(shared.hint("merge"), "name").groupBy("text_key").agg(*sure), "names")
+    shared = named.groupBy("name").agg(F.sum("n").alias("total"), (F.min("unit") == F.max("unit")).alias("alike")).filter("total > 1")
+    shared = settle(shared.select("name", "alike"), "shared")
+    again = maybe_among(named, F.col("name"), shared.select("name")).filter("_maybe").drop("_maybe").join(shared.hint("merge"), "name")
+    again = settle(again, "again")
     discard(named, shared)
-    doubtful = names.filter(F.size("unsure") > 0)
-    asked = maybe_among(each, F.col("text_key"), doubtful.select("text_key")).filter("_maybe").drop("_maybe").join(doubtful.select("text_key", "unsure").hint("merge"), "text_key")
-    suspects = asked.mapInPandas(partial(_suspects, window=window, piece=piece), "name long, words long, text_key long, copies long")
+    units = again.groupBy("name", "unit").agg(F.sum("n").alias("total"), F.min("text_key").alias("of"))
+    marked = again.join(units.hint("merge"), ["name", "unit"])
+    is_lone, stands = F.col("total") == 1, (F.col("total") > 1) & ~F.col("alike") & (F.col("text_key") == F.col("of"))
+    marked = marked.select("text_key", "unit", is_lone.alias("lone"), stands.alias("stands")).distinct().repartition("text_key")
+    kinds = [F.collect_list(F.when(when, F.col("unit"))).alias(c) for c, when in (("sure", ~F.col("lone")), ("lone", F.col("lone")), ("often", F.col("stands")))]
+    names = settle(marked.groupBy("text_key").agg(*kinds), "names")
+    discard(again)
+    doubtful = names.filter("size(lone) > 0 or size(often) > 0").drop("sure")
+    asked = maybe_among(each, F.col("text_key"), doubtful.select("text_key")).filter("_maybe").drop("_maybe").join(doubtful.hint("merge"), "text_key")
+    suspects = asked.mapInPandas(partial(_suspects, window=window, piece=piece), "name long, words long, text_key long, n long")
     # What is counted once is in the text that the least key names.
-    single = suspects.groupBy("name", "words").agg(F.sum("copies").alias("n"), F.min("text_key").alias("text_key")).filter("n = 1")
-    single = settle(single.groupBy("text_key").agg(F.collect_list("words").alias("single")), "single")
-    found = settle(names.join(single, "text_key", "left"), "found")
+    single = suspects.groupBy("name", "words").agg(F.sum("n").alias("n"), F.min("text_key").alias("text_key")).filter("n = 1")
+    single = settle(single.select("text_key", "words").repartition("text_key").groupBy("text_key").agg(F.collect_list("words").alias("single")), "single")
+    found = settle(names.drop("often").join(single, "text_key", "left"), "found")
     discard(names, single, texts)
 
     @F.pandas_udf("n_words long, n_removed long, kept string")
-    def left(text: pd.Series, sure: pd.Series, unsure: pd.Series, single: pd.Series) -> pd.DataFrame:
-        texts, sure, unsure, single = text.tolist(), _arrays(sure), _arrays(unsure), _arrays(single)
+    def left(text: pd.Series, sure: pd.Series, lone: pd.Series, single: pd.Series) -> pd.DataFrame:
+        texts, sure, lone, single = text.tolist(), _arrays(sure), _arrays(lone), _arrays(single)
         starts: list[list[np.ndarray]] = [[] for _ in texts]
-        asked = [k for k in range(len(texts)) if len(sure[k]) or len(unsure[k])]
-        for k, s, p, _, words in _windows([texts[k] for k in asked], [sure[k] for k in asked], [unsure[k] for k in asked], window, piece):
-            starts[asked[k]] += [s, p[~_among(words, single[asked[k]])]]
+        asked = [k for k in range(len(texts)) if len(sure[k]) or len(lone[k])]
+        for group in _hashed([texts[k] for k in asked], window, piece):
+            g = _Group(group, window)
+            gone, p = g.among([sure[k] for k in asked]), np.flatnonzero(g.among([lone[k] for k in asked]))
+            words, row = g.hashes(p), g.row[p]
+            for i, z in _runs(row):
+                gone[p[i:z]] |= ~np.isin(words[i:z], single[asked[row[i]]])
+            p = np.flatnonzero(gone)
+            for i, z in _runs(g.row[p]):
+                starts[asked[g.row[p[i]]]].append(g.at[p[i:z]])
         return pd.DataFrame([_left(t, s, window) for t, s in zip(texts, starts)], columns=["n_words", "n_removed", "kept"])
 
     split = maybe_among(rows.select("row", "text", "text_key"), F.col("text_key"), found.select("text_key"))
     hit = split.filter("_maybe").drop("_maybe").join(found.hint("merge"), "text_key", "left")
-    none = [F.lit(None).cast("array<bigint>").alias(c) for c in ("sure", "unsure", "single")]
+    none = [F.lit(None).cast("array<bigint>").alias(c) for c in ("sure", "lone", "single")]
     clear = split.filter("not _maybe").select("text_key", "row", "text", *none)
-    return hit.unionByName(clear).select("row", left("text", "sure", "unsure", "single").alias("x")).select("row", "x.*")
+    return hit.unionByName(clear).select("row", left("text", "sure", "lone", "single").alias("x")).select("row", "x.*")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
