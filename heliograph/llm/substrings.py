@@ -281,13 +281,14 @@ def repeats(docs: DataFrame, window: int = WINDOW, piece: int = PIECE) -> DataFr
     again = maybe_among(named, F.col("name"), shared.select("name")).filter("_maybe").drop("_maybe").join(shared.hint("merge"), "name")
     again = settle(again, "again")
     discard(named, shared)
-    units = again.groupBy("name", "unit").agg(F.sum("n").alias("total"), F.min("text_key").alias("of"))
+    # Written down, so that the join deals both sides anew and can split a hot unit's rows.
+    units = settle(again.groupBy("name", "unit").agg(F.sum("n").alias("total"), F.min("text_key").alias("of")), "units")
     marked = again.join(units.hint("merge"), ["name", "unit"])
     is_lone, stands = F.col("total") == 1, (F.col("total") > 1) & ~F.col("alike") & (F.col("text_key") == F.col("of"))
     marked = marked.select("text_key", "unit", is_lone.alias("lone"), stands.alias("stands")).distinct().repartition("text_key")
     kinds = [F.collect_list(F.when(when, F.col("unit"))).alias(c) for c, when in (("sure", ~F.col("lone")), ("lone", F.col("lone")), ("often", F.col("stands")))]
     names = settle(marked.groupBy("text_key").agg(*kinds), "names")
-    discard(again)
+    discard(again, units)
     doubtful = names.filter("size(lone) > 0 or size(often) > 0").drop("sure")
     asked = maybe_among(each, F.col("text_key"), doubtful.select("text_key")).filter("_maybe").drop("_maybe").join(doubtful.hint("merge"), "text_key")
     suspects = asked.mapInPandas(partial(_suspects, window=window, piece=piece), "name long, words long, text_key long, n long")
