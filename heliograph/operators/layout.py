@@ -1,35 +1,74 @@
-"""Latent-semantic layout, neighbour-graph layout and density clusters.
+"""Latent-semantic layout, principal components, t-SNE and the layout of a neighbour graph.
 
 Singular vectors and principal components are found over all rows in
-Spark. t-SNE and the layout of a neighbour graph (UMAP) have no distributed
-form; they run on one worker or the driver, over what a report shows.
+Spark. t-SNE and the layout of a neighbour graph (UMAP) move all places at
+once; so they lay out a sample of bounded size, in the driver, and every
+other row is placed among its nearest landmarks by Spark.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heliograph.operators.blocks import nearest
 from heliograph.operators.similarity import neighbours
+from heliograph.scratch import settle
 
-#: Rows of the matrix of terms that are summed together.
-STRIP = 64
+#: Rows that are multiplied, and rows of products that are summed, at a time; bytes that the driver holds of the basis of singular vectors.
+STRIP, MOST_HELD = 256, 64 << 20
+#: Rows that t-SNE and the layout of a neighbour graph move.
+LANDMARKS = 2000
 
 
 def dimensions(n: int, terms: int, most: int = 50) -> int:
     return max(0, min(most, n - 1, terms - 1))
 
 
+def leading(product: Callable[[np.ndarray], np.ndarray], m: int, k: int, tolerance: float = 1e-10, rounds: int = 300, seed: int = 0) -> np.ndarray:
+    """The k leading eigenvectors, as columns, of a symmetric matrix of side m that is known by its ``product`` with a few columns only.
+
+    A basis grows by the residuals of the pairs that have not settled, and is
+    cut back to the best directions when it would take more than MOST_HELD
+    bytes. Ends when every residual is within ``tolerance`` of the greatest
+    eigenvalue.
+    """
+    width = min(m, k + 10)
+    held = int(min(m, max(2 * width, min(6 * width, MOST_HELD // (16 * m)))))
+    v = np.linalg.qr(np.random.default_rng(seed).normal(size=(m, width)))[0]
+    g = product(v)
+    for _ in range(rounds):
+        t = v.T @ g
+        value, y = np.linalg.eigh((t + t.T) / 2)
+        value, y = value[::-1], y[:, ::-1]
+        x, gx = v @ y[:, :k], g @ y[:, :k]
+        off = np.linalg.norm(gx - x * value[:k], axis=0)
+        open_ = np.flatnonzero(off > tolerance * max(value[0], 1e-300))
+        if not len(open_) or v.shape[1] >= m:
+            break
+        if v.shape[1] + len(open_) > held:
+            v, g = v @ y[:, :width], g @ y[:, :width]
+        new = (gx - x * value[:k])[:, open_]
+        new = new / np.linalg.norm(new, axis=0)
+        for _ in range(2):
+            new = new - v @ (v.T @ new)
+        u, s, _ = np.linalg.svd(new, full_matrices=False)
+        new = u[:, s > 1e-8 * max(s.max(), 1e-300)][:, : m - v.shape[1]]
+        new = np.linalg.qr(new - v @ (v.T @ new))[0]
+        v, g = np.concatenate([v, new], axis=1), np.concatenate([g, product(new)], axis=1)
+    return x
+
+
 def lsa(weights: DataFrame, n: int, key: str = "ord", most: int = 50) -> DataFrame:
     """key and z: rows of a sparse matrix ``(key, term, w)`` on its leading right singular vectors, each with its largest part positive.
 
-    The products of columns are summed in Spark, in strips of the upper
-    triangle; the matrix of terms, whose side the vocabulary cap bounds (200
-    MB at 5000 terms), is decomposed in the driver.
+    The vectors are found by products of the matrix with a few columns at a
+    time, summed on the executors; no matrix of terms by terms is made. The
+    driver holds a few numbers a term for each of the ``most`` vectors.
     """
     spark = weights.sparkSession
     terms = [r.term for r in weights.select("term").distinct().orderBy("term").collect()]
@@ -37,44 +76,52 @@ def lsa(weights: DataFrame, n: int, key: str = "ord", most: int = 50) -> DataFra
     k = dimensions(n, m, most)
     if k == 0:
         return weights.select(key).distinct().withColumn("z", F.array().cast("array<double>"))
-    place = {t: i for i, t in enumerate(terms)}
-    of = spark.sparkContext.broadcast(place)
+    of = spark.createDataFrame(list(enumerate(terms)), "i int, term string")
+    kind = dict(weights.dtypes)[key]
+    rows = weights.join(of, "term").groupBy(key).agg(F.collect_list("i").alias("terms"), F.collect_list("w").alias("ws"))
+    rows = settle(rows, "matrix")
 
-    def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g = np.zeros((m, m))
+    def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
+        """(rows, their terms, a dense matrix of both) of few rows at a time."""
         for b in batches:
-            for t, w in zip(b["terms"], b["ws"]):
-                i, x = [of.value[s] for s in t], np.asarray(w)
-                g[np.ix_(i, i)] += np.outer(x, x)
-        for top in range(0, m, STRIP):
-            strip = np.triu(g[top : top + STRIP], top).ravel()
-            at = np.flatnonzero(strip)
-            if len(at):
-                yield pd.DataFrame({"top": [top], "at": [at.astype(np.int32)], "x": [strip[at]]})
-
-    def added(strips: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(STRIP * m)
-        for at, x in zip(strips["at"], strips["x"]):
-            total[at] += x
-        at = np.flatnonzero(total)
-        return pd.DataFrame({"top": [strips["top"].iat[0]], "at": [at.astype(np.int32)], "x": [total[at]]})
-
-    rows = weights.groupBy(key).agg(F.collect_list("term").alias("terms"), F.collect_list("w").alias("ws")).persist()
-    schema = "top int, at array<int>, x array<double>"
-    summed = rows.mapInPandas(gram, schema).groupBy("top").applyInPandas(added, schema).toPandas()
-    g = np.zeros(m * m)
-    for top, at, x in zip(summed["top"], summed["at"], summed["x"]):
-        g[top * m + np.asarray(at)] = x
-    _, v = np.linalg.eigh(g.reshape(m, m), UPLO="U")
-    v = v[:, ::-1][:, :k]
+            for at in range(0, len(b), STRIP):
+                part = b.iloc[at : at + STRIP]
+                i = np.concatenate(part["terms"].to_numpy())
+                used, place = np.unique(i, return_inverse=True)
+                x = np.zeros((len(part), len(used)))
+                x[np.repeat(np.arange(len(part)), part["terms"].map(len)), place] = np.concatenate(part["ws"].to_numpy())
+                yield part, used, x
+
+    def product(q: np.ndarray) -> np.ndarray:
+        shared = spark.sparkContext.broadcast(q)
+
+        def multiplied(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros(shared.value.shape)
+            for _, used, x in matrices(batches):
+                total[used] += x.T @ (x @ shared.value[used])
+            for top in range(0, m, STRIP):
+                yield pd.DataFrame({"top": [top], "x": [total[top : top + STRIP].ravel()]})
+
+        def added(key: tuple, strips: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"top": [key[0]], "x": [np.sum(np.stack(strips["x"].to_numpy()), axis=0)]})
+
+        schema = "top int, x array<double>"
+        found = rows.mapInPandas(multiplied, schema).groupBy("top").applyInPandas(added, schema).collect()
+        shared.destroy()
+        out = np.zeros(q.shape)
+        for r in found:
+            out[r.top : r.top + STRIP] = np.array(r.x).reshape(-1, q.shape[1])
+        return out
+
+    v = leading(product, m, k)
     v = v * np.sign(v[np.abs(v).argmax(axis=0), np.arange(k)])
     shared = spark.sparkContext.broadcast(v)
 
     def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({key: b[key], "z": [(np.asarray(w) @ shared.value[[of.value[s] for s in t]]).tolist() for t, w in zip(b["terms"], b["ws"])]})
+        for part, used, x in matrices(batches):
+            yield pd.DataFrame({key: part[key], "z": list(x @ shared.value[used])})
 
-    return rows.mapInPandas(project, f"{key} {dict(weights.dtypes)[key]}, z array<double>")
+    return rows.mapInPandas(project, f"{key} {kind}, z array<double>")
 
 
 def plane(projected: DataFrame, key: str = "ord") -> DataFrame:
@@ -83,106 +130,6 @@ def plane(projected: DataFrame, key: str = "ord") -> DataFrame:
     return projected.select(key, part(0).alias("x"), part(1).alias("y"))
 
 
-def spanning_tree(x: np.ndarray) -> list[tuple[float, int, int]]:
-    """Edges of a minimum spanning tree of Euclidean distances, shortest first; by Prim's algorithm."""
-    n = len(x)
-    best, link, inside = np.full(n, np.inf), np.zeros(n, int), np.zeros(n, bool)
-    at, edges = 0, []
-    for _ in range(n - 1):
-        inside[at] = True
-        d = np.sqrt(np.square(x - x[at]).sum(axis=1))
-        nearer = ~inside & (d < best)
-        best[nearer], link[nearer] = d[nearer], at
-        at = int(np.where(inside, np.inf, best).argmin())
-        edges.append((float(best[at]), int(link[at]), at))
-    return sorted(edges)
-
-
-def leaf_clusters(x: np.ndarray, least: int) -> np.ndarray:
-    """Labels from the leaves of the condensed single-linkage tree; -1 is noise.
-
-    With one neighbour asked for, core distances are 0 and mutual
-    reachability is plain distance. Going down the tree, a split makes two
-    new clusters if both sides have ``least`` members; else the smaller
-    side falls out of the cluster. Clusters that never split are the leaves.
-    """
-    n = len(x)
-    labels = np.full(n, -1)
-    if n < 2:
-        return labels
-    children: list[tuple[int, int]] = []
-    size, top = [1] * n, list(range(n))
-
-    def find(i: int) -> int:
-        while top[i] != i:
-            top[i] = top[top[i]]
-            i = top[i]
-        return i
-
-    for _, a, b in spanning_tree(x):
-        a, b = find(a), find(b)
-        children.append((a, b))
-        size.append(size[a] + size[b])
-        top.append(len(top))
-        top[a] = top[b] = len(top) - 1
-
-    def members(node: int) -> list[int]:
-        out, todo = [], [node]
-        while todo:
-            i = todo.pop()
-            if i < n:
-                out.append(i)
-            else:
-                todo.extend(children[i - n])
-        return out
-
-    def fallen(node: int) -> tuple[int, tuple[int, int] | None]:
-        """The node at which a cluster that starts at ``node`` truly splits, and its two sides."""
-        while node >= n:
-            a, b = children[node - n]
-            if size[a] >= least and size[b] >= least:
-                return node, (a, b)
-            bigger = a if size[a] >= size[b] else b
-            if size[bigger] < least:
-                return node, None
-            node = bigger
-        return node, None
-
-    root = len(top) - 1
-    todo, leaves = [root], []
-    while todo:
-        start = todo.pop()
-        _, sides = fallen(start)
-        if sides is None:
-            leaves.append(start)
-        else:
-            todo.extend(sides)
-    if leaves == [root]:
-        return labels  # the whole is no cluster of its own
-    for k, leaf in enumerate(sorted(leaves, key=lambda i: min(members(i)))):
-        labels[members(leaf)] = k
-    return labels
-
-
-def density_clusters(vectors: DataFrame, least: int | None = None, few: int = 12) -> DataFrame:
-    """id and cluster of ``vectors(id, v)``; fewer than ``few`` rows are one cluster.
-
-    Single linkage needs every distance and has no distributed form here:
-    this takes what fits one worker, as many articles as a report shows.
-    """
-
-    def cluster(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [b for b in batches if len(b)]
-        if not held:
-            return
-        b = pd.concat(held).sort_values("id")
-        n = len(b)
-        x = np.stack(b["v"].to_numpy()).astype(float)
-        yield pd.DataFrame({"id": b["id"], "cluster": np.zeros(n, int) if n < few else leaf_clusters(x, least or max(6, n // 30))})
-
-    return vectors.select("id", "v").coalesce(1).mapInPandas(cluster, f"id {dict(vectors.dtypes)['id']}, cluster int")
-
-
 def tsne(x: np.ndarray, perplexity: float | None = None, steps: int = 500, rate: float | None = None) -> np.ndarray:
     """Exact t-SNE to two dimensions, started from the leading principal components; for a report's few thousand rows."""
     n = len(x)
@@ -222,14 +169,65 @@ def tsne(x: np.ndarray, perplexity: float | None = None, steps: int = 500, rate:
     return y - y.mean(0)
 
 
-def tsne_plane(projected: DataFrame, key: str = "ord", most: int = 2000) -> DataFrame:
-    """key, x, y by t-SNE over z while there are ``most`` rows at the most; beyond, the first two parts."""
-    if projected.limit(most + 1).count() > most:
-        return plane(projected, key)
-    rows = projected.orderBy(key).toPandas()
-    xy = tsne(np.stack(rows["z"].to_numpy()) if len(rows) else np.zeros((0, 2)))
-    found = pd.DataFrame({key: rows[key], "x": xy[:, 0], "y": xy[:, 1]})
-    return projected.sparkSession.createDataFrame(found, f"{key} {dict(projected.dtypes)[key]}, x double, y double")
+def landmarks_of(rows: DataFrame, key: str, most: int = LANDMARKS) -> DataFrame:
+    """At most so many of the rows, those of least hash; all if there are no more."""
+    return rows.orderBy(F.xxhash64(key), key).limit(most)
+
+
+def affinities(d2: np.ndarray, perplexity: float) -> np.ndarray:
+    """By row of squared distances, weights that sum up to 1 and whose entropy is that of ``perplexity`` neighbours, by bisection on the kernel's width."""
+    own = d2 - d2.min(1, keepdims=True)
+    low, high, beta = np.zeros(len(own)), np.full(len(own), np.inf), np.ones(len(own))
+    for _ in range(60):
+        w = np.exp(-own * beta[:, None])
+        entropy = np.log(w.sum(1)) + beta * (own * w).sum(1) / w.sum(1)
+        wide = entropy > np.log(perplexity)
+        low, high = np.where(wide, beta, low), np.where(wide, high, beta)
+        beta = np.where(high == np.inf, beta * 2, (low + high) / 2)
+    return w / w.sum(1, keepdims=True)
+
+
+def placed_among(near: DataFrame, places: dict, weigh: Callable[[np.ndarray], np.ndarray], key: str, kind: str) -> DataFrame:
+    """key and z: the mean place of each row's landmarks in ``near(key, other, d)``, weighted by what ``weigh`` makes of the distances.
+
+    ``places`` has a vector for each landmark; so it is as bounded as they are.
+    """
+    shared = near.sparkSession.sparkContext.broadcast(places)
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for d, others in zip(b["d"], b["others"]):
+                w = weigh(np.asarray(d, float))
+                out.append((w / w.sum()) @ np.stack([shared.value[o] for o in others]))
+            yield pd.DataFrame({key: b[key], "z": out})
+
+    listed = near.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("d", "other"))).alias("x"))
+    return listed.select(key, F.col("x.d").alias("d"), F.col("x.other").alias("others")).mapInPandas(place, f"{key} {kind}, z array<double>")
+
+
+def tsne_plane(projected: DataFrame, key: str = "ord", most: int = LANDMARKS) -> DataFrame:
+    """key, x, y by t-SNE over z.
+
+    ``most`` landmarks, a sample by hash, are laid out by exact t-SNE; all
+    rows where there are no more. Every other row goes to the mean place of
+    its nearest landmarks, weighted by affinities of the same perplexity.
+    """
+    spark, kind = projected.sparkSession, dict(projected.dtypes)[key]
+    rows = settle(projected.select(key, "z"), "projected")
+    few = landmarks_of(rows, key, most).orderBy(key).toPandas()
+    xy = tsne(np.stack(few["z"].to_numpy()) if len(few) else np.zeros((0, 2)))
+    found = spark.createDataFrame(pd.DataFrame({key: few[key], "x": xy[:, 0], "y": xy[:, 1]}), f"{key} {kind}, x double, y double")
+    if len(few) < most:
+        return found
+    numbered = pd.DataFrame({"id": np.arange(len(few)), "v": few["z"]})
+    marks = spark.createDataFrame(numbered, "id long, v array<double>").select("id", "v", F.col("id").alias("g"), F.lit(float("inf")).alias("tau"))
+    rest = rows.join(found.select(key), key, "left_anti")
+    asked = rest.select(F.xxhash64(key).alias("id"), F.col("z").alias("v"), F.lit(-1).cast("bigint").alias("g"), F.lit(float("inf")).alias("tau"))
+    near = nearest(asked, marks, min(len(few), 3 * 30))
+    own = near.join(rest.select(F.col(key), F.xxhash64(key).alias("id")), "id").select(key, "other", "d")
+    moved = placed_among(own, dict(enumerate(xy)), lambda d: affinities(np.square(d)[None], min(30.0, (len(d) - 1) / 3))[0], key, kind)
+    return found.unionByName(plane(moved, key))
 
 
 def components_of(vectors: DataFrame, k: int = 2) -> DataFrame:
@@ -329,24 +327,29 @@ def graph_layout(start: np.ndarray, i: np.ndarray, j: np.ndarray, w: np.ndarray,
     return y
 
 
-def neighbour_layout(vectors: DataFrame, k: int = 2, least: float = 0.1, near: int | None = None, seed: int = 42) -> DataFrame:
+def neighbour_layout(vectors: DataFrame, k: int = 2, least: float = 0.1, near: int | None = None, seed: int = 42, landmarks: int = LANDMARKS, found: DataFrame | None = None) -> DataFrame:
     """id and z of unit ``vectors(id, v)`` with distinct ids: a UMAP of k dimensions by cosine distance.
 
-    Nearest neighbours are exact and found in Spark, ``near`` of them with
-    the row itself (by default 15, fewer where there are fewer rows). The
-    fuzzy union of their memberships is laid out from the principal
-    components on; that takes place in the driver, which holds the graph:
-    near edges a row. A report's rows, not a corpus. At most n - 2
-    dimensions, 2 at least; under 3 rows the principal components stand.
+    ``landmarks`` rows, a sample by hash, are laid out from the principal
+    components on; all rows where there are no more. Their nearest
+    neighbours are exact, ``near`` of them with the row itself (by default
+    15, fewer where there are fewer rows); the driver holds that many edges
+    a landmark. Every other row goes to the mean place of its nearest
+    landmarks, weighted by its memberships. At most n - 2 dimensions, 2 at
+    least; under 3 rows the principal components stand. ``found`` may have
+    what neighbours() gives for all rows, if these are no more than the
+    landmarks.
     """
-    n = vectors.filter("v is not null").count()
+    vectors = vectors.filter("v is not null")
+    few = settle(landmarks_of(vectors.select("id", "v"), "id", landmarks), "landmarks")
+    n = few.count()
     k = max(2, min(k, n - 2))
-    low = components_of(vectors, k)
+    low = components_of(few, k)
     if n < 3:
         return low
-    near = near or max(2, min(15, n - 1))
+    near, kind = near or max(2, min(15, n - 1)), dict(vectors.dtypes)["id"]
     rows = low.orderBy("id").toPandas()
-    edges = neighbours(vectors, vectors, near - 1).orderBy("id", "rank").toPandas()
+    edges = (found.filter(F.col("rank") < near) if found is not None and n < landmarks else neighbours(few, few, near - 1)).orderBy("id", "rank").toPandas()
     ids = rows["id"].to_numpy()
     i, j = np.searchsorted(ids, edges["id"]), np.searchsorted(ids, edges["other"])
     d = np.maximum(1 - edges["sim"].to_numpy(), 0)
@@ -361,5 +364,9 @@ def neighbour_layout(vectors: DataFrame, k: int = 2, least: float = 0.1, near: i
     z[:, : held.shape[1]] = held
     z = z * (10 / max(np.abs(z).max(), 1e-12)) + np.random.default_rng(seed).normal(0, 1e-4, z.shape)
     z = graph_layout(z, pairs // n, pairs % n, 1 - none, least, seed=seed)
-    found = pd.DataFrame({"id": ids, "z": z.tolist()})
-    return vectors.sparkSession.createDataFrame(found, f"id {dict(vectors.dtypes)['id']}, z array<double>")
+    laid = vectors.sparkSession.createDataFrame(pd.DataFrame({"id": ids, "z": z.tolist()}), f"id {kind}, z array<double>")
+    if n < landmarks:
+        return laid
+    rest = vectors.join(few.select("id"), "id", "left_anti")
+    others = neighbours(few, rest, near).select("id", "other", F.greatest(1 - F.col("sim"), F.lit(0.0)).alias("d"))
+    return laid.unionByName(placed_among(others, dict(zip(ids.tolist(), z)), lambda x: memberships(x, np.log2(near)), "id", kind))

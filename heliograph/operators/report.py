@@ -61,14 +61,20 @@ def home_rows(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
     return spark.createDataFrame([(s.code, s.home) for s in vocabulary.sources], "code string, home string")
 
 
-def payload(generated: str, full: str | None = None, **tables: DataFrame) -> DataFrame:
-    """One JSON text: each table as a list of objects, in the table's order of columns. For tables of a report's size.
+#: How the lists of a report are ordered; a minus stands for descending. Others go by their columns.
+ORDERS = {"shares": ("-pct",), "themes": ("-count",), "keywords": ("-n",)}
+
+
+def payload(generated: str, full: str | None = None, orders: dict[str, tuple[str, ...]] = ORDERS, **tables: DataFrame) -> DataFrame:
+    """One JSON text: each table as a list of objects, by the columns of its order and then by all. For tables of a report's size.
 
     ``generated`` and ``full`` are the short and the full stamp of the run.
     """
     one = None
     for name, t in tables.items():
-        listed = t.agg(F.sort_array(F.collect_list(F.struct(*t.columns))).alias(name))
+        keys = [(-F.col(c[1:]) if c[0] == "-" else F.col(c)).alias(f"k{i}") for i, c in enumerate(orders.get(name, ())) if c.lstrip("-") in t.columns]
+        in_order = F.sort_array(F.collect_list(F.struct(*keys, F.struct(*t.columns).alias("row"))))
+        listed = t.agg(F.transform(in_order, lambda x: x["row"]).alias(name))
         one = listed if one is None else one.crossJoin(listed)
     stamps = [F.lit(generated).alias("generated"), *([F.lit(full).alias("generatedFull")] if full else [])]
     return one.select(F.to_json(F.struct(*stamps, *tables)).alias("json"))
@@ -79,6 +85,16 @@ def page(json_text: str, template: str, token: str = "__PAYLOAD__") -> str:
     return template.replace(token, json_text.replace("</", "<\\/"))
 
 
+def tone_cells(cells: DataFrame, dark: bool = False, tone: str = "m") -> DataFrame:
+    """cells with colour and ink: from blue over a neutral middle to red as tone goes from -1 to 1, and black or white, whichever reads on it."""
+    # Fixed values, which the report's legend shares.
+    low, middle, high = ((57, 135, 229), (56, 56, 53), (208, 59, 59)) if dark else ((42, 120, 214), (240, 239, 236), (208, 59, 59))
+    t = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col(tone)))
+    parts = [F.floor(m + (F.when(t < 0, a).otherwise(z) - m) * F.abs(t) + 0.5).cast("int") for a, m, z in zip(low, middle, high)]
+    light = 0.299 * parts[0] + 0.587 * parts[1] + 0.114 * parts[2]
+    return cells.withColumns({"colour": F.format_string("#%02x%02x%02x", *parts), "ink": F.when(light > 150, "rgba(0,0,0,.62)").otherwise("rgba(255,255,255,.82)")})
+
+
 def in_pixels(points: DataFrame, extents: DataFrame, width: float, height: float) -> DataFrame:
     """points with px and py: x from the left, y from the bottom, scaled to the extents."""
     one = points.crossJoin(F.broadcast(extents))
@@ -107,8 +123,17 @@ TEMPLATE = """<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>
 <body><script id="data" type="application/json">__PAYLOAD__</script></body></html>"""
 
 
-def write_report(payload_row: DataFrame, folder: str, template: str = TEMPLATE) -> None:
-    """payload.json and page.html in a folder, each one text file in Spark's layout, by way of Spark's writers."""
+#: The same without a frame of its own, to be put into another page.
+CONTENT = """<script id="data" type="application/json">__PAYLOAD__</script>"""
+
+
+def template_of(spark: SparkSession, path: str) -> str:
+    """A template kept as a text file in any store that Spark reads."""
+    return spark.read.option("wholetext", True).text(path).first()[0]
+
+
+def write_report(payload_row: DataFrame, folder: str, template: str = TEMPLATE, content: str = CONTENT) -> None:
+    """payload.json, page.html and content.html in a folder, each one text file in Spark's layout, by way of Spark's writers."""
     text = payload_row.first()[0]
-    for name, value in (("payload.json", text), ("page.html", page(text, template))):
+    for name, value in (("payload.json", text), ("page.html", page(text, template)), ("content.html", page(text, content))):
         payload_row.sparkSession.createDataFrame([(value,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/{name}")

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import partial
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,59 +12,30 @@ from heliograph.functions.dates import week_start
 from heliograph.functions.numbers import clip, thirds
 from heliograph.functions.quantiles import quantile
 from heliograph.functions.vectors import doubles, dot, unit
+from heliograph.operators import blocks
 from heliograph.operators.archive import lacking
+from heliograph.operators.encode import PieceEncoder, encoded
 
-#: Rows of a block of vectors, and the queries that are compared with a block at once.
-BLOCK, AT_ONCE = 8192, 1024
-
-
-def _block_neighbours(batches: Iterator[pd.DataFrame], queries, k: int) -> Iterator[pd.DataFrame]:
-    """For each query the k nearest rows of a batch, itself excluded."""
-    ids, vecs = queries.value
-    for b in batches:
-        if not len(b):
-            continue
-        own = b["id"].to_numpy()
-        m = np.stack(b["v"].to_numpy()).astype(np.float64)
-        for i in range(0, len(ids), AT_ONCE):
-            q = ids[i : i + AT_ONCE]
-            sim = vecs[i : i + AT_ONCE] @ m.T
-            sim[q[:, None] == own[None]] = -np.inf
-            # By similarity, then id: the k-th value and all ties with it, then the exact order.
-            n = min(k, sim.shape[1])
-            edge = np.partition(sim, -n, axis=1)[:, -n]
-            x, y = np.nonzero((sim >= edge[:, None]) & (sim > -np.inf))
-            order = np.lexsort((own[y], -sim[x, y], x))
-            x, y = x[order], y[order]
-            rank = np.arange(len(x)) - np.searchsorted(x, x)
-            x, y = x[rank < k], y[rank < k]
-            yield pd.DataFrame({"id": q[x], "other": own[y], "sim": sim[x, y]})
-
-
-def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK) -> DataFrame:
+def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = blocks.BLOCK, each: int = blocks.PER_PIVOT, counts: dict | None = None) -> DataFrame:
     """id, rank, other, sim: the k rows of ``vectors(id, v)`` most similar by dot product to each of ``queries(id, v)``.
 
-    A row is not its own neighbour; ties go to the lower id. Exact. Queries
-    are taken in blocks of bounded size, each broadcast and compared with
-    all rows where those lie; only k rows per query and batch are shuffled.
+    A row is not its own neighbour; ties, of similarities equal to twelve
+    decimals, go to the lower id. Exact: with one more part that brings all
+    rows to the length of the longest, the most similar are the nearest, and
+    blocks too far away to hold them are left out. ``counts`` gets the pairs
+    of rows compared and those there are.
     """
-    spark = vectors.sparkSession
-    rows = vectors.filter("v is not null").select(F.col("id").cast("bigint").alias("id"), doubles(F.col("v")).alias("v"))
-    asked = queries.filter("v is not null").select(F.col("id").cast("bigint").alias("id"), doubles(F.col("v")).alias("v")).dropDuplicates(["id"])
-    n = asked.count()
-    parts = max(1, -(-n // block))
-    found = None
-    for p in range(parts):
-        part = asked.filter(F.pmod(F.xxhash64("id"), F.lit(parts)) == p).collect()
-        if not part:
-            continue
-        shared = spark.sparkContext.broadcast((np.array([r.id for r in part], np.int64), np.array([r.v for r in part], np.float64)))
-        near = rows.mapInPandas(partial(_block_neighbours, queries=shared, k=k), "id long, other long, sim double")
-        found = near if found is None else found.unionByName(near)
-    if found is None:
-        found = spark.createDataFrame([], "id long, other long, sim double")
-    order = Window.partitionBy("id").orderBy(F.desc("sim"), "other")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("id", "rank", "other", "sim")
+    made = lambda df: df.filter("v is not null").select(F.col("id").cast("bigint").alias("id"), doubles(F.col("v")).alias("v"))
+    rows, square = made(vectors), dot(F.col("v"), F.col("v"))
+    most = rows.agg(F.max(square).alias("hi"), F.min(square).alias("lo")).first()
+    level = most.hi is None or most.lo >= most.hi * (1 - 1e-12)
+    inf = F.lit(float("inf")).alias("tau")
+    more = lambda df, last: df if level else df.withColumn("v", F.concat("v", F.array(last)))
+    full = more(rows, F.sqrt(F.greatest(F.lit(most.hi) - square, F.lit(0.0)))).select("id", "v", F.col("id").alias("g"), inf)
+    asked = full if level and queries is vectors else more(made(queries).dropDuplicates(["id"]), F.lit(0.0)).select("id", "v", F.col("id").alias("g"), inf)
+    found = blocks.nearest(asked, full, k, block, each, counts)
+    order = Window.partitionBy("id").orderBy(F.desc(F.round("dot", 12)), "other")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("id", "rank", "other", F.col("dot").alias("sim"))
 
 
 def isolation(nearest: DataFrame) -> DataFrame:
@@ -131,19 +100,11 @@ def palette(k: int) -> tuple[list[str], list[str]]:
     return [colour(i, 0.62, 0.46) for i in range(max(1, k))], [colour(i, 0.68, 0.62) for i in range(max(1, k))]
 
 
-def embed_new(rows: DataFrame, cache: DataFrame, encode: Callable[[list[str]], np.ndarray], key: str = "url", text: str = "text") -> DataFrame:
-    """key and unit vec of rows whose key the cache lacks; ``encode`` runs on batches of texts."""
-
-    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                v = np.asarray(encode(b[text].fillna("").tolist()), np.float32)
-                n = np.linalg.norm(v, axis=1, keepdims=True)
-                n[n == 0] = 1
-                yield pd.DataFrame({key: b[key], "vec": list(v / n)})
-
+def embed_new(rows: DataFrame, cache: DataFrame, encode: Callable[[list[str]], np.ndarray] | None = None, key: str = "url", text: str = "text", load: Callable[[], Callable[[list[str]], np.ndarray]] = PieceEncoder) -> DataFrame:
+    """key and unit vec of rows whose key the cache lacks, by ``encode`` or by what ``load`` makes once a worker; the least text of a key counts."""
     missing = lacking(rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(text).alias(text)), cache, key)
-    return missing.select(key, text).mapInPandas(encoded, f"{key} string, vec array<float>")
+    found = missing.select(F.col(key).cast("string").alias(key), encoded(F.col(text), load if encode is None else lambda: encode).alias("vec"))
+    return found.select(key, unit(F.col("vec")).cast("array<float>").alias("vec"))
 
 
 def nearest_point(points: DataFrame, x: float, y: float, within: float = 13.0) -> DataFrame:

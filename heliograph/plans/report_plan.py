@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heliograph.operators import clusters as density
 from heliograph.operators import layout, report, revisions, shares, similarity, terms, themes
+from heliograph.scratch import settle
 from heliograph.vocab import LABEL_STOP, Vocabulary, english_stop_words
 
 
@@ -51,10 +53,11 @@ def _top(ranked: DataFrame) -> DataFrame:
 
 def semantic_view(articles: DataFrame, vectors: DataFrame, up: list[float], down: list[float], vocabulary: Vocabulary) -> dict[str, DataFrame]:
     """points, clusters and heat over ``articles(id, d, text, headline, source, url)`` and unit ``vectors(id, v)`` of them."""
-    plane = layout.plane(layout.neighbour_layout(vectors, 2, 0.1).withColumnRenamed("id", "ord")).withColumnRenamed("ord", "id")
-    iso = similarity.isolation(similarity.neighbours(vectors, vectors))
-    low = layout.neighbour_layout(vectors, 5, 0.0).withColumnRenamed("z", "v")
-    raw = layout.density_clusters(low).persist()
+    near = settle(similarity.neighbours(vectors, vectors, 14), "near")  # once for all that follows
+    plane = layout.plane(layout.neighbour_layout(vectors, 2, 0.1, found=near).withColumnRenamed("id", "ord")).withColumnRenamed("ord", "id")
+    iso = similarity.isolation(near)
+    low = layout.neighbour_layout(vectors, 5, 0.0, found=near).withColumnRenamed("z", "v")
+    raw = settle(density.density_clusters(low), "clusters")
     rows = articles.join(raw, "id").persist()
     stop = sorted({*english_stop_words(), *vocabulary.stop, *vocabulary.more_stop, *LABEL_STOP})
     ranked = terms.class_terms(rows.select("cluster", F.col("id").alias("ord"), "text"), stop)

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from heliograph.functions.numbers import sixths
 from heliograph.functions.vectors import unit
-from heliograph.operators import layout, similarity
+from heliograph.operators import clusters, layout, report, similarity
 from heliograph.plans.registry import query
-from heliograph.plans.tables import days, vectors
+from heliograph.plans.tables import articles, days, table, vectors
 
 _V = "vec AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)"
 _UNIT = "list_transform(v, lambda x: x / sqrt(list_dot_product(v, v)))"
@@ -104,6 +104,20 @@ def tone_weekly(spark, sf_dir):
     return similarity.tone_heatmap(_toned(spark, sf_dir), F.col("c") == 3).filter("c is null").drop("c")
 
 
+_INK = "CAST(floor({m} + (CASE WHEN m < 0 THEN {a} ELSE {z} END - {m}) * abs(m) + 0.5) AS INTEGER)"
+_RGB = [_INK.format(a=a, m=m, z=z) for a, m, z in ((42, 240, 208), (120, 239, 59), (214, 236, 59))]
+
+
+@query(
+    f"WITH {_POINTS}, cell AS (SELECT c, week, round_even(avg(t) * 1000, 0) / 1000 AS m FROM pts WHERE c <> 3 GROUP BY c, week), rgb AS (SELECT *, {_RGB[0]} AS r, {_RGB[1]} AS g, {_RGB[2]} AS b FROM cell) "
+    "SELECT c, week, format('#{:02x}{:02x}{:02x}', r, g, b) AS colour, CASE WHEN 0.299 * r + 0.587 * g + 0.114 * b > 150 THEN 'rgba(0,0,0,.62)' ELSE 'rgba(255,255,255,.82)' END AS ink FROM rgb"
+)
+def tone_colours(spark, sf_dir):
+    """The cells of the heat map in colour, with an ink that reads on it."""
+    cells = similarity.tone_heatmap(_toned(spark, sf_dir), F.col("c") == 3).filter("c is not null")
+    return report.tone_cells(cells).select("c", "week", "colour", "ink")
+
+
 @query("WITH s AS (SELECT label AS cluster, count(*) AS size FROM embeddings GROUP BY label) SELECT cluster, row_number() OVER (ORDER BY cluster = 2, size DESC, cluster) - 1 AS id, size FROM s")
 def cluster_renumber(spark, sf_dir):
     """Labels by size; label 2 stands for noise and comes last."""
@@ -132,7 +146,7 @@ def plane_extents(spark, sf_dir):
 def density_clusters(spark, sf_dir):
     """Leaves of the single-linkage tree over the five leading principal components."""
     v = vectors(spark, sf_dir)
-    return layout.density_clusters(layout.components_of(v, max(1, min(5, v.count() - 2))).withColumnRenamed("z", "v"))
+    return clusters.density_clusters(layout.components_of(v, max(1, min(5, v.count() - 2))).withColumnRenamed("z", "v"))
 
 
 @query()
@@ -142,6 +156,14 @@ def neighbour_layout(spark, sf_dir):
     return layout.plane(layout.neighbour_layout(v).withColumnRenamed("id", "ord"))
 
 
+@query()
+def embed_documents(spark, sf_dir):
+    """Vectors of the documents that a cache, here the labels, lacks; by the built-in encoder."""
+    rows = articles(spark, sf_dir).select("url", F.col("body").alias("text"))
+    cached = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("url"))
+    return similarity.embed_new(rows, cached)
+
+
 def _channel(n: int, s: float, l: float) -> str:  # noqa: E741
     turn = f"fmod({n} + fmod(i * 137.508::DOUBLE, 360) / 30, 12)"
     return f"format('{{:02x}}', CAST(round_even(({l} - {s} * {min(l, 1 - l)} * greatest(-1, least({turn} - 3, 9 - {turn}, 1))) * 255, 0) AS INTEGER))"

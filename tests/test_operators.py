@@ -7,9 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from heliograph.operators import archive, html, layout, report, revisions, shares, similarity, terms, themes, timeline
+from heliograph.operators import archive, clusters, html, layout, report, revisions, shares, similarity, terms, themes, timeline
 from heliograph.plans.registry import QUERIES
 from heliograph.vocab import NEWS, PROSE, Source, Theme, Vocabulary
+from tests import plain
 
 ART = "url string, headline string, ord int"
 
@@ -174,7 +175,7 @@ def test_density_clusters_of_components(spark):
     v[30:60, 8] += 5
     v[60:, 11] += 5
     rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
-    got = {r.id: r.cluster for r in layout.density_clusters(layout.components_of(rows, 5).withColumnRenamed("z", "v")).collect()}
+    got = {r.id: r.cluster for r in clusters.density_clusters(layout.components_of(rows, 5).withColumnRenamed("z", "v")).collect()}
     groups = [{got[i] for i in range(a, a + 30)} - {-1} for a in (0, 30, 60)]
     assert all(groups) and not (groups[0] & groups[1] or groups[1] & groups[2] or groups[0] & groups[2])
 
@@ -240,7 +241,7 @@ def test_embed_only_new(spark):
 def test_leaf_clusters():
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(0, 0.1, (20, 2)), rng.normal(5, 0.1, (25, 2)), [[50.0, 50.0], [-40.0, 9.0]]])
-    labels = layout.leaf_clusters(x, 6)
+    labels = plain.leaf_clusters(x, 6)
     a, b = set(labels[:20]) - {-1}, set(labels[20:45]) - {-1}
     assert a and b and not a & b and set(labels[45:]) == {-1}
 
@@ -289,7 +290,7 @@ def test_density_clusters_match_brute_force(spark, tmp_path):
 
 def test_few_rows_are_one_cluster(spark):
     rows = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(11)], "id long, v array<double>")
-    assert {r.cluster for r in layout.density_clusters(rows).collect()} == {0}
+    assert {r.cluster for r in clusters.density_clusters(rows).collect()} == {0}
 
 
 def test_lsa_keeps_products(spark):
