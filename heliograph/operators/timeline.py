@@ -39,6 +39,12 @@ def brush(rows: DataFrame, low, high, off: list[str]) -> DataFrame:
     return rows.filter(F.col("d").between(F.lit(low).cast("date"), F.lit(high).cast("date")) & ~F.col("code").isin(off)).orderBy(F.desc("d"), "h")
 
 
+def listing(rows: DataFrame, collation: str = "UNICODE") -> DataFrame:
+    """rows(d, h) with place, from 1 within a day: newest day first, headlines as a reader of the locale expects them; equal ones by code point."""
+    by = Window.partitionBy("d").orderBy(F.collate("h", collation), F.collate("h", "UTF8_BINARY"))
+    return rows.withColumn("place", F.row_number().over(by))
+
+
 def week_index(rows: DataFrame, date: str = "d") -> DataFrame:
     """week and its place among the weeks that occur, from 0. Weeks are few; only they are ordered."""
     weeks = rows.select(week_start(F.col(date)).alias("week")).filter("week is not null").distinct()
