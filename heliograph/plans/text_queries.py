@@ -9,6 +9,7 @@ from heliograph.functions.text import canonical, letter_runs, slug, without, wor
 from heliograph.operators import html, layout, report, terms, themes
 from heliograph.plans.registry import query
 from heliograph.plans.tables import ARTICLES, articles, table
+from heliograph.scratch import settle
 from heliograph.vocab import PROSE
 
 _N = len(PROSE.themes)
@@ -143,15 +144,18 @@ def tfidf_vocabulary(spark, sf_dir):
     return terms.vocabulary_of(counts, n)
 
 
+def _weights(spark, sf_dir):
+    rows = articles(spark, sf_dir)
+    return terms.weights_of(rows, PROSE.stop, rows.count(), text="body")
+
+
 _W = f"""{_TF}, raw AS (SELECT ord, term, (1 + ln(tf)) * (ln(CAST(1 + (SELECT n FROM n) AS DOUBLE) / (1 + df)) + 1) AS raw FROM tf JOIN voc USING (term)),
 norm AS (SELECT ord, sqrt(sum(raw * raw)) AS norm FROM raw GROUP BY ord), wt AS (SELECT ord, term, raw / norm AS w FROM raw JOIN norm USING (ord))"""
 
 
 @query(f"WITH {_W} SELECT ord, term, floor(w * 1000000 + 0.5) / 1000000 AS w FROM wt")
 def tfidf_weights(spark, sf_dir):
-    _, counts, n = _counts(spark, sf_dir)
-    counts = counts.persist()
-    return terms.tfidf(counts, terms.vocabulary_of(counts, n), n).withColumn("w", sixths(F.col("w")))
+    return _weights(spark, sf_dir).withColumn("w", sixths(F.col("w")))
 
 
 @query(
@@ -161,12 +165,10 @@ SELECT id, row_number() OVER (PARTITION BY id ORDER BY mean_w DESC, term) AS ran
 )
 def theme_top_terms(spark, sf_dir):
     """Ranked by the mean weight to six decimals, so that both engines see the same ties."""
-    rows, counts, n = _counts(spark, sf_dir)
-    counts = counts.persist()
-    w = terms.tfidf(counts, terms.vocabulary_of(counts, n), n)
     from pyspark.sql import Window
 
-    every = themes.theme_terms(themes.assign(rows, PROSE), w, k=None).withColumn("mean_w", sixths(F.col("mean_w")))
+    member = settle(themes.assign(articles(spark, sf_dir), PROSE).select("ord", "themes"), "themes")
+    every = themes.theme_terms(member, _weights(spark, sf_dir), k=None).withColumn("mean_w", sixths(F.col("mean_w")))
     order = Window.partitionBy("id").orderBy(F.desc("mean_w"), "term")
     return every.withColumn("rank", F.row_number().over(order).cast("bigint")).filter("rank <= 5").select("id", "rank", "term", "mean_w")
 
@@ -236,16 +238,16 @@ def body_extract(spark, sf_dir):
 def lsa_layout(spark, sf_dir):
     """Headlines on the first two latent dimensions; one without a term of the vocabulary lies at 0, 0."""
     rows = articles(spark, sf_dir).select("ord", F.col("headline").alias("text"))
-    counts, n = terms.term_counts(rows, PROSE.stop).persist(), rows.count()
-    w = terms.tfidf(counts, terms.vocabulary_of(counts, n), n)
+    n = rows.count()
+    w = terms.weights_of(rows, PROSE.stop, n)
     return rows.select("ord").join(layout.plane(layout.lsa(w, n)), "ord", "left").fillna(0.0, ["x", "y"])
 
 
 @query(
     f"""WITH {_HITS}, {_POSTINGS.replace(ARTICLES + ', ', '', 1)}, t AS (SELECT id, {_LABELS} AS label, count(*) AS n FROM membership GROUP BY id),
 k AS (SELECT term, count(*) AS n FROM post GROUP BY term ORDER BY n DESC, term LIMIT 16)
-SELECT '{{"generated":"2024-02-09 10:00 Amsterdam","generatedFull":"2024-02-09 10:00:00 CET","themes":[' || (SELECT string_agg('{{"id":' || id || ',"label":' || to_json(label) || ',"count":' || n || '}}', ',' ORDER BY id) FROM t) ||
-'],"keywords":[' || (SELECT string_agg('{{"term":"' || term || '","n":' || n || '}}', ',' ORDER BY term) FROM k) ||
+SELECT '{{"generated":"2024-02-09 10:00 Amsterdam","generatedFull":"2024-02-09 10:00:00 CET","themes":[' || (SELECT string_agg('{{"id":' || id || ',"label":' || to_json(label) || ',"count":' || n || '}}', ',' ORDER BY n DESC, id) FROM t) ||
+'],"keywords":[' || (SELECT string_agg('{{"term":"' || term || '","n":' || n || '}}', ',' ORDER BY n DESC, term) FROM k) ||
 '],"head":[{{"articles":' || count(*) || ',"sources":' || count(DISTINCT source) || ',"themes":' || count(DISTINCT theme) || ',"updated":"2024-02-09"}}]}}' AS json FROM assigned JOIN art USING (ord)"""
 )
 def report_payload(spark, sf_dir):
