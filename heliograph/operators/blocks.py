@@ -47,20 +47,29 @@ def _placed(batches: Iterator[pd.DataFrame], pivots) -> Iterator[pd.DataFrame]:
 
 
 class Blocks:
-    """Rows ``(id, v, g, tau)`` in blocks: ``rows`` with part, r and block, and ``table`` with block, part, n, and the ring's lo and hi."""
+    """Rows ``(id, v, g, tau)`` in blocks: ``rows`` with part, r and block, and ``table`` with block, part, n, and the ring's lo and hi.
 
-    def __init__(self, rows: DataFrame, pivots, size: int = BLOCK):
+    Without ``rings``, as for few queries, a part is cut by hash alone.
+    """
+
+    def __init__(self, rows: DataFrame, pivots, size: int = BLOCK, rings: bool = True):
         placed = settle(rows.mapInPandas(partial(_placed, pivots=pivots), _ROW), "placed")
-        widest = placed.groupBy("part").agg(F.max("r").alias("most"))
-        ring = F.when(F.col("most") > 0, F.least(F.floor(F.col("r") / F.col("most") * RINGS), F.lit(RINGS - 1))).otherwise(F.lit(0)).cast("int").alias("ring")
         # A row for each part at most, and later one for each ring of a part: bounded by PIVOTS and RINGS.
-        ringed = placed.join(F.broadcast(widest), "part").withColumn("ring", ring).drop("most")
-        sizes = ringed.groupBy("part", "ring").agg(F.count("*").alias("n"))
-        before = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("ring").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        cuts = sizes.select("part", "ring", F.floor(before / size).alias("slot"), F.ceil(F.col("n") / size).alias("shares"))
+        widest = placed.groupBy("part").agg(F.max("r").alias("most"), F.count("*").alias("n"))
+        if rings:
+            ring = F.when(F.col("most") > 0, F.least(F.floor(F.col("r") / F.col("most") * RINGS), F.lit(RINGS - 1))).otherwise(F.lit(0)).cast("int").alias("ring")
+            ringed = placed.join(F.broadcast(widest.drop("n")), "part").withColumn("ring", ring).drop("most")
+            sizes = ringed.groupBy("part", "ring").agg(F.count("*").alias("n"))
+            before = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("ring").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+            cuts = sizes.select("part", "ring", F.floor(before / size).alias("slot"), F.ceil(F.col("n") / size).alias("shares"))
+        else:
+            ringed = placed.withColumn("ring", F.lit(0))
+            cuts = widest.select("part", F.lit(0).alias("ring"), F.lit(0).alias("slot"), F.ceil(F.col("n") / size).alias("shares"))
         block = F.xxhash64("part", "slot", F.pmod(F.xxhash64("id"), "shares")).alias("block")
         self.rows = settle(ringed.join(F.broadcast(cuts), ["part", "ring"]).select("id", "v", "g", "tau", "part", "r", block), "blocks")
-        self.table = settle(self.rows.groupBy("block", "part").agg(F.count("*").alias("n"), F.min("r").alias("lo"), F.max("r").alias("hi")), "table")
+        self.table = self.rows.groupBy("block", "part").agg(F.count("*").alias("n"), F.min("r").alias("lo"), F.max("r").alias("hi"))
+        if rings:
+            self.table = settle(self.table, "table")
         discard(placed)
 
 
@@ -120,9 +129,9 @@ def _reaches(batches: Iterator[pd.DataFrame], pivots) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"x": block[x], "part": part.astype(np.int32), "low": low.ravel(), "high": high.ravel()})
 
 
-def pivots_of(rows: DataFrame, most: int = PIVOTS, each: int = PER_PIVOT):
+def pivots_of(rows: DataFrame, most: int = PIVOTS, each: int = PER_PIVOT, n: int | None = None):
     """(ids, vectors as a broadcast) of up to ``most`` of ``rows(id, v)``, those of least hash, one for so many rows."""
-    n = rows.count()
+    n = rows.count() if n is None else n
     few = rows.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(max(1, min(most, n // each))).collect()
     v = np.array([r.v for r in few], np.float64) if few else np.zeros((0, 0))
     return [r.id for r in few], rows.sparkSession.sparkContext.broadcast(v)
@@ -134,19 +143,28 @@ def pairs_within(asked: DataFrame, held: Blocks, pivots) -> DataFrame:
     return reach.join(held.table, "part").filter((F.col("hi") >= F.col("low")) & (F.col("lo") <= F.col("high"))).select("x", F.col("block").alias("y"))
 
 
-def nearest(queries: DataFrame, rows: DataFrame, k: int, size: int = BLOCK, each: int = PER_PIVOT, counts: dict | None = None) -> DataFrame:
+def nearest(queries: DataFrame, rows: DataFrame, k: int, size: int = BLOCK, each: int = PER_PIVOT, counts: dict | None = None, n: int | None = None) -> DataFrame:
     """id, other, d and dot: for each of ``queries(id, v, g, tau)`` the k nearest of ``rows(id, v, g, tau)`` by Euclidean distance, with all ties.
 
     Rows of the query's own group g are left out, and so are rows farther
     than its tau, infinite if nothing is known. Vectors have one length and
     no nulls. ``counts`` gets the pairs of rows that were compared and that
-    there are.
+    there are; ``n`` is the number of rows, if it is known.
     """
-    ids, pivots = pivots_of(rows, each=each)
-    if not ids:
+    n = rows.count() if n is None else n
+    if n == 0:
         return rows.sparkSession.createDataFrame([], _FOUND)
+    if n <= min(size, each):  # one block holds all rows, and nothing can be left out
+        asked = rows if queries is rows else queries
+        m = asked.count()
+        asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-m // size)))))
+        if counts is not None:
+            counts["compared"] = counts["pairs"] = m * n
+        one = rows.withColumn("block", F.lit(0).cast("bigint"))
+        return compared(asked, one, asked.select(F.col("block").alias("x")).distinct().withColumn("y", F.lit(0).cast("bigint")), k)
+    ids, pivots = pivots_of(rows, each=each, n=n)
     held = Blocks(rows, pivots, size)
-    asked = held if queries is rows else Blocks(queries, pivots, size)
+    asked = held if queries is rows else Blocks(queries, pivots, size, rings=False)
     # The block of the same part whose ring is nearest to that of the queries.
     x, y = asked.table.alias("x"), held.table.alias("y")
     gap = F.greatest(F.col("y.lo") - F.col("x.hi"), F.col("x.lo") - F.col("y.hi"), F.lit(0.0))
@@ -156,7 +174,6 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int, size: int = BLOCK, each
     near = settle(compared(asked.rows, held.rows, first, k), "near")
     bound = near.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("d")), 1, k).alias("d")).filter(F.size("d") == k).select("id", F.element_at("d", -1).alias("found"))
     bounded = asked.rows.join(bound, "id", "left").withColumn("tau", F.least("tau", F.coalesce("found", F.lit(float("inf"))))).drop("found")
-    bounded = settle(bounded, "bounded")
     pairs = settle(pairs_within(bounded, held, pivots).join(first, ["x", "y"], "left_anti"), "pairs")
     if counts is not None:
         n_x, n_y = asked.table.select(F.col("block").alias("x"), F.col("n").alias("n_x")), held.table.select(F.col("block").alias("y"), F.col("n").alias("n_y"))

@@ -27,13 +27,13 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int =
     """
     made = lambda df: df.filter("v is not null").select(F.col("id").cast("bigint").alias("id"), doubles(F.col("v")).alias("v"))
     rows, square = made(vectors), dot(F.col("v"), F.col("v"))
-    most = rows.agg(F.max(square).alias("hi"), F.min(square).alias("lo")).first()
+    most = rows.agg(F.max(square).alias("hi"), F.min(square).alias("lo"), F.count("*").alias("n")).first()
     level = most.hi is None or most.lo >= most.hi * (1 - 1e-12)
     inf = F.lit(float("inf")).alias("tau")
     more = lambda df, last: df if level else df.withColumn("v", F.concat("v", F.array(last)))
     full = more(rows, F.sqrt(F.greatest(F.lit(most.hi) - square, F.lit(0.0)))).select("id", "v", F.col("id").alias("g"), inf)
     asked = full if level and queries is vectors else more(made(queries).dropDuplicates(["id"]), F.lit(0.0)).select("id", "v", F.col("id").alias("g"), inf)
-    found = blocks.nearest(asked, full, k, block, each, counts)
+    found = blocks.nearest(asked, full, k, block, each, counts, most.n)
     order = Window.partitionBy("id").orderBy(F.desc(F.round("dot", 12)), "other")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("id", "rank", "other", F.col("dot").alias("sim"))
 
