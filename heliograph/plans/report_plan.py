@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliograph.operators import clusters as density
-from heliograph.operators import layout, report, revisions, shares, similarity, terms, themes
+from heliograph.operators import layout, metrics, report, revisions, shares, similarity, terms, themes
 from heliograph.scratch import settle
 from heliograph.vocab import LABEL_STOP, Vocabulary, english_stop_words
 
@@ -22,10 +24,9 @@ def topic_report(articles: DataFrame, bodies: DataFrame, vocabulary: Vocabulary)
     topical = themes.on_topic(F.col("headline"), vocabulary)
     share = shares.topic_shares(sources, articles, topical)
     matched = articles.filter(topical).join(bodies, "url", "left").withColumn("body", F.coalesce("body", F.lit("")))
-    matched = themes.assign(matched, vocabulary).withColumn("text", report.corpus_text()).persist()
+    matched = settle(themes.assign(matched, vocabulary).withColumn("text", report.corpus_text()), "matched")
     n = matched.count()
-    counts = terms.term_counts(matched, stop).persist()
-    weights = terms.tfidf(counts, terms.vocabulary_of(counts, n), n)
+    weights = settle(terms.weights_of(matched, stop, n), "weights")
     placed = matched.join(layout.tsne_plane(layout.lsa(weights, n)), "ord", "left").fillna(0.0, ["x", "y"])
     postings = terms.keyword_postings(matched, Vocabulary(vocabulary.stems, vocabulary.words, vocabulary.themes, stop=tuple(stop), more_stop=vocabulary.more_stop, variants=vocabulary.variants))
     return {
@@ -41,6 +42,26 @@ def topic_report(articles: DataFrame, bodies: DataFrame, vocabulary: Vocabulary)
     }
 
 
+def run_report(articles: DataFrame, bodies: DataFrame, vocabulary: Vocabulary, folder: str, generated: str, full: str | None = None, log: Callable[[str], None] = print) -> dict[str, dict[str, int]]:
+    """Writes topic_report() to a folder as tagged rows, payload and pages, and returns and logs the counters of the run.
+
+    Counters are gathered by the plans that write; no table is read for them.
+    """
+    seen, of_articles = metrics.counted(articles, topical=themes.on_topic(F.col("headline"), vocabulary), untitled=F.col("headline").isNull())
+    had, of_bodies = metrics.counted(bodies, empty=F.coalesce(F.trim("body"), F.lit("")) == "")
+    tables = topic_report(seen, had, vocabulary)
+    tagged, of_tagged = metrics.counted(tables["tagged"])
+    tagged.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/tagged")
+    named = [k for k in ("shares", "coverage", "themes", "points", "keywords", "edits", "homes", "colours") if k in tables]
+    kept = {k: metrics.counted(tables[k]) for k in named}
+    one = settle(report.payload(generated, full, **{k: t for k, (t, _) in kept.items()}), "payload")
+    report.write_report(one, folder)
+    found = {"filter": of_articles.get, "fetch": of_bodies.get, "tagged": of_tagged.get} | {k: o.get for k, (_, o) in kept.items()}
+    for name, counts in found.items():
+        log(f"[{name}] " + ", ".join(f"{n} {k}" for k, n in counts.items()))
+    return found
+
+
 def _colours(spark: SparkSession, k: int) -> DataFrame:
     """id, color and colorDark of k themes."""
     light, dark = similarity.palette(k)
@@ -58,7 +79,7 @@ def semantic_view(articles: DataFrame, vectors: DataFrame, up: list[float], down
     iso = similarity.isolation(near)
     low = layout.neighbour_layout(vectors, 5, 0.0, found=near).withColumnRenamed("z", "v")
     raw = settle(density.density_clusters(low), "clusters")
-    rows = articles.join(raw, "id").persist()
+    rows = articles.join(raw, "id")
     stop = sorted({*english_stop_words(), *vocabulary.stop, *vocabulary.more_stop, *LABEL_STOP})
     ranked = terms.class_terms(rows.select("cluster", F.col("id").alias("ord"), "text"), stop)
     numbered = similarity.renumber(raw)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliograph.operators.archive import append_new
+from heliograph.operators.buckets import BucketedArchive
 
 
 def first_seen(rows: DataFrame, key: str, at: str, *values: str) -> DataFrame:
@@ -26,6 +27,17 @@ def keep_archive(stream: DataFrame, archive_path: str, checkpoint: str, key: str
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def keep_bucketed(stream: DataFrame, archive: BucketedArchive, checkpoint: str, *order: str, then: Callable[[DataFrame], None] | None = None):
+    """The same into a bucketed archive: a batch reads the bitmaps of its buckets, and rows of those buckets alone that may hold its keys."""
+
+    def step(batch: DataFrame, number: int) -> None:
+        fresh = archive.append(batch, *order, run=f"batch-{number:09d}")
+        if then:
+            then(fresh)
+
+    return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def week_of(at: Column) -> Column:
     """The start of the Monday-aligned week that holds a time, as a window start."""
     return F.window(at, "7 days", "7 days", "4 days")["start"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from heliograph.functions import dates
 from heliograph.operators import html, layout, metrics, report, similarity
-from heliograph.plans.report_plan import semantic_view, topic_report
+from heliograph.plans.report_plan import run_report, semantic_view, topic_report
 from heliograph.sources.fetch import fetch_pages, get
 from heliograph.vocab import NEWS
 
@@ -29,6 +29,34 @@ def test_topic_report(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).first().theme_name == "Ukraine"
 
 
+def test_report_run_tells_its_counters(spark, tmp_path):
+    heads = ["Drone over the border", "Weather is fine", "NATO troops arrive", "Drone drill with NATO troops", None]
+    articles = spark.createDataFrame([(i, NEWS.sources[i % 3].name, f"u{i}", h, f"2026-07-{10 + i}") for i, h in enumerate(heads)], "ord int, source string, url string, headline string, date string")
+    bodies = spark.createDataFrame([("u0", "A drone crossed the border at night near troops."), ("u2", " ")], "url string, body string")
+    lines = []
+    found = run_report(articles, bodies, NEWS, str(tmp_path / "r"), "now", log=lines.append)
+    assert found["filter"] == {"rows": 5, "topical": 3, "untitled": 1} and found["fetch"] == {"rows": 2, "empty": 1}
+    assert found["tagged"] == {"rows": 3} and found["shares"]["rows"] == len(NEWS.sources) and found["points"]["rows"] == 3
+    assert "[filter] 5 rows, 3 topical, 1 untitled" in lines
+    text = spark.read.option("wholetext", True).text(str(tmp_path / "r" / "payload.json")).first().value
+    import json
+
+    data = json.loads(text)
+    counts = [t["count"] for t in data["themes"]]
+    assert counts == sorted(counts, reverse=True) and [s["pct"] for s in data["shares"]] == sorted((s["pct"] for s in data["shares"]), reverse=True)
+    assert [k["n"] for k in data["keywords"]] == sorted((k["n"] for k in data["keywords"]), reverse=True)
+    assert spark.read.text(str(tmp_path / "r" / "content.html")).first().value.startswith("<script")
+    assert report.template_of(spark, str(tmp_path / "r" / "payload.json")) .startswith("{")
+
+
+def test_tone_cells(spark):
+    cells = spark.createDataFrame([(-1.0,), (0.0,), (1.0,), (0.5,), (-7.0,)], "m double")
+    got = [(r.m, r.colour, r.ink) for r in report.tone_cells(cells).collect()]
+    dark_ink, light_ink = "rgba(0,0,0,.62)", "rgba(255,255,255,.82)"
+    assert got == [(-1.0, "#2a78d6", light_ink), (0.0, "#f0efec", dark_ink), (1.0, "#d03b3b", light_ink), (0.5, "#e09594", dark_ink), (-7.0, "#2a78d6", light_ink)]
+    assert report.tone_cells(cells, dark=True).first().colour == "#3987e5"
+
+
 def test_semantic_view(spark):
     rng = np.random.default_rng(0)
     base = np.eye(6)[:2]

@@ -145,3 +145,19 @@ def test_blocks_stay_small(spark):
     made = blocks.Blocks(rows, pivots, 30)
     n = [r.n for r in made.table.collect()]
     assert sum(n) == 700 and max(n) <= 60 and len(pivots.value) == 7
+
+
+def test_built_in_encoder(spark, sf):
+    """The query against the encoder called by hand; stems bring texts together."""
+    from heliograph.operators.encode import PieceEncoder
+    from heliograph.plans.registry import QUERIES
+
+    encoder = PieceEncoder()
+    docs = {str(r.doc_id): r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    known = {str(r.doc_id) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = {r.url: np.array(r.vec) for r in QUERIES["embed_documents"](spark, sf).collect()}
+    assert set(got) == set(docs) - known and got
+    urls = sorted(got)
+    assert np.allclose(np.stack([got[u] for u in urls]), encoder([docs[u] for u in urls]), atol=1e-5)
+    a, b, c = encoder(["soldiers crossing borders", "a soldier crossed the border", "apple pie with cream"])
+    assert a @ b > a @ c + 0.2 and not encoder(["", "..."]).any()
