@@ -557,3 +557,22 @@ def test_labels_and_sources_are_no_inputs(spark, sf):
     assert key(langid.identify(docs, 50)) == key(langid.identify(other, 50))
     turned = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
     assert key(quality.classify(docs, labels)) == key(quality.classify(other, turned))
+
+
+def test_toxicity_query_by_hand(spark, sf):
+    """The columns of the query, each text's chain reckoned category by category from its words."""
+    docs, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
+    chain = toxicity.train(docs, labels)
+    want = {}
+    for r in docs.collect():
+        there = toxicity.features_of(r.text)
+        x, earlier = [float(w in there) for w in chain.words], []
+        for w in chain.weights:
+            z = float(np.dot([*x, *earlier, 1.0], np.asarray(w, float)))
+            earlier.append(1 / (1 + np.exp(-z)))
+        want[r.doc_id] = earlier
+    got = queries.op4_toxicity(spark, sf).collect()
+    assert len(got) == len(want) and len({r.doc_id for r in got}) == len(want)
+    for r in got:
+        p = want[r.doc_id]
+        assert np.allclose([r.p_kind_1, r.p_kind_2, r.p_kind_3, r.score], p, atol=1e-4) and (r.toxic == (p[-1] >= 0.5) or abs(p[-1] - 0.5) < 1e-4)
