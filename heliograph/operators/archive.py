@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from heliograph.scratch import settle
+
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:
     """All rows by column name; a column that a frame lacks is null there."""
@@ -58,8 +60,7 @@ def append_new(archive_path: str, new: DataFrame, key: str, *order: str, run: st
 
 def numbered(rows: DataFrame, *order: str, name: str = "ord") -> DataFrame:
     """rows with their place, from 0, in a declared order. Partitions are numbered in parallel; only their sizes meet."""
-    ranged = rows.repartitionByRange(*[F.col(c) for c in order]).withColumn("__p", F.spark_partition_id())
-    ranged = ranged.persist()
+    ranged = settle(rows.repartitionByRange(*[F.col(c) for c in order]).withColumn("__p", F.spark_partition_id()), "ranged")
     sizes = ranged.groupBy("__p").agg(F.count("*").alias("n"))
     ahead = sizes.select("__p", (F.sum("n").over(Window.orderBy("__p")) - F.col("n")).alias("__ahead"))
     within = F.row_number().over(Window.partitionBy("__p").orderBy(*order)) - 1

@@ -174,10 +174,22 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int, size: int = BLOCK, each
     near = settle(compared(asked.rows, held.rows, first, k), "near")
     bound = near.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("d")), 1, k).alias("d")).filter(F.size("d") == k).select("id", F.element_at("d", -1).alias("found"))
     bounded = asked.rows.join(bound, "id", "left").withColumn("tau", F.least("tau", F.coalesce("found", F.lit(float("inf"))))).drop("found")
-    pairs = settle(pairs_within(bounded, held, pivots).join(first, ["x", "y"], "left_anti"), "pairs")
+    n_x = asked.table.select(F.col("block").alias("x"), F.col("n").alias("n_x"))
+    if asked is held:
+        pairs = settle(pairs_within(bounded, held, pivots).join(first, ["x", "y"], "left_anti"), "pairs")
+        found = near.unionByName(compared(bounded, held.rows, pairs, k))
+    else:
+        # Few queries of many parts go together, so that rows are sent once for as many queries as a block takes. Parts are few.
+        parts = asked.table.groupBy("part").agg(F.sum("n").alias("n"))
+        before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        slots = parts.select("part", F.floor(before / size).alias("slot"), F.ceil(F.col("n") / size).alias("shares"))
+        wide = F.xxhash64("slot", F.pmod(F.xxhash64("id"), "shares"))
+        bounded = settle(bounded.join(F.broadcast(slots), "part").withColumn("block", wide).drop("slot", "shares"), "bounded")
+        n_x = bounded.groupBy(F.col("block").alias("x")).agg(F.count("*").alias("n_x"))
+        pairs = settle(pairs_within(bounded, held, pivots), "pairs")
+        found, first = compared(bounded, held.rows, pairs, k), pairs.limit(0)
     if counts is not None:
-        n_x, n_y = asked.table.select(F.col("block").alias("x"), F.col("n").alias("n_x")), held.table.select(F.col("block").alias("y"), F.col("n").alias("n_y"))
+        n_y = held.table.select(F.col("block").alias("y"), F.col("n").alias("n_y"))
         done = pairs.union(first).join(n_x, "x").join(n_y, "y").agg(F.sum(F.col("n_x") * F.col("n_y")).alias("n")).first().n
         counts["compared"], counts["pairs"] = done or 0, (asked.table.agg(F.sum("n")).first()[0] or 0) * (held.table.agg(F.sum("n")).first()[0] or 0)
-    more = compared(bounded, held.rows, pairs, k)
-    return near.unionByName(more)
+    return found

@@ -91,3 +91,10 @@ def semantic_view(articles: DataFrame, vectors: DataFrame, up: list[float], down
         F.col("id").alias("ord"), "cluster", "c", F.bround("iso", 3).alias("iso"), F.bround("tone", 3).alias("tone"),
     )
     return {"points": points, "clusters": clusters, "heat": similarity.tone_heatmap(points, F.col("cluster") == -1)}
+
+
+def write_view(view: dict[str, DataFrame], folder: str, generated: str, full: str | None = None) -> None:
+    """The semantic view as a page of its own: payload, page and content alone, with the cells of the heat map in colour."""
+    cells = report.tone_cells(view["heat"].filter("c is not null"))
+    one = settle(report.payload(generated, full, points=view["points"], clusters=view["clusters"], heat=cells), "view")
+    report.write_report(one, folder)

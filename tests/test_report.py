@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from heliograph.functions import dates
 from heliograph.operators import html, layout, metrics, report, similarity
-from heliograph.plans.report_plan import run_report, semantic_view, topic_report
+from heliograph.plans.report_plan import run_report, semantic_view, topic_report, write_view
 from heliograph.sources.fetch import fetch_pages, get
 from heliograph.vocab import NEWS
 
@@ -57,7 +57,7 @@ def test_tone_cells(spark):
     assert report.tone_cells(cells, dark=True).first().colour == "#3987e5"
 
 
-def test_semantic_view(spark):
+def test_semantic_view(spark, tmp_path):
     rng = np.random.default_rng(0)
     base = np.eye(6)[:2]
     v = np.concatenate([base[i] + rng.normal(0, 0.02, (20, 6)) for i in range(2)])
@@ -71,6 +71,9 @@ def test_semantic_view(spark):
     labels = {r.label for r in view["clusters"].collect()}
     assert any("tanks" in x or "missiles" in x for x in labels) and any("treaty" in x or "talks" in x for x in labels)
     assert view["heat"].filter("c is null").agg(F.sum("n")).first()[0] == 40
+    write_view(view, str(tmp_path / "v"), "now")
+    page = spark.read.option("wholetext", True).text(str(tmp_path / "v" / "page.html")).first().value
+    assert page.startswith("<!DOCTYPE") and '"clusters":[{"id":0' in page and '"colour":"#' in page
 
 
 def test_fetch(spark):
