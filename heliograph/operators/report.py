@@ -129,7 +129,7 @@ CONTENT = """<script id="data" type="application/json">__PAYLOAD__</script>"""
 
 def template_of(spark: SparkSession, path: str) -> str:
     """A template kept as a text file in any store that Spark reads."""
-    return spark.read.option("wholetext", True).text(path).first()[0]
+    return spark.read.text(path, wholetext=True).first()[0]
 
 
 def write_report(payload_row: DataFrame, folder: str, template: str = TEMPLATE, content: str = CONTENT) -> None:

@@ -38,7 +38,7 @@ def test_report_run_tells_its_counters(spark, tmp_path):
     assert found["filter"] == {"rows": 5, "topical": 3, "untitled": 1} and found["fetch"] == {"rows": 2, "empty": 1}
     assert found["tagged"] == {"rows": 3} and found["shares"]["rows"] == len(NEWS.sources) and found["points"]["rows"] == 3
     assert "[filter] 5 rows, 3 topical, 1 untitled" in lines
-    text = spark.read.option("wholetext", True).text(str(tmp_path / "r" / "payload.json")).first().value
+    text = spark.read.text(str(tmp_path / "r" / "payload.json"), wholetext=True).first().value
     import json
 
     data = json.loads(text)
@@ -46,7 +46,8 @@ def test_report_run_tells_its_counters(spark, tmp_path):
     assert counts == sorted(counts, reverse=True) and [s["pct"] for s in data["shares"]] == sorted((s["pct"] for s in data["shares"]), reverse=True)
     assert [k["n"] for k in data["keywords"]] == sorted((k["n"] for k in data["keywords"]), reverse=True)
     assert spark.read.text(str(tmp_path / "r" / "content.html")).first().value.startswith("<script")
-    assert report.template_of(spark, str(tmp_path / "r" / "payload.json")) .startswith("{")
+    (tmp_path / "own.html").write_text("<p>\n__PAYLOAD__</p>\n")
+    assert report.page("{}", report.template_of(spark, str(tmp_path / "own.html"))) == "<p>\n{}</p>\n"
 
 
 def test_tone_cells(spark):
@@ -72,8 +73,10 @@ def test_semantic_view(spark, tmp_path):
     assert any("tanks" in x or "missiles" in x for x in labels) and any("treaty" in x or "talks" in x for x in labels)
     assert view["heat"].filter("c is null").agg(F.sum("n")).first()[0] == 40
     write_view(view, str(tmp_path / "v"), "now")
-    page = spark.read.option("wholetext", True).text(str(tmp_path / "v" / "page.html")).first().value
-    assert page.startswith("<!DOCTYPE") and '"clusters":[{"id":0' in page and '"colour":"#' in page
+    page = spark.read.text(str(tmp_path / "v" / "page.html"), wholetext=True).first().value
+    assert page.startswith("<!DOCTYPE")
+    assert '"colour":"#' in page, page[-600:]
+    assert '"clusters":[{"id":0' in page, page[page.index('clusters') :][:200]
 
 
 def test_fetch(spark):
