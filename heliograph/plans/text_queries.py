@@ -179,11 +179,15 @@ def _by_lang():
     return Window.orderBy("lang")
 
 
-def _lang_classes(spark, sf_dir):
-    """Languages as clusters, numbered by name."""
-    rows = articles(spark, sf_dir)
-    langs = rows.select("lang").distinct().withColumn("cluster", F.dense_rank().over(_by_lang()))
-    return rows.join(langs, "lang").select("cluster", "ord", F.col("body").alias("text"), "lang")
+def _languages(spark, sf_dir):
+    """lang and cluster, its number by name; written down, so that Spark measures it and joins it without dealing texts by language."""
+    langs = articles(spark, sf_dir).select("lang").distinct()
+    return settle(langs.withColumn("cluster", F.dense_rank().over(_by_lang())), "languages")
+
+
+def _lang_classes(spark, sf_dir, langs):
+    """Languages as clusters."""
+    return articles(spark, sf_dir).join(langs, "lang").select("cluster", "ord", F.col("body").alias("text"))
 
 
 _CLASS = f"""{ARTICLES}, w0 AS (SELECT lang, ord, unnest({_WORDS.format('body')}) AS t, generate_subscripts({_WORDS.format('body')}, 1) AS i FROM art),
@@ -198,18 +202,17 @@ def ctfidf_terms(spark, sf_dir):
     """Top terms of each language as a class; scores in whole hundred-millionths."""
     from pyspark.sql import Window
 
-    rows = _lang_classes(spark, sf_dir)
-    found = terms.class_terms(rows, PROSE.stop, k=None).withColumn("score", F.floor(F.col("score") * 100000000 + 0.5))
+    langs = _languages(spark, sf_dir)
+    found = terms.class_terms(_lang_classes(spark, sf_dir, langs), PROSE.stop, k=None).withColumn("score", F.floor(F.col("score") * 100000000 + 0.5))
     order = Window.partitionBy("cluster").orderBy(F.desc("score"), "term")
     top = found.withColumn("rank", F.row_number().over(order).cast("bigint")).filter("rank <= 20")
-    names = rows.select("cluster", "lang").distinct()
-    return top.join(names, "cluster").select("lang", "rank", "term", "score")
+    return top.join(langs, "cluster").select("lang", "rank", "term", "score")
 
 
 @query()
 def cluster_labels(spark, sf_dir):
     """Theme and facet of each language."""
-    found = terms.cluster_labels(terms.class_terms(_lang_classes(spark, sf_dir), PROSE.stop))
+    found = terms.cluster_labels(terms.class_terms(_lang_classes(spark, sf_dir, _languages(spark, sf_dir)), PROSE.stop))
     return found.select("cluster", F.array_join("words", " · ").alias("label"))
 
 
