@@ -1,7 +1,11 @@
 """How the work of a query is dealt out, and how much of it there is."""
 
 import re
+import zlib
 
+import numpy as np
+
+from heliograph.operators import encode
 from heliograph.plans.registry import QUERIES
 
 
@@ -18,3 +22,22 @@ def test_no_language_is_one_task(spark, sf):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
     assert set(re.findall(r"(\w+Join) \[(?:cluster|lang)#\d+\], \[", top)) == {"BroadcastHashJoin"}
+
+
+def test_encoder_cuts_a_text_at_once(monkeypatch):
+    """Pieces are not hashed one by one, only whole words; vectors are those of a plain sum over pieces."""
+    from collections import Counter
+
+    calls = []
+    monkeypatch.setattr(encode, "crc32", lambda b: calls.append(b) or zlib.crc32(b))
+    texts = ["a", "", "Tank tanks the tank", "straße ÄÖ İstanbul the", "x" * 300 + " the a a", "tanks", "漢字仮名交 𝒳𝒴𝒵𝒳𝒴𝒵"]
+    encoder = encode.PieceEncoder()
+    got = encoder(texts)
+    assert len(calls) == sum(len(set(re.findall(r"[^\W_]+", t.lower()))) for t in texts)
+    assert (encoder(texts[::-1])[::-1] == got).all()
+    for text, v in zip(texts, got):
+        found = Counter()
+        for w in re.findall(r"[^\W_]+", text.lower()):
+            found.update([f"<{w}>"] + [f"<{w}>"[i : i + k] for k in (3, 4, 5) if len(w) + 2 > k for i in range(len(w) + 3 - k)])
+        plain = sum((np.sqrt(c) * encoder.projection[zlib.crc32(p.encode()) % encoder.buckets].astype(float) for p, c in found.items()), np.zeros(64))
+        assert np.allclose(plain / (np.linalg.norm(plain) or 1.0), v, atol=1e-6)
