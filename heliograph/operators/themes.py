@@ -48,6 +48,17 @@ def assign(rows: DataFrame, vocabulary: Vocabulary, headline: str = "headline",
     return found.withColumn("themes", F.when(F.size(members) > 0, members).otherwise(F.array("theme"))).drop(*hits)
 
 
+def members(rows: DataFrame, vocabulary: Vocabulary, headline: str = "headline", body: str = "body") -> DataFrame:
+    """rows with themes as assign() finds them, without the primary: a headline is matched no further than a theme's first hit, a body only where the headline hits none."""
+    patterns = [F.lit(unicode_case(t.pattern)) for t in vocabulary.themes]
+    text, n = F.coalesce(F.col(body), F.lit("")), len(patterns)
+    found = rows.withColumn("__m", F.array_compact(F.array(*[F.when(F.coalesce(F.col(headline), F.lit("")).rlike(unicode_case(t.pattern)), F.lit(i)) for i, t in enumerate(vocabulary.themes)])))
+    hits = F.array(*[F.struct(F.regexp_count(text, p).alias("b"), F.lit(t.rank).alias("r"), F.lit(-i).alias("o")) for i, (p, t) in enumerate(zip(patterns, vocabulary.themes))])
+    best = F.array_max(hits)
+    fallback = F.transform(F.array(best), lambda x: F.when(x["b"] > 0, -x["o"]).otherwise(F.lit(n)))
+    return found.withColumn("themes", F.when(F.size("__m") > 0, F.col("__m")).otherwise(fallback)).drop("__m")
+
+
 # Before an inner explode, Spark filters for arrays that have elements, and so computes them twice; explode_outer doesn't, and themes are never empty.
 
 
@@ -59,10 +70,14 @@ def theme_counts(assigned: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def theme_terms(assigned: DataFrame, weights: DataFrame, key: str = "ord", k: int | None = 5) -> DataFrame:
-    """id, rank, term and mean weight of each theme's top terms (all with None). ``weights(key, term, w)`` is sparse: an absent weight counts as 0."""
+    """id, rank, term and mean weight of each theme's top terms (all with None). ``weights(key, term, w)`` is sparse: an absent weight counts as 0.
+
+    Weights that have their row's themes too need no join with the rows.
+    """
     member = assigned.select(key, F.explode_outer("themes").alias("id"))
     sizes = member.groupBy("id").agg(F.count("*").alias("n"))
-    summed = member.join(weights, key).groupBy("id", "term").agg(F.sum("w").alias("s")).join(sizes, "id")
+    each = weights.select(F.explode_outer("themes").alias("id"), "term", "w") if "themes" in weights.columns else member.join(weights, key)
+    summed = each.groupBy("id", "term").agg(F.sum("w").alias("s")).join(sizes, "id")
     order = Window.partitionBy("id").orderBy(F.desc("mean_w"), "term")
     ranked = summed.withColumn("mean_w", F.col("s") / F.col("n")).withColumn("rank", F.row_number().over(order)).select("id", "rank", "term", "mean_w")
     return ranked if k is None else ranked.filter(F.col("rank") <= k)

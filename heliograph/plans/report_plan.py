@@ -26,7 +26,7 @@ def topic_report(articles: DataFrame, bodies: DataFrame, vocabulary: Vocabulary)
     matched = articles.filter(topical).join(bodies, "url", "left").withColumn("body", F.coalesce("body", F.lit("")))
     matched = settle(themes.assign(matched, vocabulary).withColumn("text", report.corpus_text()), "matched")
     n = matched.count()
-    weights = settle(terms.weights_of(matched, stop, n), "weights")
+    weights = settle(terms.weights_of(settle(terms.words_of(matched, stop), "words"), n), "weights")
     placed = matched.join(layout.tsne_plane(layout.lsa(weights, n)), "ord", "left").fillna(0.0, ["x", "y"])
     postings = terms.keyword_postings(matched, Vocabulary(vocabulary.stems, vocabulary.words, vocabulary.themes, stop=tuple(stop), more_stop=vocabulary.more_stop, variants=vocabulary.variants))
     return {

@@ -133,20 +133,16 @@ tf AS (SELECT ord, term, count(*) AS tf FROM g GROUP BY ord, term), n AS (SELECT
 voc AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM tf GROUP BY term HAVING count(*) >= 2 AND count(*) <= 0.6 * (SELECT n FROM n) ORDER BY cf DESC, term LIMIT 5000)"""
 
 
-def _counts(spark, sf_dir):
-    rows = articles(spark, sf_dir)
-    return rows, terms.term_counts(rows.select("ord", F.col("body").alias("text")), PROSE.stop), rows.count()
-
-
 @query(f"WITH {_TF} SELECT term, df, cf FROM voc")
 def tfidf_vocabulary(spark, sf_dir):
-    _, counts, n = _counts(spark, sf_dir)
-    return terms.vocabulary_of(counts, n)
+    rows = articles(spark, sf_dir)
+    return terms.vocabulary_of_texts(rows, PROSE.stop, rows.count(), text="body")
 
 
-def _weights(spark, sf_dir):
-    rows = articles(spark, sf_dir)
-    return terms.weights_of(rows, PROSE.stop, rows.count(), text="body")
+def _weights(rows, text="body", keep=()):
+    """The rows' words, written down, and their weights."""
+    words = settle(terms.words_of(rows, PROSE.stop, text=text, keep=keep), "words")
+    return words, terms.weights_of(words, words.count())
 
 
 _W = f"""{_TF}, raw AS (SELECT ord, term, (1 + ln(tf)) * (ln(CAST(1 + (SELECT n FROM n) AS DOUBLE) / (1 + df)) + 1) AS raw FROM tf JOIN voc USING (term)),
@@ -155,7 +151,7 @@ norm AS (SELECT ord, sqrt(sum(raw * raw)) AS norm FROM raw GROUP BY ord), wt AS
 
 @query(f"WITH {_W} SELECT ord, term, floor(w * 1000000 + 0.5) / 1000000 AS w FROM wt")
 def tfidf_weights(spark, sf_dir):
-    return _weights(spark, sf_dir).withColumn("w", sixths(F.col("w")))
+    return _weights(articles(spark, sf_dir))[1].withColumn("w", sixths(F.col("w")))
 
 
 @query(
@@ -167,8 +163,8 @@ def theme_top_terms(spark, sf_dir):
     """Ranked by the mean weight to six decimals, so that both engines see the same ties."""
     from pyspark.sql import Window
 
-    member = settle(themes.assign(articles(spark, sf_dir), PROSE).select("ord", "themes"), "themes")
-    every = themes.theme_terms(member, _weights(spark, sf_dir), k=None).withColumn("mean_w", sixths(F.col("mean_w")))
+    words, weights = _weights(themes.members(articles(spark, sf_dir), PROSE), keep=("themes",))
+    every = themes.theme_terms(words, weights, k=None).withColumn("mean_w", sixths(F.col("mean_w")))
     order = Window.partitionBy("id").orderBy(F.desc("mean_w"), "term")
     return every.withColumn("rank", F.row_number().over(order).cast("bigint")).filter("rank <= 5").select("id", "rank", "term", "mean_w")
 
@@ -240,10 +236,8 @@ def body_extract(spark, sf_dir):
 @query()
 def lsa_layout(spark, sf_dir):
     """Headlines on the first two latent dimensions; one without a term of the vocabulary lies at 0, 0."""
-    rows = articles(spark, sf_dir).select("ord", F.col("headline").alias("text"))
-    n = rows.count()
-    w = terms.weights_of(rows, PROSE.stop, n)
-    return rows.select("ord").join(layout.plane(layout.lsa(w, n)), "ord", "left").fillna(0.0, ["x", "y"])
+    words, w = _weights(articles(spark, sf_dir), "headline")
+    return words.select("ord").join(layout.plane(layout.lsa(w, words.count())), "ord", "left").fillna(0.0, ["x", "y"])
 
 
 @query(

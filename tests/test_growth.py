@@ -5,8 +5,9 @@ import zlib
 
 import numpy as np
 
-from heliograph.operators import encode, terms
+from heliograph.operators import encode, terms, weights
 from heliograph.plans.registry import QUERIES
+from heliograph.scratch import settle
 
 
 def plan(df) -> str:
@@ -61,3 +62,51 @@ def test_terms_of_classes_are_dealt_once(spark):
         assert not re.findall(r"Join \[term", plan(terms.class_terms(rows, [], k=None)))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+
+
+def test_texts_are_matched_once(spark, sf):
+    """Words and themes of theme_top_terms are written down together; weights neither match texts again nor are joined with rows."""
+    top = plan(QUERIES["theme_top_terms"](spark, sf))
+    assert "regexp_extract_all" not in top and not re.findall(r"Join \[ord", top)
+
+
+def test_vocabulary_and_weights_by_number(spark):
+    """Against counts of all terms: ties at the end of the vocabulary, words too frequent for it, few words, null and empty texts."""
+    rng = np.random.default_rng(2)
+    names = [f"{a}{b}" for a in "abcdef" for b in "uvwxyz"]
+    texts = [" ".join(["au", *rng.choice(names, rng.integers(0, 14), p=np.arange(36, 0, -1) / 666)]) for _ in range(90)] + ["", None, "  ", "only only", "Zz\nzz 9 zz"]
+    rows = spark.createDataFrame(list(enumerate(texts)) + [(None, "au bv bv")], "ord long, text string")
+    n = rows.count()
+    words = terms.words_of(rows, ["fz"])
+    counts = settle(terms.term_counts(rows, ["fz"]), "counts")
+    for bounds in ({"most": 1}, {"most": 7}, {"most": 40}, {"most": 300}, {}, {"most": None}, {"most": 60, "min_df": 1, "max_share": 1.0}, {"min_df": 80}):
+        want = terms.vocabulary_of(counts, n, **bounds)
+        assert sorted(terms.vocabulary_of_words(words, n, **bounds).collect()) == sorted(want.collect())
+        wanted = {(r.ord, r.term): r.w for r in terms.tfidf(counts.join(want.select("term"), "term", "left_semi"), want, n).collect()}
+        got = {(r.ord, r.term): r.w for r in terms.weights_of(words, n, **bounds).collect()}
+        assert got.keys() == wanted.keys() and np.allclose([got[k] for k in wanted], list(wanted.values()), atol=1e-12)
+    twice = rows.unionByName(rows.limit(30))
+    want = terms.vocabulary_of(terms.term_counts(twice, []), n, most=40)
+    assert sorted(terms.vocabulary_of_texts(twice, [], n, most=40).collect()) == sorted(want.collect())
+
+
+def test_pieces_of_batches(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(weights, "PIECE", 3)
+    rows = [["a", "b"], [], ["b"], ["c", "a", "a", "d"], None, ["d"], []]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], ["t"])
+    got = [(part.num_rows, [(r, words[c].as_py()) for r, c in zip(row.tolist(), code.tolist())]) for part, row, code, words in weights._pieces([batch.slice(0, 0), batch, batch.slice(3, 2)])]
+    assert sum(len(x) for _, x in got) == 12 and len(got) > 3 and all(r < n for n, x in got for r, _ in x)
+    assert [w for _, x in got for _, w in x] == list("abbcaad" "dcaad")
+
+
+def test_members_are_the_themes_assigned(spark, sf):
+    from heliograph.operators import themes
+    from heliograph.plans.tables import articles
+    from heliograph.vocab import NEWS, PROSE
+
+    odd = spark.createDataFrame([(1, None, None), (2, "", "ung the the tion"), (3, "Schön THE", "tion"), (4, "x", None), (5, None, "tion the"), (6, "x", "kyiv nato İ")], "ord long, headline string, body string")
+    for rows, vocabulary in ((articles(spark, sf), PROSE), (odd, PROSE), (odd, NEWS)):
+        want = {r.ord: r.themes for r in themes.assign(rows, vocabulary).collect()}
+        assert {r.ord: r.themes for r in themes.members(rows, vocabulary).collect()} == want
