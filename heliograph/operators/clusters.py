@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heliograph.functions.vectors import doubles
-from heliograph.operators import blocks
+from heliograph.operators import blocks, boxes
 from heliograph.operators.graph import connected
 from heliograph.scratch import discard, settle
 
 #: Neighbours of each row that are known from the start; edges of the tree that one task takes at a time.
 NEAR, EDGES = 10, 1 << 16
+#: Tasks that the pieces of a range of edges are dealt to.
+TASKS = 64
 _INF = float("inf")
 
 
@@ -57,15 +59,19 @@ def spanning_tree(points: DataFrame, near: int = NEAR, size: int = blocks.BLOCK,
     edges are among the ``near`` nearest neighbours, found once. Where a row
     has all of these in its own component, and they are nearer than the
     component's best edge so far, rows of other components are searched
-    within that bound. Ids are distinct and vectors too.
+    within that bound. Ids are distinct and vectors too. In few dimensions
+    rows are searched by boxes, else by pairs of blocks.
     """
     inf = F.lit(_INF).alias("tau")
     rows = points.select(F.col("id").cast("bigint").alias("id"), doubles(F.col("v")).alias("v"))
     rows = settle(rows.select("id", "v", F.col("id").alias("g"), inf), "points")
     spark = rows.sparkSession
-    listed = settle(blocks.nearest(rows, rows, near, size, each).groupBy("id", "other").agg(F.min("d").alias("d")), "listed")
     ids, pivots = blocks.pivots_of(rows, each=each)
-    held = blocks.Blocks(rows, pivots, size) if ids else None
+    first = rows.select(F.size("v").alias("n")).first()
+    boxed = first is not None and first.n <= boxes.DIMENSIONS
+    held = (boxes.Boxes(rows, min(size, boxes.LEAF)) if boxed else blocks.Blocks(rows, pivots, size)) if ids else None
+    close = held.nearest(near) if boxed else blocks.nearest(rows, rows, near, size, each)
+    listed = settle(close.groupBy("id", "other").agg(F.min("d").alias("d")), "listed")
     comp = settle(rows.select("id", "g"), "comp")
     tree = []
     while True:
@@ -87,15 +93,17 @@ def spanning_tree(points: DataFrame, near: int = NEAR, size: int = blocks.BLOCK,
         asked = inside.join(by_row.select("id", "best", "reach"), "id", "left").filter("best is null").join(bound, "g").filter(F.coalesce("reach", F.lit(-1.0)) < F.col("bound"))
         asked = settle(asked.select("id", "v", "g", F.col("bound").alias("tau"), "block"), "asked")
         found = best.filter(F.col("g") != most.g)
-        pairs = settle(blocks.pairs_within(asked, held, pivots), "pairs")
-        if not pairs.isEmpty():
-            more = blocks.compared(asked, every.select("id", "v", "g", "block"), pairs, 1).join(asked.select("id", "g"), "id").join(comp.select(F.col("id").alias("other"), F.col("g").alias("h")), "other")
+        pairs = None if boxed else settle(blocks.pairs_within(asked, held, pivots), "pairs")
+        if not (asked if boxed else pairs).isEmpty():
+            there = every.select("id", "v", "g", "block")
+            more = held.within(asked, there) if boxed else blocks.compared(asked, there, pairs, 1)
+            more = more.join(asked.select("id", "g"), "id").join(comp.select(F.col("id").alias("other"), F.col("g").alias("h")), "other")
             found = found.unionByName(more.groupBy("g").agg(F.min(edge).alias("best")))
         chosen = settle(found.groupBy("g").agg(F.min("best").alias("e")).select("g", "e.*"), "chosen")
         tree.append(chosen.select("a", "b", "d").distinct())
         roots = roots_of(chosen.select("g", "h"))
         old, comp = comp, settle(comp.join(roots, "g", "left").select("id", F.coalesce("root", "g").alias("g")), "comp")
-        discard(old, by_row, asked, pairs, roots)
+        discard(old, by_row, asked, roots, *([] if boxed else [pairs]))
     discard(comp, listed, rows)
     return reduce(DataFrame.unionByName, tree) if tree else spark.createDataFrame([], "a long, b long, d double")
 
@@ -146,7 +154,8 @@ def leaves(tree: DataFrame, points: DataFrame, least: int, at_once: int = EDGES)
     """id and leaf of ``points(id, n)``, of which n rows are at that place: the least id of the leaf cluster, null for noise.
 
     Edges are taken in ranges of length, each of about ``at_once`` of them,
-    and within a range by connected piece, each piece in a task of its own.
+    and within a range by connected piece, whole pieces dealt to TASKS groups:
+    there are nearly as many pieces as edges among the shortest.
     """
     n = tree.count()
     parts = -(-n // at_once)
@@ -164,6 +173,7 @@ def leaves(tree: DataFrame, points: DataFrame, least: int, at_once: int = EDGES)
         part = settle(part.select("a", "b", "d", "x", "y"), "part")
         if cuts:
             roots = connected(part.select(F.col("x").alias("a"), F.col("y").alias("b")))
+            roots = settle(roots.select("node", F.pmod(F.xxhash64("root"), F.lit(TASKS)).alias("root")), "groups")
         else:  # all that a task takes
             roots = state.select("node", F.lit(0).cast("bigint").alias("root"))
         pieces = part.join(roots.select(F.col("node").alias("x"), F.col("root").alias("piece")), "x")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from heliograph.operators import blocks, clusters, graph, layout, similarity
+from heliograph.operators import blocks, boxes, clusters, graph, layout, similarity
 from heliograph.scratch import settle
 from tests import plain
 
@@ -166,3 +166,28 @@ def test_built_in_encoder(spark, sf):
     assert np.allclose(np.stack([got[u] for u in urls]), encoder([docs[u] for u in urls]), atol=1e-5)
     a, b, c = encoder(["soldiers crossing borders", "a soldier crossed the border", "apple pie with cream"])
     assert a @ b > a @ c + 0.2 and not encoder(["", "..."]).any()
+
+
+def test_boxes_find_the_nearest(spark):
+    """Many boxes; rows go to few of them; groups and bounds as told. Pieces of a range of edges are merged together."""
+    rng = np.random.default_rng(12)
+    x = np.concatenate([clouds(rng, 300, 4), rng.normal(0, 5, (100, 4))])
+    n = len(x)
+    d = np.sqrt(np.square(x[:, None] - x[None]).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    held = boxes.Boxes(frame(spark, x), 16)
+    assert len(held.block) >= n // 16 and held.rows.groupBy("block").count().agg(F.max("count")).first()[0] <= 40
+    got = {}
+    for r in held.nearest(3).collect():
+        got.setdefault(r.id, {})[r.other] = r.d
+    for i in range(n):
+        assert sorted(got[i].values())[:3] == pytest.approx(np.sort(d[i])[:3]) and all(d[i, j] == pytest.approx(v) for j, v in got[i].items())
+    group = np.arange(n) // 40
+    there = held.rows.withColumn("g", F.floor(F.col("id") / 40))
+    asked = there.filter("id % 3 = 0").withColumn("tau", F.lit(2.0))
+    best = {}
+    for r in held.within(asked, there).collect():
+        best[r.id] = min(best.get(r.id, np.inf), r.d)
+    for i in range(0, n, 3):
+        want = d[i][group != group[i]].min()
+        assert best.get(i) == (pytest.approx(want) if want <= 2 else None)
