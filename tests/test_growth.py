@@ -110,3 +110,13 @@ def test_members_are_the_themes_assigned(spark, sf):
     for rows, vocabulary in ((articles(spark, sf), PROSE), (odd, PROSE), (odd, NEWS)):
         want = {r.ord: r.themes for r in themes.assign(rows, vocabulary).collect()}
         assert {r.ord: r.themes for r in themes.members(rows, vocabulary).collect()} == want
+
+
+def test_length_is_computed_once_a_vector(spark):
+    from pyspark.sql import functions as F
+
+    from heliograph.functions.vectors import unit
+
+    rows = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 0.0]), (3, None), (4, [])], "id long, v array<float>").select("id", unit(F.col("v")).alias("u"))
+    assert {r.id: r.u for r in rows.collect()} == {1: [0.6, 0.8], 2: [0.0, 0.0], 3: None, 4: []}
+    assert not re.search(r"/ CASE WHEN \(\w*\(*SQRT", plan(rows), re.I)
