@@ -237,7 +237,7 @@ def body_extract(spark, sf_dir):
 def lsa_layout(spark, sf_dir):
     """Headlines on the first two latent dimensions; one without a term of the vocabulary lies at 0, 0."""
     words, w = _weights(articles(spark, sf_dir), "headline")
-    return words.select("ord").join(layout.plane(layout.lsa(w, words.count())), "ord", "left").fillna(0.0, ["x", "y"])
+    return words.select("ord").join(layout.plane(layout.lsa(settle(w, "weights"), words.count())), "ord", "left").fillna(0.0, ["x", "y"])
 
 
 @query(

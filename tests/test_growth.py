@@ -120,3 +120,78 @@ def test_length_is_computed_once_a_vector(spark):
     rows = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 0.0]), (3, None), (4, [])], "id long, v array<float>").select("id", unit(F.col("v")).alias("u"))
     assert {r.id: r.u for r in rows.collect()} == {1: [0.6, 0.8], 2: [0.0, 0.0], 3: None, 4: []}
     assert not re.search(r"/ CASE WHEN \(\w*\(*SQRT", plan(rows), re.I)
+
+
+def test_products_of_lsa_do_not_read_rows(spark, monkeypatch):
+    """While singular vectors are found, the rows of the matrix are out of reach; what is found is that of an SVD."""
+    from pathlib import Path
+
+    from heliograph.operators import layout
+
+    rng = np.random.default_rng(11)
+    n, m = 200, 150
+    x = np.where(rng.random((n, m)) < 0.1, rng.random((n, m)), 0.0)
+    x[:, 7] = 0.3
+    written = {}
+    monkeypatch.setattr(layout, "settle", lambda df, tag: written.setdefault(tag, settle(df, tag)))
+    found = layout.leading
+
+    def apart(product, *args):
+        there = Path(written["matrix"]._settled_at.removeprefix("file://"))
+        aside = there.rename(f"{there}-aside")
+        try:
+            return found(product, *args)
+        finally:
+            aside.rename(there)
+
+    monkeypatch.setattr(layout, "leading", apart)
+    rows = spark.createDataFrame([(int(i), f"t{j:03d}", float(x[i, j])) for i, j in zip(*x.nonzero())], "ord int, term string, w double")
+    got = {r.ord: np.array(r.z) for r in layout.lsa(rows, n, most=5).collect()}
+    v = np.linalg.svd(x)[2][:5]
+    v = v * np.sign(v[np.arange(5), np.abs(v).argmax(axis=1)])[:, None]
+    assert np.allclose(np.stack([got[i] for i in range(n)]), x @ v.T, atol=1e-8)
+
+
+def test_lsa_of_many_terms_multiplies_rows(spark, monkeypatch):
+    """Where a matrix of terms by terms would take too much, none is made."""
+    from heliograph.operators import layout
+
+    rng = np.random.default_rng(12)
+    w = [(i, f"t{j}", float(rng.random() + 0.1)) for i in range(80) for j in sorted(rng.choice(70, 9, replace=False))]
+    rows = spark.createDataFrame(w, "ord int, term string, w double")
+    want = {r.ord: r.z for r in layout.lsa(rows, 80, most=4).collect()}
+    monkeypatch.setattr(layout, "MOST_SQUARE", 8 * 70 * 70 - 1)
+    monkeypatch.setattr(layout, "_square", None)
+    got = {r.ord: r.z for r in layout.lsa(rows, 80, most=4).collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[i], want[i], atol=1e-8) for i in want)
+
+
+def test_tiles_of_terms_by_terms(monkeypatch):
+    """Rows and pairs that are cut anywhere, terms in any order, tiles that don't go up in the terms, empty batches."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from heliograph.operators import layout
+
+    rng = np.random.default_rng(13)
+    m, x = 23, np.where(rng.random((40, 23)) < 0.3, rng.random((40, 23)) - 0.3, 0.0)
+    x[0], x[1] = 1.0, np.eye(23)[4]
+    x[:, 9:12] = 0.0
+    each = [rng.permutation(np.flatnonzero(r)) for r in x]
+    kind = pa.schema([("ord", pa.int64()), ("terms", pa.list_(pa.int32())), ("ws", pa.list_(pa.float64()))])
+    batch = pa.RecordBatch.from_pydict({"ord": list(range(40)), "terms": [e.tolist() for e in each], "ws": [r[e].tolist() for r, e in zip(x, each)]}, kind)
+    q = rng.normal(size=(m, 3))
+    for side, pairs, entries in ((5, 1, 1), (23, 30, 20), (8, 1 << 18, 1 << 14), (64, 100, 7)):
+        for name, value in (("TILE", side), ("PAIRS", pairs), ("ENTRIES", entries)):
+            monkeypatch.setattr(layout, name, value)
+        strips = [*layout._crossed(iter([batch.slice(0, 0), batch.slice(0, 17)]), m), *layout._crossed(iter([batch.slice(17, 20), batch.slice(37)]), m), *layout._crossed(iter([]), m)]
+        tiles = list(layout._tiles(iter(strips), m))
+        got = np.zeros((m, 3))
+        for part in (tiles[:1], tiles[1:], []):
+            for b in layout._tiles_times(iter(part), SimpleNamespace(value=q)):
+                for a, z in zip(b.column("a").to_pylist(), b.column("x").to_pylist()):
+                    got[a * side : (a + 1) * side] += np.frombuffer(z).reshape(-1, 3)
+        assert np.allclose(got, x.T @ x @ q, atol=1e-12)
+        z = [r for b in layout._projected(iter([batch.slice(3, 0), batch]), SimpleNamespace(value=q), "ord") for r in b.to_pylist()]
+        assert [r["ord"] for r in z] == list(range(40)) and np.allclose([r["z"] for r in z], x @ q, atol=1e-12)
